@@ -76,11 +76,11 @@ def safe_name(c) -> Column:
     return F.translate(F.translate(lowered, " -", "__"), "()", "")
 
 
-def bin_index(x, lo, width, n_bins: int) -> Column:
+def bin_index(x, lo, width, n_bins: int, check_range: bool = True) -> Column:
     """Equal-width bin of ``x`` in ``[lo, lo + n*width]``; the last bin is closed on the right.
 
-    Values outside the range get NULL. ``width`` 0 (constant column) puts every
-    value in bin 0, as a histogram of one value does.
+    Values outside the range get NULL (skip the check when the bounds are the
+    data's own min/max). ``width`` 0 puts every value in bin 0.
     """
     x = col_(x).cast("double")
     lo = col_(lo).cast("double") if not isinstance(lo, (int, float)) else F.lit(float(lo))
@@ -88,7 +88,7 @@ def bin_index(x, lo, width, n_bins: int) -> Column:
     hi = lo + width * n_bins
     raw = F.when(width > 0, F.floor((x - lo) / width)).otherwise(F.lit(0))
     idx = F.least(raw, F.lit(n_bins - 1)).cast("int")
-    return F.when((x >= lo) & (x <= hi), idx)
+    return F.when((x >= lo) & (x <= hi), idx) if check_range else idx
 
 
 def hash_order(*cols) -> Column:

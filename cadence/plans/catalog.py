@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from cadence.plans import q_layers  # noqa: F401
+from cadence.plans import q_explore, q_layers  # noqa: F401
 from cadence.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
