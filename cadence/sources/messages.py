@@ -16,9 +16,16 @@ from cadence.sources.schemas import MESSAGE_SCHEMA
 CORRUPT_COLUMN = "_corrupt_record"
 
 
+# Message time formats (microseconds kept).
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+JSON_OPTIONS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT}
+
+
 def encode(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Rows -> one JSON text per row; NULL fields are kept as ``null``."""
-    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(value_col))
+    opts = dict(JSON_OPTIONS, ignoreNullFields="false")
+    return df.select(F.to_json(F.struct(*df.columns), opts).alias(value_col))
 
 
 def stamp(df: DataFrame) -> DataFrame:
@@ -36,7 +43,8 @@ def decode(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA,
     """JSON text (or bytes) -> typed columns. Permissive: unparsable text gives an
     all-NULL row, a field of the wrong JSON kind gives NULL in that field alone."""
     text = F.col(value_col).cast("string")
-    return df.select(F.from_json(text, schema, {"mode": "PERMISSIVE"}).alias("data")).select("data.*")
+    opts = dict(JSON_OPTIONS, mode="PERMISSIVE")
+    return df.select(F.from_json(text, schema, opts).alias("data")).select("data.*")
 
 
 def decode_with_quarantine(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA,
@@ -46,7 +54,7 @@ def decode_with_quarantine(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA,
     with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     text = F.col(value_col).cast("string")
     parsed = F.from_json(text, with_corrupt,
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+                         dict(JSON_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT_COLUMN))
     return df.select(parsed.alias("data")).select("data.*")
 
 
