@@ -99,28 +99,3 @@ def hash_order(*cols) -> Column:
     """
     text = F.concat_ws("|", *[col_(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-
-
-def softmax_array(scores) -> Column:
-    """Softmax of an array column; NaN and infinities count as 0, as a safe fallback."""
-    s = col_(scores)
-    clean = F.transform(s, lambda v: F.when(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(0.0))
-                        .otherwise(v.cast("double")))
-    mx = F.array_max(clean)
-    exps = F.transform(clean, lambda v: F.exp(v - mx))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, v: acc + v)
-    safe_total = F.when(total == 0, F.lit(1.0)).otherwise(total)
-    return F.transform(exps, lambda v: v / safe_total)
-
-
-def looks_like_probability(scores, tol: float = 1e-3) -> Column:
-    s = col_(scores)
-    total = F.aggregate(s, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
-    return (F.forall(s, lambda v: (v >= -1e-9) & (v <= 1 + 1e-9))) & (F.abs(total - 1.0) <= tol)
-
-
-def fit_width(arr, k: int) -> Column:
-    """Pad with zeros or trim an array column to exactly ``k`` slots."""
-    a = col_(arr)
-    padded = F.concat(a, F.array_repeat(F.lit(0.0), F.greatest(F.lit(0), F.lit(k) - F.size(a))))
-    return F.slice(padded, 1, k)

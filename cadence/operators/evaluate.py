@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.functions.expressions import fit_width, looks_like_probability, softmax_array
 from cadence.operators.ordered import running_sums
+from cadence.session import cut_lineage
 
 LABEL, PRED = "label", "prediction"
 
@@ -82,21 +82,44 @@ def scores(conf_long: DataFrame) -> DataFrame:
 def probabilities(df: DataFrame, k: int, prob_col: str | None = "probability",
                   raw_col: str | None = "rawPrediction", out: str = "scores") -> DataFrame:
     """Class scores as probabilities: the ``probability`` column as is when the
-    model has one, else soft-maxed raw scores; width fitted to k; non-finite -> 0."""
+    model has one (soft-maxed if it does not look like one), else soft-maxed raw
+    scores; width fitted to k; non-finite -> 0.
+
+    Built as a chain of projections over named slot columns, so each step
+    references the previous step's columns instead of repeating its expression
+    tree (a nested softmax over k slots grows as k cubed)."""
     from pyspark.ml.functions import vector_to_array
     cols = df.columns
     if prob_col and prob_col in cols:
-        arr = df[prob_col]
-        arr = vector_to_array(arr) if "vector" in df.schema[prob_col].dataType.simpleString() else arr
-        arr = fit_width(arr, k)
-        arr = F.when(looks_like_probability(arr), arr).otherwise(softmax_array(arr))
+        src, is_prob = prob_col, True
     elif raw_col and raw_col in cols:
-        arr = df[raw_col]
-        arr = vector_to_array(arr) if "vector" in df.schema[raw_col].dataType.simpleString() else arr
-        arr = softmax_array(fit_width(arr, k))
+        src, is_prob = raw_col, False
     else:
         raise ValueError("no score column")
-    return df.withColumn(out, arr)
+    arr = df[src]
+    if "vector" in df.schema[src].dataType.simpleString():
+        arr = vector_to_array(arr)
+    x = [f"_sm_x{i}" for i in range(k)]
+    e = [f"_sm_e{i}" for i in range(k)]
+    d = df.withColumn("_sm_a", arr)
+    d = d.select("*", *[F.when(F.size("_sm_a") > i, F.col("_sm_a").getItem(i).cast("double"))
+                        .otherwise(F.lit(0.0)).alias(x[i]) for i in range(k)])
+    d = d.select("*", *[F.when(F.isnan(x[i]) | (F.abs(F.col(x[i])) == float("inf")), F.lit(0.0))
+                        .otherwise(F.col(x[i])).alias(f"_sm_f{i}") for i in range(k)])
+    total_x = sum((F.col(c) for c in x[1:]), F.col(x[0]))
+    in_range = None
+    for c in x:
+        cond = (F.col(c) >= -1e-9) & (F.col(c) <= 1 + 1e-9)
+        in_range = cond if in_range is None else in_range & cond
+    d = d.withColumn("_sm_isp", F.lit(is_prob) & in_range & (F.abs(total_x - 1.0) <= 1e-3))
+    d = d.withColumn("_sm_mx", F.greatest(*[F.col(f"_sm_f{i}") for i in range(k)]) if k > 1 else F.col("_sm_f0"))
+    d = d.select("*", *[F.exp(F.col(f"_sm_f{i}") - F.col("_sm_mx")).alias(e[i]) for i in range(k)])
+    d = d.withColumn("_sm_t", sum((F.col(c) for c in e[1:]), F.col(e[0])))
+    d = d.withColumn("_sm_t", F.when(F.col("_sm_t") == 0, F.lit(1.0)).otherwise(F.col("_sm_t")))
+    soft = F.array(*[F.col(c) / F.col("_sm_t") for c in e])
+    kept = F.array(*[F.col(c) for c in x])
+    d = d.withColumn(out, F.when(F.col("_sm_isp"), kept).otherwise(soft))
+    return d.drop(*[c for c in d.columns if c.startswith("_sm_")])
 
 
 SCORE_DIGITS = 12
@@ -148,8 +171,8 @@ def roc_points(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scor
     pooled = cs.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
                                      F.lit(1).alias("one"))
     cum = running_sums(pooled, [], "score", ["pos", "neg", "one"], descending=True)
-    pts = cum.select(F.col("cum_one").cast("bigint").alias("ord"), "score",
-                     F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
+    pts = cut_lineage(cum.select(F.col("cum_one").cast("bigint").alias("ord"), "score",
+                                 F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps")))
     n = pts.agg(F.max("ord").alias("_npts"), F.max("tps").alias("_pos_total"), F.max("fps").alias("_neg_total"))
     prev = pts.select((F.col("ord") + 1).alias("ord"), F.col("tps").alias("_tp_prev"), F.col("fps").alias("_fp_prev"))
     nxt = pts.select((F.col("ord") - 1).alias("ord"), F.col("tps").alias("_tp_next"), F.col("fps").alias("_fp_next"))

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadence.session import cut_lineage
+
 DEFAULT_BUCKETS = 64
 
 
@@ -29,7 +31,8 @@ def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequenc
     k = F.col(key).cast("double")
     sign = -1.0 if descending else 1.0
     okey = (k * F.lit(sign)).alias("_okey")
-    base = df.select("*", okey)
+    # one row per distinct key, read by four branches below: materialise once
+    base = cut_lineage(df.select("*", okey))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = base.groupBy(*groups).agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds")) \
         if groups else base.agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds"))

@@ -35,9 +35,31 @@ def _distinct_expr(c: str, approx: bool):
     return base + F.max(F.when(F.col(c).isNull(), 1).otherwise(0))
 
 
+def _as_key(f: T.StructField):
+    c = F.col(f.name)
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        c = c.cast("double") + F.lit(0.0)  # -0.0 and 0.0 are one value, as in grouping
+    return c.cast("string")
+
+
+def distinct_long(df: DataFrame) -> DataFrame:
+    """(column_name, distinct_count) with NULL counted as a value, for all columns.
+
+    The columns are stacked into (column, value) pairs and grouped twice: the
+    first grouping is partial per map task, so repeated values collapse before
+    any shuffle. One stacked pass replaces one distinct aggregate per column
+    (which Spark would run as a row expansion, one copy per column)."""
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), _as_key(f).alias("v")) for f in df.schema.fields])))
+    return (long.distinct()
+            .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")))
+
+
 def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
-    wide = df.agg(*[_distinct_expr(c, approx).cast("bigint").alias(c) for c in df.columns])
-    return wide.unpivot([], df.columns, "column_name", "distinct_count")
+    if approx:
+        wide = df.agg(*[_distinct_expr(c, True).cast("bigint").alias(c) for c in df.columns])
+        return wide.unpivot([], df.columns, "column_name", "distinct_count")
+    return distinct_long(df)
 
 
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -48,20 +70,29 @@ def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
         c, t = f.name, f.dataType.simpleString()
         numeric = isinstance(f.dataType, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                                           T.ShortType, T.ByteType))
-        aggs += [_distinct_expr(c, approx).cast("bigint").alias(f"{c}__d"),
-                 F.count_if(F.col(c).isNull()).cast("bigint").alias(f"{c}__n")]
+        if approx:
+            aggs.append(_distinct_expr(c, True).cast("bigint").alias(f"{c}__d"))
+        aggs.append(F.count_if(F.col(c).isNull()).cast("bigint").alias(f"{c}__n"))
         if numeric:
             aggs += [F.min(F.col(c).cast("double")).alias(f"{c}__lo"),
                      F.max(F.col(c).cast("double")).alias(f"{c}__hi")]
         specs.append((c, t, numeric))
     wide = df.agg(*aggs)
     nul = F.lit(None).cast("double")
-    return wide.select(F.inline(F.array(*[
+    dcol = (lambda c: F.col(f"{c}__d")) if approx else (lambda c: F.lit(None).cast("bigint"))
+    prof = wide.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("data_type"),
-                 F.col(f"{c}__d").alias("distinct_count"), F.col(f"{c}__n").alias("null_count"),
+                 dcol(c).alias("distinct_count"), F.col(f"{c}__n").alias("null_count"),
                  (F.col(f"{c}__lo") if num else nul).alias("min_value"),
                  (F.col(f"{c}__hi") if num else nul).alias("max_value"))
         for i, (c, t, num) in enumerate(specs)])))
+    if approx:
+        return prof
+    # one row per column on both sides
+    exact = distinct_long(df)
+    return (prof.drop("distinct_count").join(exact, "column_name", "left")
+            .select("position", "column_name", "data_type", "distinct_count", "null_count",
+                    "min_value", "max_value"))
 
 
 def summary_table(df: DataFrame, cols: Sequence[str], digits: int | None = 3) -> DataFrame:

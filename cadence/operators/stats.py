@@ -154,13 +154,9 @@ def corr_long(df: DataFrame, cols: Sequence[str], complete_rows: bool = False) -
 
     Default is pairwise-complete (each pair uses rows where both are present);
     ``complete_rows`` first drops rows with any NULL among ``cols``."""
-    src = df
     if complete_rows:
-        cond = None
-        for c in cols:
-            e = F.col(c).isNotNull()
-            cond = e if cond is None else cond & e
-        src = df.where(cond)
+        return _corr_complete(df, cols)
+    src = df
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     wide = src.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
                      for a, b in pairs])
@@ -176,6 +172,19 @@ def corr_long(df: DataFrame, cols: Sequence[str], complete_rows: bool = False) -
     return wide.select(F.inline(F.array(*entries)))
 
 
+def _corr_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson matrix over rows with every column present, via MLlib's
+    ``Correlation`` (one tree-aggregated Gram matrix instead of k*(k-1)/2
+    separate correlation aggregates). The k x k result is small by construction."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(src)
+    m = Correlation.corr(vec, "_v").head()[0].toArray()
+    rows = [(a, b, 1.0 if i == j else float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, r double")
+
+
 def linear_fit(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Least-squares line y = slope*x + intercept with NULLs read as 0 (as the
     chart's fit did), and the pairwise-complete Pearson r."""

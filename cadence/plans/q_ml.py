@@ -156,22 +156,37 @@ def minmax_vector(spark, sf):
 _CACHE: dict = {}
 
 
-def trained(spark, sf):
-    """Prepared frames and the five fitted models for a data directory (fitted once per process)."""
-    key = (id(spark), sf)
+def prepared(spark, sf):
+    """Prepared train/test frames for a data directory (once per process)."""
+    key = (id(spark), sf, "prep")
     if key not in _CACHE:
-        p = ml.prepare(frames.feature_table(spark, sf))
-        fitted = []
-        for order, (name, est) in enumerate(ml.classifiers(len(p.labels))):
-            t0 = time.time()
-            model = est.fit(p.train)
-            fitted.append((order, name, model, time.time() - t0))
-        _CACHE[key] = (p, fitted)
+        _CACHE[key] = ml.prepare(frames.feature_table(spark, sf))
     return _CACHE[key]
 
 
+def fitted_model(spark, sf, name: str):
+    """(order, name, model, fit seconds) of one classifier, fitted on first use."""
+    key = (id(spark), sf, name)
+    if key not in _CACHE:
+        p = prepared(spark, sf)
+        for order, (n, est) in enumerate(ml.classifiers(len(p.labels))):
+            if n == name:
+                t0 = time.time()
+                model = est.fit(p.train)
+                _CACHE[key] = (order, n, model, time.time() - t0)
+    return _CACHE[key]
+
+
+MODEL_NAMES = ["Logistic Regression", "Decision Tree", "Random Forest", "GBT One-vs-Rest", "Naive Bayes"]
+
+
+def trained(spark, sf, names=None):
+    p = prepared(spark, sf)
+    return p, [fitted_model(spark, sf, n) for n in (names or MODEL_NAMES)]
+
+
 def _model_metrics(spark, sf, which: str | None = None):
-    p, fitted = trained(spark, sf)
+    p, fitted = trained(spark, sf, [which] if which else None)
     k = len(p.labels)
     rows = None
     for order, name, model, secs in fitted:
@@ -234,7 +249,7 @@ def predictions(spark, sf):
 
 
 def _importance_df(spark, sf, name):
-    p, fitted = trained(spark, sf)
+    p, fitted = trained(spark, sf, [name])
     names = ml.slot_names(p.prep)
     model = next(m for _, n, m, _ in fitted if n == name)
     rows = ml.importances(model, names) or []
@@ -280,8 +295,8 @@ def run_log(spark, sf):
 @register("model_roundtrip")
 def model_roundtrip(spark, sf):
     """Save the fitted forest pipeline, load it back, score the test rows again."""
-    p, fitted = trained(spark, sf)
-    forest = next(m for _, n, m, _ in fitted if n == "Random Forest")
+    p, fitted = trained(spark, sf, ["Random Forest"])
+    forest = fitted[0][2]
     pm = PipelineModel(stages=list(p.prep.stages) + [forest])
     path = scratch_path(spark, f"model-{uuid.uuid4().hex[:6]}")
     pm.write().overwrite().save(path)

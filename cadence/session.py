@@ -32,6 +32,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.ui.retainedExecutions", "50")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,3 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder and return a frame that
+    reads it back: the plan above it no longer repeats (or re-analyses) the
+    lineage, and a lost executor does not force recomputation from the sources.
+    Used on small, already aggregated intermediates that several branches reuse."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
