@@ -23,7 +23,7 @@ DEFAULT_BUCKETS = 64
 
 def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequence[str],
                  buckets: int = DEFAULT_BUCKETS, descending: bool = False,
-                 inclusive: bool = True) -> DataFrame:
+                 inclusive: bool = True, materialize: bool = True) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group with key before
     (and, if ``inclusive``, at) the current key. ``df`` must hold one row per
     (groups, key). ``descending`` orders the key from high to low."""
@@ -32,7 +32,10 @@ def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequenc
     sign = -1.0 if descending else 1.0
     okey = (k * F.lit(sign)).alias("_okey")
     # one row per distinct key, read by four branches below: materialise once
-    base = cut_lineage(df.select("*", okey))
+    # (callers that pass an already materialised frame skip the extra job)
+    base = df.select("*", okey)
+    if materialize:
+        base = cut_lineage(base)
     probs = [i / buckets for i in range(1, buckets)]
     bounds = base.groupBy(*groups).agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds")) \
         if groups else base.agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds"))
@@ -70,7 +73,8 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[fl
     """Exact quantiles with linear interpolation (as ``percentile``/``quantile_cont``)
     from (groups, value, n) rows. Returns (groups, q_<i> for each prob)."""
     groups = list(groups)
-    cum = running_sums(counts, groups, "value", ["n"], buckets)  # cum_n inclusive
+    counts = cut_lineage(counts)  # distinct values only; read by three branches
+    cum = running_sums(counts, groups, "value", ["n"], buckets, materialize=False)  # cum_n inclusive
     cum = cum.withColumn("_prev", F.col("cum_n") - F.col("n"))
     totals = counts.groupBy(*groups).agg(F.sum("n").alias("_total")) if groups else \
         counts.agg(F.sum("n").alias("_total"))

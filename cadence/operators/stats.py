@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.expressions import bin_index, hash_order
 from cadence.operators.ordered import exact_quantiles, long_values, value_counts
+from cadence.session import cut_lineage
 
 
 # ---------------------------------------------------------------- histograms
@@ -75,9 +76,10 @@ def histogram_auto(long: DataFrame, groups: Sequence[str], n_bins: int,
 
 def mean_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and exact median per feature."""
-    long = long_values(df, cols)
-    med = exact_quantiles(value_counts(long, ["feature"], "value"), ["feature"], [0.5])
-    means = long.groupBy("feature").agg(F.avg("value").alias("mean"))
+    counts = cut_lineage(value_counts(long_values(df, cols), ["feature"], "value"))
+    med = exact_quantiles(counts, ["feature"], [0.5])
+    # mean from the value counts: sum(value * n) / sum(n)
+    means = counts.groupBy("feature").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     return means.join(med, "feature", "left").select("feature", "mean", F.col("q_0").alias("median"))
 
 
@@ -85,7 +87,7 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Box-plot statistics with the matplotlib whisker rule: whiskers at the most
     extreme data inside [q1 - 1.5 IQR, q3 + 1.5 IQR]; exact interpolated quartiles."""
     long = long_values(df, cols).where(F.col("value").isNotNull())
-    counts = value_counts(long, ["feature"], "value")
+    counts = cut_lineage(value_counts(long, ["feature"], "value"))
     q = exact_quantiles(counts, ["feature"], [0.25, 0.5, 0.75]).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -106,7 +108,7 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """q1, q3, fences, outlier count and percent of all rows, per column."""
     long = long_values(df, cols)
-    counts = value_counts(long, ["feature"], "value")
+    counts = cut_lineage(value_counts(long, ["feature"], "value"))
     q = exact_quantiles(counts, ["feature"], [0.25, 0.75]).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("q3"))
     q = q.select("feature", "q1", "q3",
@@ -133,7 +135,7 @@ def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int) -> Data
     top = sizes.orderBy(F.desc("_size"), F.asc(group_col)).limit(top_k).select(group_col)
     rows = df.join(F.broadcast(top), group_col, "left_semi").select(
         group_col, F.col(value_col).cast("double").alias("value"))
-    counts = value_counts(rows, [group_col], "value")
+    counts = cut_lineage(value_counts(rows, [group_col], "value"))
     q = exact_quantiles(counts, [group_col], [0.25, 0.5, 0.75])
     basic = counts.groupBy(group_col).agg(
         F.min("value").alias("min"), F.max("value").alias("max"),

@@ -15,7 +15,7 @@ from cadence.plans import frames
 from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.q_explore import _md5_order_sql, _with_long, rounded
 from cadence.plans.registry import register
-from cadence.session import scratch_path
+from cadence.session import cut_lineage, scratch_path
 from cadence.sources.schemas import MODEL_FEATURES, MODEL_NUMERIC
 from cadence.sources.tables import read_layer, write_layer
 
@@ -91,7 +91,7 @@ def impute_median_values(spark, sf):
 
 
 def _prep_full(spark, sf):
-    capped = _capped(spark, sf)
+    capped = cut_lineage(_capped(spark, sf))
     prep = Pipeline(stages=ml.preprocessing_stages()).fit(capped)
     return prep, prep.transform(capped)
 
