@@ -47,7 +47,7 @@ NEW_NUMERIC = ["energy_danceability_ratio", "loudness_normalized", "energy_acous
 
 @register("features", with_ctes("SELECT * FROM feat", "feat"))
 def features_q(spark, sf):
-    return frames.feature_table(spark, sf)
+    return frames.compute_features(spark, sf)
 
 
 @register("feature_projection", with_ctes("SELECT * FROM feat", "feat"))

@@ -65,7 +65,7 @@ def flag_to_int_q(spark, sf):
 
 @register("silver", with_ctes("SELECT * FROM silver", "silver"))
 def silver(spark, sf):
-    return frames.silver(spark, sf)
+    return frames.compute_silver(spark, sf)
 
 
 @register("clean_stages", with_ctes("""
@@ -114,6 +114,6 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (VALUES
 ) t(metric, value)""", "silver"))
 def layer_report(spark, sf):
     b = frames.bronze(spark, sf)
-    s = clean.silver(b)
+    s = frames.silver(spark, sf)
     g = aggregate.gold_genre_summary(s)
     return clean.layer_report(b, s, g)

@@ -74,8 +74,8 @@ def silver_roundtrip(spark, sf):
     """Silver overwritten as a new version, read back through the pointer, and its
     row count checked against the rows the write reported."""
     root = scratch_path(spark, "silver")
-    write_layer(frames.silver(spark, sf), root)
-    write_layer(frames.silver(spark, sf), root)  # overwrite: readers see one version
+    write_layer(frames.compute_silver(spark, sf), root)
+    write_layer(frames.compute_silver(spark, sf), root)  # overwrite: readers see one version
     return read_layer(spark, root)
 
 
@@ -83,7 +83,7 @@ def silver_roundtrip(spark, sf):
 def features_roundtrip(spark, sf):
     root = scratch_path(spark, "features")
     write_layer(frames.silver(spark, sf), root)           # an older, narrower schema
-    write_layer(frames.feature_table(spark, sf), root)    # replaced with the 28-column one
+    write_layer(frames.compute_features(spark, sf), root)  # replaced with the 28-column one
     return read_layer(spark, root)
 
 
