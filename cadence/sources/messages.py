@@ -60,9 +60,19 @@ def decode_with_quarantine(df: DataFrame, schema: T.StructType = MESSAGE_SCHEMA,
     return df.select(parsed.alias("data")).select("data.*")
 
 
-def write_messages(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Publish encoded messages as text files (one JSON per line)."""
-    df.select("value").write.mode(mode).text(path)
+def write_messages(df: DataFrame, path: str | None, mode: str = "append", fmt: str = "text",
+                   options: dict | None = None) -> None:
+    """Publish encoded messages: text files (one JSON per line) here, or a topic
+    with ``fmt="kafka"`` and ``options`` naming servers and topic where the
+    connector is on the classpath (not available in this environment)."""
+    writer = df.select("value").write.mode(mode)
+    if fmt == "text":
+        writer.text(path)
+        return
+    writer = writer.format(fmt)
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
