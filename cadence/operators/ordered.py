@@ -102,3 +102,16 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[fl
         (F.col("_v_lo") + (F.col("_h") - F.floor("_h")) * (F.col("_v_hi") - F.col("_v_lo"))).alias("_q"))
     aggs = [F.max(F.when(F.col("_pi") == i, F.col("_q"))).alias(f"q_{i}") for i in range(len(probs))]
     return q.groupBy(*groups).agg(*aggs) if groups else q.agg(*aggs)
+
+
+
+def approx_quantiles(long: DataFrame, groups: Sequence[str], probs: Sequence[float],
+                     accuracy: int = 10000) -> DataFrame:
+    """Approximate quantiles of ``value`` per group from the row-level frame:
+    ``percentile_approx`` keeps a bounded, mergeable sketch per group and is
+    partially aggregated in every map task. Returns (groups, q_<i>)."""
+    groups = list(groups)
+    agg = F.percentile_approx(F.col("value").cast("double"), list(probs), accuracy).alias("_q")
+    src = long.where(F.col("value").isNotNull())
+    q = src.groupBy(*groups).agg(agg) if groups else src.agg(agg)
+    return q.select(*groups, *[F.col("_q")[i].alias(f"q_{i}") for i in range(len(probs))])

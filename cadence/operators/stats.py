@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.expressions import bin_index, hash_order
-from cadence.operators.ordered import exact_quantiles, long_values, value_counts
+from cadence.operators.ordered import approx_quantiles, exact_quantiles, long_values, value_counts
 from cadence.session import cut_lineage
 
 
@@ -83,12 +83,18 @@ def mean_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return means.join(med, "feature", "left").select("feature", "mean", F.col("q_0").alias("median"))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def _quantiles(long, counts, groups, probs, approx: bool):
+    """Exact quantiles from the distinct-value counts, or approximate ones from the rows."""
+    return approx_quantiles(long, groups, probs) if approx else exact_quantiles(counts, groups, probs)
+
+
+def box_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Box-plot statistics with the matplotlib whisker rule: whiskers at the most
-    extreme data inside [q1 - 1.5 IQR, q3 + 1.5 IQR]; exact interpolated quartiles."""
+    extreme data inside [q1 - 1.5 IQR, q3 + 1.5 IQR]; exact interpolated quartiles
+    (or approximate ones with ``approx``)."""
     long = long_values(df, cols).where(F.col("value").isNotNull())
     counts = cut_lineage(value_counts(long, ["feature"], "value"))
-    q = exact_quantiles(counts, ["feature"], [0.25, 0.5, 0.75]).select(
+    q = _quantiles(long, counts, ["feature"], [0.25, 0.5, 0.75], approx).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("_lf", F.col("q1") - 1.5 * F.col("iqr")) \
@@ -105,11 +111,12 @@ def box_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                            "whisker_high", "outlier_count", "mean")
 
 
-def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """q1, q3, fences, outlier count and percent of all rows, per column."""
+def iqr_outliers(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+    """q1, q3, fences, outlier count and percent of all rows, per column
+    (``approx``: quartiles from ``percentile_approx``, as ``approxQuantile`` gives)."""
     long = long_values(df, cols)
     counts = cut_lineage(value_counts(long, ["feature"], "value"))
-    q = exact_quantiles(counts, ["feature"], [0.25, 0.75]).select(
+    q = _quantiles(long, counts, ["feature"], [0.25, 0.75], approx).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("q3"))
     q = q.select("feature", "q1", "q3",
                  (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
@@ -125,7 +132,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     F.round(F.col("outlier_count") * 100.0 / F.col("_total"), 2).alias("outlier_pct")))
 
 
-def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int) -> DataFrame:
+def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int, approx: bool = False) -> DataFrame:
     """Box statistics of ``value_col`` for the ``top_k`` largest groups, clipped
     whiskers (max(min, q1 - 1.5 IQR), min(max, q3 + 1.5 IQR)).
 
@@ -136,7 +143,7 @@ def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int) -> Data
     rows = df.join(F.broadcast(top), group_col, "left_semi").select(
         group_col, F.col(value_col).cast("double").alias("value"))
     counts = cut_lineage(value_counts(rows, [group_col], "value"))
-    q = exact_quantiles(counts, [group_col], [0.25, 0.5, 0.75])
+    q = _quantiles(rows, counts, [group_col], [0.25, 0.5, 0.75], approx)
     basic = counts.groupBy(group_col).agg(
         F.min("value").alias("min"), F.max("value").alias("max"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),

@@ -313,3 +313,13 @@ def test_roc_thinning_keeps_evenly_spaced_points(spark):
     df = spark.createDataFrame(data, "label int, scores array<double>")
     got = evaluate.roc_points(df, 2, max_points=50).orderBy("ord").collect()
     assert len(got) == 50 and got[0].ord == 0 and got[0].fpr == 0.0 and got[-1].tpr == 1.0
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    rnd = random.Random(11)
+    xs = [float(rnd.randint(0, 100)) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in xs], "v double")
+    exact = stats.box_stats(df, ["v"]).first()
+    approx = stats.box_stats(df, ["v"], approx=True).first()
+    assert abs(exact.q1 - approx.q1) <= 2 and abs(exact.q3 - approx.q3) <= 2
+    assert approx.median in xs   # an approximate percentile is a data value
