@@ -155,9 +155,11 @@ def auc_per_class(df: DataFrame, k: int, label: str = LABEL, score_col: str = "s
         (F.col("_num") / (F.col("positives") * F.col("negatives"))).alias("auc"))
 
 
-def auc_weighted(per_class_auc: DataFrame) -> DataFrame:
-    """Positives-weighted mean of the per-class AUCs (binary: use class 1 alone)."""
-    return per_class_auc.agg((F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")).alias("auc"))
+def auc_weighted(per_class_auc: DataFrame, k: int | None = None) -> DataFrame:
+    """Positives-weighted mean of the per-class AUCs; with two classes the AUC of
+    class 1 alone (the binary definition)."""
+    src = per_class_auc.where(F.col("class") == 1) if k == 2 else per_class_auc
+    return src.agg((F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")).alias("auc"))
 
 
 def roc_points(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scores",
@@ -165,9 +167,12 @@ def roc_points(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scor
     """Micro-averaged ROC: all (row, class) scores pooled. Thresholds are the
     distinct scores, high to low; points lying mid-way on a straight run are
     dropped (as scikit-learn's ``drop_intermediate``), (0, 0) is prepended, and
-    more than ``max_points`` points are thinned to evenly spaced indices."""
+    more than ``max_points`` points are thinned to evenly spaced indices. With
+    two classes the curve is that of class 1's score."""
     spark = df.sparkSession
     cs = class_scores(df, k, label, score_col)
+    if k == 2:  # binary: the curve of class 1's score, not the pooled one
+        cs = cs.where(F.col("class") == 1)
     pooled = cs.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
                                      F.lit(1).alias("one"))
     cum = running_sums(pooled, [], "score", ["pos", "neg", "one"], descending=True)

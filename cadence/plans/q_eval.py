@@ -121,7 +121,7 @@ def eval_auc(spark, sf):
 @register("eval_auc_weighted", _ctes(_PROB_CTES + "," + _LONG_SCORES + "," + _AUC_CTE + """
 SELECT round(sum(auc * positives) / sum(positives), 6) AS auc FROM auc"""))
 def eval_auc_weighted(spark, sf):
-    return rounded(ev.auc_weighted(ev.auc_per_class(_probs(spark, sf), K)))
+    return rounded(ev.auc_weighted(ev.auc_per_class(_probs(spark, sf), K), K))
 
 
 @register("roc_points", _ctes(_PROB_CTES + "," + _LONG_SCORES + """,

@@ -196,7 +196,7 @@ def _model_metrics(spark, sf, which: str | None = None):
         probs = ev.probabilities(pred, k)
         conf = ev.confusion_long(pred, k)
         s = ev.scores(conf)
-        auc = ev.auc_weighted(ev.auc_per_class(probs, k))
+        auc = ev.auc_weighted(ev.auc_per_class(probs, k), k)
         m = s.crossJoin(auc).select(F.lit(order).alias("model_order"), F.lit(name).alias("model"),
                                     "accuracy", "f1_weighted", "precision_weighted", "recall_weighted",
                                     F.col("auc").alias("auc_roc"), F.lit(round(secs, 3)).alias("fit_seconds"))

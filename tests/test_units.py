@@ -309,12 +309,23 @@ def test_roc_points_match_brute_force(spark):
 
 def test_roc_thinning_keeps_evenly_spaced_points(spark):
     rnd = random.Random(2)
-    data = [(rnd.randint(0, 1), [rnd.random(), rnd.random()]) for _ in range(1500)]
+    data = [(rnd.randint(0, 2), [rnd.random(), rnd.random(), rnd.random()]) for _ in range(1500)]
     df = spark.createDataFrame(data, "label int, scores array<double>")
-    got = evaluate.roc_points(df, 2, max_points=50).orderBy("ord").collect()
+    got = evaluate.roc_points(df, 3, max_points=50).orderBy("ord").collect()
     assert len(got) == 50 and got[0].ord == 0 and got[0].fpr == 0.0 and got[-1].tpr == 1.0
 
 
+def test_binary_roc_and_auc_use_class_one(spark):
+    rnd = random.Random(4)
+    data = [(rnd.randint(0, 1), rnd.choice([0.1, 0.4, 0.7, 0.9])) for _ in range(200)]
+    df = spark.createDataFrame([(y, [1 - s, s]) for y, s in data], "label int, scores array<double>")
+    got = [(r.fpr, r.tpr) for r in evaluate.roc_points(df, 2).orderBy("ord").collect()]
+    exp = _brute_roc([y == 1 for y, _ in data], [round(s, 12) for _, s in data])
+    assert [v for p in got for v in p] == pytest.approx([v for p in exp for v in p])
+    auc = evaluate.auc_weighted(evaluate.auc_per_class(df, 2), 2).first().auc
+    assert auc == pytest.approx(_brute_auc([y == 1 for y, _ in data], [s for _, s in data]))
+
+
 def test_approx_quantiles_close_to_exact(spark):
     rnd = random.Random(11)
     xs = [float(rnd.randint(0, 100)) for _ in range(500)]
