@@ -334,3 +334,54 @@ def test_approx_quantiles_close_to_exact(spark):
     approx = stats.box_stats(df, ["v"], approx=True).first()
     assert abs(exact.q1 - approx.q1) <= 2 and abs(exact.q3 - approx.q3) <= 2
     assert approx.median in xs   # an approximate percentile is a data value
+
+
+# ---------------------------------------------------------------- guards and file sources
+
+def test_model_frame_derives_missing_features_and_guards(spark):
+    from cadence.operators import ml
+    silver = spark.createDataFrame(
+        [("t1", "g", 0.5, 0.6, -10.0, 0.1, 0.2, 0.0, 0.3, 0.4, 95.0, 50, 1, 0, 4),
+         ("t2", "g", 0.7, 0.2, -20.0, 0.1, 0.9, 0.0, 0.3, None, 135.0, 60, 2, 1, 4)],
+        "track_id string, track_genre string, danceability float, energy float, loudness float, "
+        "speechiness float, acousticness float, instrumentalness float, liveness float, valence float, "
+        "tempo float, popularity int, key int, mode int, time_signature int")
+    mf = ml.model_frame(silver).orderBy("track_id").collect()
+    assert [r.tempo_category for r in mf] == ["medium", "fast"]          # 90/130 cut points
+    assert [r.loudness_normalized for r in mf] == [1.0, 0.0]
+    assert mf[1].dancefloor_score is None
+    with pytest.raises(ValueError, match="track_genre"):
+        ml.model_frame(silver.drop("track_genre"))
+
+
+def test_resolve_layer_and_required_results(spark):
+    from cadence.session import scratch_path
+    from cadence.sources import results, tables
+    base = scratch_path(spark, "guards")
+    df = spark.createDataFrame([(1, "a")], "x int, y string")
+    tables.write_layer(df, f"{base}/silver")
+    path, got = tables.resolve_layer(spark, [f"{base}/features", f"{base}/silver"])
+    assert path.endswith("/silver") and got.count() == 1
+    with pytest.raises(FileNotFoundError):
+        tables.resolve_layer(spark, [f"{base}/nothing"])
+    results.write_csv(df, f"{base}/res/a")
+    assert results.load_required(spark, f"{base}/res", {"a": df.schema})["a"].count() == 1
+    with pytest.raises(FileNotFoundError, match="b"):
+        results.load_required(spark, f"{base}/res", {"a": df.schema, "b": df.schema})
+
+
+def test_layer_overwrite_while_reading(spark):
+    from cadence.session import scratch_path
+    from cadence.sources import tables
+    root = scratch_path(spark, "ow")
+    tables.write_layer(spark.range(3), root)
+    current = tables.read_layer(spark, root)
+    tables.write_layer(current.withColumn("twice", F.col("id") * 2), root)   # reads what it replaces
+    got = tables.read_layer(spark, root)
+    assert got.columns == ["id", "twice"] and got.count() == 3
+
+
+def test_time_column_guard(spark):
+    from cadence.plans.q_stream import _msg_time
+    with pytest.raises(ValueError):
+        _msg_time(spark.createDataFrame([(1,)], "x int"))
