@@ -42,7 +42,7 @@ def stream_bronze(spark, sf):
     bronze, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
     ingest.ingest_bronze(spark, src, bronze, ckpt, MESSAGE_SCHEMA)
     ingest.ingest_bronze(spark, src, bronze, ckpt, MESSAGE_SCHEMA)  # restart: no new files, no new rows
-    return spark.read.parquet(bronze)
+    return spark.read.parquet(bronze).drop(ingest.INGEST_DATE)
 
 
 @register("stream_tail", _EVENTS_SQL)

@@ -17,20 +17,27 @@ from cadence.sources import messages
 from cadence.sources.tables import write_layer
 
 
+INGEST_DATE = "ingest_date"
+
+
 def ingest_bronze(spark: SparkSession, source: str, bronze_path: str, checkpoint: str,
                   schema: T.StructType, source_format: str = "text", sink_format: str = "parquet",
                   source_options: dict | None = None, processing_time: str | None = None,
-                  max_files_per_trigger: int | None = None, partition_by=None):
+                  max_files_per_trigger: int | None = None, partition_by_ingest_date: bool = True):
     """Start (and, for availableNow, finish) the Bronze ingest query; returns the query.
 
+    Bronze is partitioned by ingest date (the micro-batch's processing date), so
+    later readers that build Silver incrementally prune to the new partitions.
     ``processing_time`` (e.g. "30 seconds") gives a continuously running query
     instead; the caller stops it."""
     raw = messages.read_message_stream(spark, source, source_format, source_options, max_files_per_trigger)
     decoded = messages.decode(raw, schema)
+    if partition_by_ingest_date:
+        decoded = decoded.withColumn(INGEST_DATE, F.current_date())
     writer = (decoded.writeStream.format(sink_format).outputMode("append")
               .option("checkpointLocation", checkpoint))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by_ingest_date:
+        writer = writer.partitionBy(INGEST_DATE)
     writer = writer.trigger(processingTime=processing_time) if processing_time else \
         writer.trigger(availableNow=True)
     q = writer.start(bronze_path)
