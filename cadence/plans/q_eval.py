@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from cadence.functions.expressions import safe_name
 from cadence.operators import evaluate as ev
 from cadence.plans import binding
-from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.q_explore import _with_long, rounded
 from cadence.plans.registry import register
 

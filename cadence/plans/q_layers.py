@@ -12,8 +12,6 @@ from cadence.plans.registry import register
 from cadence.sources import messages
 from cadence.sources.schemas import MESSAGE_COLUMNS
 
-_COLS = ", ".join(MESSAGE_COLUMNS)
-
 
 @register("json_encode", with_ctes("SELECT * FROM trk", "trk"))
 def json_encode(spark, sf):

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from cadence.operators import evaluate as ev
 from cadence.operators import ml
 from cadence.plans import frames
-from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.q_explore import _md5_order_sql, _with_long, rounded
 from cadence.plans.registry import register
 from cadence.session import cut_lineage, scratch_path

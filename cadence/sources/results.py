@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from cadence.sources.tables import POINTER_DIR  # noqa: F401  (same folder conventions)
-
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header row, quoted text; ``single_file`` only for results known to be small."""
