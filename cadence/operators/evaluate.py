@@ -100,25 +100,29 @@ def probabilities(df: DataFrame, k: int, prob_col: str | None = "probability",
     if "vector" in df.schema[src].dataType.simpleString():
         arr = vector_to_array(arr)
     x = [f"_sm_x{i}" for i in range(k)]
+    f = [f"_sm_f{i}" for i in range(k)]
     e = [f"_sm_e{i}" for i in range(k)]
     d = df.withColumn("_sm_a", arr)
     d = d.select("*", *[F.when(F.size("_sm_a") > i, F.col("_sm_a").getItem(i).cast("double"))
                         .otherwise(F.lit(0.0)).alias(x[i]) for i in range(k)])
     d = d.select("*", *[F.when(F.isnan(x[i]) | (F.abs(F.col(x[i])) == float("inf")), F.lit(0.0))
-                        .otherwise(F.col(x[i])).alias(f"_sm_f{i}") for i in range(k)])
-    total_x = sum((F.col(c) for c in x[1:]), F.col(x[0]))
-    in_range = None
-    for c in x:
-        cond = (F.col(c) >= -1e-9) & (F.col(c) <= 1 + 1e-9)
-        in_range = cond if in_range is None else in_range & cond
-    d = d.withColumn("_sm_isp", F.lit(is_prob) & in_range & (F.abs(total_x - 1.0) <= 1e-3))
-    d = d.withColumn("_sm_mx", F.greatest(*[F.col(f"_sm_f{i}") for i in range(k)]) if k > 1 else F.col("_sm_f0"))
-    d = d.select("*", *[F.exp(F.col(f"_sm_f{i}") - F.col("_sm_mx")).alias(e[i]) for i in range(k)])
+                        .otherwise(F.col(x[i])).alias(f[i]) for i in range(k)])
+    d = d.withColumn("_sm_mx", F.greatest(*[F.col(c) for c in f]) if k > 1 else F.col(f[0]))
+    d = d.select("*", *[F.exp(F.col(f[i]) - F.col("_sm_mx")).alias(e[i]) for i in range(k)])
     d = d.withColumn("_sm_t", sum((F.col(c) for c in e[1:]), F.col(e[0])))
     d = d.withColumn("_sm_t", F.when(F.col("_sm_t") == 0, F.lit(1.0)).otherwise(F.col("_sm_t")))
     soft = F.array(*[F.col(c) / F.col("_sm_t") for c in e])
-    kept = F.array(*[F.col(c) for c in x])
-    d = d.withColumn(out, F.when(F.col("_sm_isp"), kept).otherwise(soft))
+    if is_prob:
+        # kept as is only where the row already is a distribution
+        total_x = sum((F.col(c) for c in x[1:]), F.col(x[0]))
+        in_range = None
+        for c in x:
+            cond = (F.col(c) >= -1e-9) & (F.col(c) <= 1 + 1e-9)
+            in_range = cond if in_range is None else in_range & cond
+        is_dist = in_range & (F.abs(total_x - 1.0) <= 1e-3)
+        d = d.withColumn(out, F.when(is_dist, F.array(*[F.col(c) for c in x])).otherwise(soft))
+    else:
+        d = d.withColumn(out, soft)
     return d.drop(*[c for c in d.columns if c.startswith("_sm_")])
 
 
