@@ -106,7 +106,7 @@ def with_next(df: DataFrame, key: str, carried: list[str], buckets: int | None =
     order = [F.col(key).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in carried]]
     row = F.struct(*carried)
     ahead = dealt.withColumn("_n", F.lead(row).over(Window.partitionBy("_b").orderBy(*order)))
-    sort_key = F.struct(F.col(key).isNull().alias("a"), (-F.col(key)).alias("b"), *carried)
+    sort_key = F.struct(F.col(key).isNull().alias("_null"), (-F.col(key)).alias("_minus"), *carried)
     heads = dealt.groupBy("_b").agg(F.min(sort_key).alias("h")).select("_b", F.struct(*[F.col(f"h.{c}").alias(c) for c in carried]).alias("_h"))
     ring = Window.orderBy("_b")  # one number for each range
     turn = heads.select("_b", F.coalesce(F.lead("_b").over(ring), F.first("_b").over(ring)).alias("_to"))
