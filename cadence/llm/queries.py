@@ -46,7 +46,7 @@ QUERIES = {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op5_toxic
                                    op9_line_dedup, op10_packing)}
 
 #: Words as in decontaminate.words: lower case, broken at ASCII other than letters and digits.
-_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+'), lambda x: x <> '')"
 
 ORACLE = {
     "op7_decontaminate": rf"""

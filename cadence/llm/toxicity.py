@@ -2,8 +2,8 @@
 
 Fit (rows with a label whose crc32(doc_id) mod 5 is not 0, at most about ``fit_docs`` a label, chosen by
 a hash of the id): log-odds of each token between toxic and clean texts with an informative
-Dirichlet prior (the pooled counts), kept for the at most ``TABLE`` tokens of largest z; every
-other token costs ``DRIFT``. On rows of fold 4, whose tokens were not counted, the extreme-value
+Dirichlet prior (the pooled counts), kept for at most ``TABLE`` tokens, words or stems of words, whose
+document counts differ most clearly; every other token costs ``DRIFT``. On rows of fold 4, whose tokens were not counted, the extreme-value
 parameter lambda of the scores is solved from clean tokens, and one logistic step maps the
 calibrated total to a probability.
 
@@ -18,17 +18,17 @@ Repeated rows keep a row each; a repeated label counts again.
 from __future__ import annotations
 
 import math
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, fold, narrow
+from cadence.llm.common import append, cut, fold, narrow
 from cadence.llm.language import sample
 
-TABLE, DRIFT, PRIOR, Z, STEM = 200_000, -0.4, 1000.0, 3.0, 5
+TABLE, DRIFT, PRIOR, Z, KNOWN, STEMS = 200_000, -0.4, 1000.0, 4.0, 20, (6, 5, 4, 3)
+CACHE = 1_000_000
 _BREAK = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
 
@@ -60,14 +60,34 @@ def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, high - low) for a, b, low, high, _ in kept]
 
 
-def scored(text: str | None, table: dict[bytes, float]) -> np.ndarray:
+class Weights(dict):
+    """Scores of words, worked out once each: the word's own, or that of its longest stem in the table."""
+
+    def __init__(self, table: dict[bytes, float]):
+        super().__init__()
+        self.table = table
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) > CACHE:
+            self.clear()
+        got = self[word] = next((x for f in forms(word) if (x := self.table.get(f)) is not None), DRIFT)
+        return got
+
+
+def forms(word: bytes) -> list[bytes]:
+    """A word and its stems of a few lengths in characters, marked by a star, longest first."""
+    text = word.decode(errors="ignore")
+    return [word, *[text[:n].encode() + b"*" for n in STEMS if len(text) > n]]
+
+
+def scored(text: str | None, weights: Weights) -> np.ndarray:
     w = words(text)
-    return np.fromiter(map(table.get, w, repeat(DRIFT)), np.float64, len(w))
+    return np.fromiter(map(weights.__getitem__, w), np.float64, len(w))
 
 
-def passages(text: str | None, table: dict[bytes, float], lam: float) -> tuple[float, list[tuple[int, int, float]]]:
+def passages(text: str | None, weights: Weights, lam: float) -> tuple[float, list[tuple[int, int, float]]]:
     """Evidence of a text, and its passages (first word, end, evidence) that are expected less than once in clean text."""
-    s = scored(text, table)
+    s = scored(text, weights)
     price = math.log(max(1, len(s)))
     found = [(a, b, lam * x - price) for a, b, x in segments(s) if lam * x > price]
     return sum(e for _, _, e in found), found
@@ -80,32 +100,47 @@ def labelled(docs: DataFrame, labels: DataFrame, fit_docs: int) -> DataFrame:
 
 
 def log_odds(rows: DataFrame) -> dict[bytes, float]:
-    """Tokens with a clear log-odds between labels 1 and 0, counted over rows of folds 1 to 3."""
+    """Scores of words and stems, from rows of folds 1 to 3: log-odds with a Dirichlet prior for those whose document
+    counts differ clearly between the labels (signed root of the likelihood ratio), and the
+    drift for other words that are common enough to be known, which keeps a stem from speaking for them."""
 
     def count(batches):
         for batch in batches:
             n: dict[bytes, list[int]] = {}
             for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own: dict[bytes, int] = {}
                 for w in words(t):
-                    n.setdefault(w, [0, 0])[toxic] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.binary()), pa.array([v[0] for v in n.values()], pa.int64()), pa.array([v[1] for v in n.values()], pa.int64())], names=["w", "clean", "toxic"])
-
-    counts = (rows.where("part <> 4").select("text", "toxic").mapInArrow(count, "w binary, clean long, toxic long")
-              .groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
-    counts.persist()
-    try:
-        n0, n1 = (float(x or 0) for x in counts.agg(F.sum("clean"), F.sum("toxic")).first())
-        if not n0 or not n1:
-            return {}
-        prior = (F.col("clean") + F.col("toxic")) * (PRIOR / (n0 + n1))
-        side = lambda c, n: (c + prior) / (n + PRIOR - c - prior)
-        delta = F.log(side(F.col("toxic"), n1)) - F.log(side(F.col("clean"), n0))
-        z = delta / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-        got = (counts.where(F.col("clean") + F.col("toxic") >= 2).select("w", delta.alias("d"), z.alias("z"))
-               .where((F.abs("d") > -DRIFT) & (F.abs("z") > Z)).orderBy(F.desc(F.abs("z")), "w").limit(TABLE).collect())
-    finally:
-        counts.unpersist()
-    return {bytes(r.w): float(r.d) + DRIFT for r in got}
+                    own[w] = own.get(w, 0) + 1
+                more: dict[bytes, int] = {}
+                for w, c in own.items():
+                    for f in forms(w):
+                        more[f] = more.get(f, 0) + c
+                for f, c in more.items():
+                    x = n.setdefault(f, [0, 0, 0, 0])
+                    x[toxic] += c
+                    x[2 + toxic] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.binary()), *(pa.array([v[k] for v in n.values()], pa.int64()) for k in range(4))], names=["w", "c0", "c1", "d0", "d1"])
+
+    some = rows.where("part <> 4").select("text", "toxic")
+    n = {r.toxic: r for r in some.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if set(n) != {0, 1}:
+        return {}
+    counts = cut(some.mapInArrow(count, "w binary, c0 long, c1 long, d0 long, d1 long").groupBy("w").agg(*[F.sum(c).alias(c) for c in ("c0", "c1", "d0", "d1")])
+                 .where("d0 + d1 >= 3"))
+    size = counts.where("NOT endswith(w, X'2a')").agg(F.sum("c0"), F.sum("c1")).first()
+    n0, n1 = (float(x or 0) + 1 for x in size)
+    share = n[1].n / (n[0].n + n[1].n)
+    prior = 0.5 + (F.col("c0") + F.col("c1")) * (PRIOR / (n0 + n1))
+    delta = F.log((F.col("c1") + prior) / n1) - F.log((F.col("c0") + prior) / n0)
+    both = F.col("d0") + F.col("d1")
+    part = lambda d, e: F.when(d > 0, d * F.log(d / e)).otherwise(0.0)
+    ratio = 2 * (part(F.col("d1"), both * share) + part(F.col("d0"), both * (1 - share)))
+    z = F.signum(F.col("d1") - both * share) * F.sqrt(F.greatest(ratio, F.lit(0.0)))
+    told = counts.select("w", delta.alias("d"), z.alias("z"), both.alias("n"))
+    clear = (F.col("d") > -DRIFT) & (F.col("z") > Z)
+    table = {bytes(r.w): float(r.d) + DRIFT for r in told.where(clear).orderBy(F.desc("z"), "w").limit(TABLE).collect()}
+    known = told.where(~clear & (F.col("n") >= KNOWN) & ~F.expr("endswith(w, X'2a')")).orderBy(F.desc("n"), "w").limit(TABLE).collect()
+    return {bytes(r.w): DRIFT + min(0.0, float(r.d)) for r in known} | table
 
 
 def extreme(values: np.ndarray, n: np.ndarray) -> float:
@@ -136,15 +171,21 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 6000) -> dict:
     def tally(batches):
         for batch in batches:
             n: dict[float, int] = {}
+            weights = Weights(shared.value)
             for t in batch.column(0).to_pylist():
-                for v, c in zip(*np.unique(np.round(scored(t, shared.value), 2), return_counts=True), strict=True):
+                for v, c in zip(*np.unique(np.round(scored(t, weights), 2), return_counts=True), strict=True):
                     n[float(v)] = n.get(float(v), 0) + int(c)
             yield pa.RecordBatch.from_arrays([pa.array(n.keys(), pa.float64()), pa.array(n.values(), pa.int64())], names=["v", "n"])
 
     held = rows.where("part = 4")
     got = held.where("toxic = 0").select("text").mapInArrow(tally, "v double, n long").groupBy("v").agg(F.sum("n").alias("n")).toPandas()
     lam = extreme(got.v.to_numpy(float), got.n.to_numpy(float))
-    seen = append(held, "text", "x double", lambda: lambda texts: [[passages(t, shared.value, lam)[0] for t in texts]])
+
+    def start():
+        weights = Weights(shared.value)
+        return lambda texts: [[passages(t, weights, lam)[0] for t in texts]]
+
+    seen = append(held, "text", "x double", start)
     pairs = seen.select("x", F.col("toxic").cast("double")).toPandas().to_numpy(float)  # about fit_docs / 2 rows
     a, b = logistic(np.log1p(pairs[:, 0]), pairs[:, 1]) if len(pairs) else (1.0, -1.0)
     return {"table": table, "lambda": lam, "a": a, "b": b}
@@ -166,9 +207,10 @@ def add_scores(df: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     def start():
         m = shared.value
+        weights = Weights(m["table"])
 
         def work(texts):
-            got = [passages(t, m["table"], m["lambda"]) for t in texts]
+            got = [passages(t, weights, m["lambda"]) for t in texts]
             x = np.log1p([e for e, _ in got])
             p = 1 / (1 + np.exp(-np.clip(m["a"] * x + m["b"], -50, 50)))
             return [p.tolist(), [len(f) for _, f in got]]
