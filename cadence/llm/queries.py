@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, extraction, fingerprints, language, line_dedup, packing, simhash, token_counts, toxicity
+from cadence.llm import decontaminate, extraction, fingerprints, language, line_dedup, packing, repeats, simhash, token_counts, toxicity
 from cadence.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op2_fingerprints(spark, sf_dir) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark, sf_dir) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark, sf_dir) -> DataFrame:
     return extraction.main_text(table(spark, sf_dir, "pages"))
 
@@ -46,7 +50,7 @@ def op10_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op4_html_text, op5_toxicity, op6_language, op7_decontaminate, op8_simhash,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op3_repeats, op4_html_text, op5_toxicity, op6_language, op7_decontaminate, op8_simhash,
                                    op9_line_dedup, op10_packing)}
 
 #: Words as in decontaminate.words: lower case, broken at ASCII other than letters and digits.
