@@ -36,6 +36,8 @@ class Counts:
         import public_tokenizers
         import sentencepiece
 
+        self.table: dict[str, int] = {}
+
         self.sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(model))
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         self.whole = any("▁" in p.lstrip("▁") for p in pieces) or self.sp.encode(" ", out_type=str) != ["▁▁"]
@@ -56,9 +58,8 @@ class Counts:
         if len(self.known) > CACHE:
             self.known = dict(self.table)
         got = self.sp.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
-        self.known.update((u, len(g) - (0 if u[0] == " " else self.newline)) for u, g in zip(units, got, strict=True))
-
-    table: dict[str, int] = {}
+        # a unit has a token at least: the last space of a text, after which nothing is left to encode, is one
+        self.known.update((u, max(1, len(g) - (0 if u[0] == " " else self.newline))) for u, g in zip(units, got, strict=True))
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -69,7 +70,7 @@ class Counts:
         found = list(map(self.known.get, units))
         if None in found:
             self.learn(list({u for u, n in zip(units, found, strict=True) if n is None}))
-            found = map(self.known.__getitem__, units)
+            found = [self.known[u] if n is None else n for u, n in zip(units, found, strict=True)]
         return sum(found)
 
 
