@@ -25,130 +25,105 @@ def class_grid(spark, k: int) -> DataFrame:
     return c.crossJoin(p)  # k*k rows: bounded by the number of classes
 
 
-def confusion_long(df: DataFrame, k: int, label: str = LABEL, pred: str = PRED) -> DataFrame:
-    """(label, prediction, count) over the full k x k grid; empty cells are 0.
-    Predictions outside 0..k-1 are counted in no cell (as a labelled matrix drops them)."""
-    counts = (df.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("prediction"))
-              .agg(F.count(F.lit(1)).alias("count")))
-    grid = class_grid(df.sparkSession, k)
-    return (grid.join(counts, ["label", "prediction"], "left")
+def pair_counts(df: DataFrame, label: str = LABEL, pred: str = PRED) -> DataFrame:
+    """(label, prediction, count) of every row, whatever its class numbers are."""
+    return (df.groupBy(F.col(label).cast("int").alias("label"), F.col(pred).cast("int").alias("prediction"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def on_grid(counts: DataFrame, k: int) -> DataFrame:
+    """Pair counts over the full k x k grid; empty cells are 0, pairs outside it have no cell."""
+    return (class_grid(counts.sparkSession, k).join(counts, ["label", "prediction"], "left")
             .select("label", "prediction", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
-def confusion_wide(conf_long: DataFrame, k: int) -> DataFrame:
-    """Rows = true label, one column per predicted class (``pred_<i>``)."""
-    wide = conf_long.groupBy("label").pivot("prediction", list(range(k))).agg(F.sum("count"))
-    return wide.select("label", *[F.coalesce(F.col(str(i)), F.lit(0)).cast("bigint").alias(f"pred_{i}")
-                                  for i in range(k)])
-
-
-def _safe_div(a, b):
-    return F.when(b > 0, a / b).otherwise(F.lit(0.0))
-
-
-def per_class(conf_long: DataFrame) -> DataFrame:
-    """Per class: tp, fp, fn, support, precision, recall, F1 (zero division -> 0)."""
-    c = conf_long
-    by_true = c.groupBy(F.col("label").alias("class")).agg(
-        F.sum("count").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)).alias("tp"))
-    by_pred = c.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
-    j = by_true.join(by_pred, "class", "full_outer").select(
-        "class", F.coalesce("tp", F.lit(0)).alias("tp"), F.coalesce("support", F.lit(0)).alias("support"),
-        F.coalesce("predicted", F.lit(0)).alias("predicted"))
-    j = j.select("class", F.col("tp").cast("bigint").alias("tp"),
-                 (F.col("predicted") - F.col("tp")).cast("bigint").alias("fp"),
-                 (F.col("support") - F.col("tp")).cast("bigint").alias("fn"),
-                 F.col("support").cast("bigint").alias("support"))
-    p = _safe_div(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double"))
-    r = _safe_div(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double"))
-    j = j.withColumn("precision", p).withColumn("recall", r)
-    return j.withColumn("f1", _safe_div(2 * F.col("precision") * F.col("recall"),
-                                        F.col("precision") + F.col("recall")))
-
-
-def scores(conf_long: DataFrame) -> DataFrame:
-    """accuracy and support-weighted precision / recall / F1 (one row)."""
-    pc = per_class(conf_long)
-    n = F.sum("support").cast("double")
-    return pc.agg(
-        (F.sum("tp") / n).alias("accuracy"),
-        (F.sum(F.col("precision") * F.col("support")) / n).alias("precision_weighted"),
-        (F.sum(F.col("recall") * F.col("support")) / n).alias("recall_weighted"),
-        (F.sum(F.col("f1") * F.col("support")) / n).alias("f1_weighted"),
-        F.sum("support").alias("rows"))
+def confusion_long(df: DataFrame, k: int, label: str = LABEL, pred: str = PRED) -> DataFrame:
+    """The k x k matrix in long form. Scores are not computed from it but from ``pair_counts``:
+    a prediction outside 0..k-1 has no cell here and still is a wrong prediction there."""
+    return on_grid(pair_counts(df, label, pred), k)
+
+
+def confusion_wide(conf_long: DataFrame, k: int, names: Sequence[str] | None = None) -> DataFrame:
+    """Rows = true label, one column per predicted class (``pred_<i>``, or the class names)."""
+    names = list(names) if names else [f"pred_{i}" for i in range(k)]
+    cells = [F.sum(F.when(F.col("prediction") == i, F.col("count")).otherwise(0)).cast("bigint").alias(n)
+             for i, n in enumerate(names)]
+    return conf_long.groupBy("label").agg(*cells)
+
+
+def per_class(counts: DataFrame, k: int | None = None) -> DataFrame:
+    """Per class: tp, fp, fn, support, precision, recall, F1 (zero division -> 0) from pair
+    counts; with ``k``, a row for each of the classes 0..k-1 and none for others."""
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    sides = counts.select(F.inline(F.array(
+        F.struct(F.col("label").alias("class"), F.col("count").cast("bigint").alias("support"),
+                 hit.cast("bigint").alias("tp"), zero.alias("predicted")),
+        F.struct(F.col("prediction").alias("class"), zero.alias("support"), zero.alias("tp"),
+                 F.col("count").cast("bigint").alias("predicted")))))
+    t = sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "tp", "predicted")])
+    if k is not None:
+        classes = counts.sparkSession.range(k).select(F.col("id").cast("int").alias("class"))
+        t = classes.join(t, "class", "left").na.fill(0, ["support", "tp", "predicted"])
+    share = lambda part, whole: F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+    t = t.select("class", "tp", (F.col("predicted") - F.col("tp")).alias("fp"),
+                 (F.col("support") - F.col("tp")).alias("fn"), "support",
+                 share(F.col("tp"), F.col("predicted")).alias("precision"),
+                 share(F.col("tp"), F.col("support")).alias("recall"))
+    return t.withColumn("f1", share(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
+
+
+def scores(counts: DataFrame) -> DataFrame:
+    """accuracy and support-weighted precision / recall / F1 over all rows (one row; NULLs without rows)."""
+    mean = lambda c: F.try_divide(F.sum(c), F.sum("support").cast("double"))
+    return per_class(counts).agg(
+        mean(F.col("tp")).alias("accuracy"),
+        *[mean(F.col(m) * F.col("support")).alias(f"{m}_weighted") for m in ("precision", "recall", "f1")],
+        F.coalesce(F.sum("support"), F.lit(0)).cast("bigint").alias("rows"))
 
 
 def probabilities(df: DataFrame, k: int, prob_col: str | None = "probability",
                   raw_col: str | None = "rawPrediction", out: str = "scores") -> DataFrame:
-    """Class scores as probabilities: the ``probability`` column as is when the
-    model has one (soft-maxed if it does not look like one), else soft-maxed raw
-    scores; width fitted to k; non-finite -> 0.
-
-    Built as a chain of projections over named slot columns, so each step
-    references the previous step's columns instead of repeating its expression
-    tree (a nested softmax over k slots grows as k cubed)."""
+    """Class scores, chosen by column for the whole frame: ``prob_col`` as it is where the
+    frame has it, else the softmax of ``raw_col``. Width is fitted to k with zeros."""
     from pyspark.ml.functions import vector_to_array
-    cols = df.columns
-    if prob_col and prob_col in cols:
-        src, is_prob = prob_col, True
-    elif raw_col and raw_col in cols:
-        src, is_prob = raw_col, False
-    else:
+    name = next((c for c in (prob_col, raw_col) if c and c in df.columns), None)
+    if name is None:
         raise ValueError("no score column")
-    arr = df[src]
-    if "vector" in df.schema[src].dataType.simpleString():
-        arr = vector_to_array(arr)
-    x = [f"_sm_x{i}" for i in range(k)]
-    f = [f"_sm_f{i}" for i in range(k)]
-    e = [f"_sm_e{i}" for i in range(k)]
-    d = df.withColumn("_sm_a", arr)
-    d = d.select("*", *[F.when(F.size("_sm_a") > i, F.col("_sm_a").getItem(i).cast("double"))
-                        .otherwise(F.lit(0.0)).alias(x[i]) for i in range(k)])
-    d = d.select("*", *[F.when(F.isnan(x[i]) | (F.abs(F.col(x[i])) == float("inf")), F.lit(0.0))
-                        .otherwise(F.col(x[i])).alias(f[i]) for i in range(k)])
-    d = d.withColumn("_sm_mx", F.greatest(*[F.col(c) for c in f]) if k > 1 else F.col(f[0]))
-    d = d.select("*", *[F.exp(F.col(f[i]) - F.col("_sm_mx")).alias(e[i]) for i in range(k)])
-    d = d.withColumn("_sm_t", sum((F.col(c) for c in e[1:]), F.col(e[0])))
-    d = d.withColumn("_sm_t", F.when(F.col("_sm_t") == 0, F.lit(1.0)).otherwise(F.col("_sm_t")))
-    soft = F.array(*[F.col(c) / F.col("_sm_t") for c in e])
-    if is_prob:
-        # kept as is only where the row already is a distribution
-        total_x = sum((F.col(c) for c in x[1:]), F.col(x[0]))
-        in_range = None
-        for c in x:
-            cond = (F.col(c) >= -1e-9) & (F.col(c) <= 1 + 1e-9)
-            in_range = cond if in_range is None else in_range & cond
-        is_dist = in_range & (F.abs(total_x - 1.0) <= 1e-3)
-        d = d.withColumn(out, F.when(is_dist, F.array(*[F.col(c) for c in x])).otherwise(soft))
-    else:
-        d = d.withColumn(out, soft)
-    return d.drop(*[c for c in d.columns if c.startswith("_sm_")])
-
-
-SCORE_DIGITS = 12
+    values = df[name]
+    if "vector" in df.schema[name].dataType.simpleString():
+        values = vector_to_array(values)
+    fitted = df.withColumn("_given", F.slice(F.concat(values, F.array_repeat(F.lit(0.0), k)), 1, k))
+    if name == prob_col:
+        return fitted.withColumnRenamed("_given", out) if out not in df.columns else fitted.withColumn(out, F.col("_given")).drop("_given")
+    # array steps: the generated code stays small for any number of classes
+    finite = lambda x: F.when(F.isnan(x) | (F.abs(x) == float("inf")), F.lit(0.0)).otherwise(x)
+    step = fitted.withColumn("_given", F.transform("_given", finite))
+    step = step.withColumn("_top", F.array_max("_given"))
+    step = step.withColumn("_power", F.transform("_given", lambda x: F.exp(x - F.col("_top"))))
+    step = step.withColumn("_all", F.aggregate("_power", F.lit(0.0), lambda a, x: a + x))
+    return step.withColumn(out, F.transform("_power", lambda x: x / F.col("_all"))).drop("_given", "_top", "_power", "_all")
 
 
 def class_scores(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scores",
-                 digits: int | None = SCORE_DIGITS) -> DataFrame:
-    """(class, score, pos, neg): one row per distinct score of each class's column.
-
-    Scores are compared at ``digits`` decimals: soft-maxed scores of equal inputs
-    can differ in the last bit between ``exp`` implementations, and ties must not
-    depend on that."""
+                 digits: int | None = None) -> DataFrame:
+    """(class, score, pos, neg): one row per distinct score of each class's column. Scores
+    are ranked as they are; ``digits`` rounds them first, for a comparison across engines
+    whose ``exp`` differs in the last bit."""
     long = df.select(F.col(label).cast("int").alias("_y"),
                      F.posexplode(F.slice(score_col, 1, k)).alias("class", "score"))
     if digits is not None:
         long = long.withColumn("score", F.round("score", digits))
     return (long.groupBy("class", "score").agg(
         F.count_if(F.col("_y") == F.col("class")).alias("pos"),
-        F.count_if(F.col("_y") != F.col("class")).alias("neg")))
+        F.count_if(F.col("_y").isNull() | (F.col("_y") != F.col("class"))).alias("neg")))
 
 
-def auc_per_class(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scores") -> DataFrame:
+def auc_per_class(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scores",
+                  digits: int | None = None) -> DataFrame:
     """One-vs-rest AUC per class (tie-averaged), for classes with positives and
     negatives; AUC = sum pos(s) * (neg below s + neg(s)/2) / (P * N)."""
-    cs = class_scores(df, k, label, score_col)
+    cs = class_scores(df, k, label, score_col, digits)
     cum = running_sums(cs, ["class"], "score", ["neg"], inclusive=False)  # negatives strictly below
     agg = cum.groupBy("class").agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
@@ -161,50 +136,48 @@ def auc_per_class(df: DataFrame, k: int, label: str = LABEL, score_col: str = "s
 
 def auc_weighted(per_class_auc: DataFrame, k: int | None = None) -> DataFrame:
     """Positives-weighted mean of the per-class AUCs; with two classes the AUC of
-    class 1 alone (the binary definition)."""
+    class 1 alone (the binary definition). NaN where no class has both sides."""
     src = per_class_auc.where(F.col("class") == 1) if k == 2 else per_class_auc
-    return src.agg((F.sum(F.col("auc") * F.col("positives")) / F.sum("positives")).alias("auc"))
+    mean = F.try_divide(F.sum(F.col("auc") * F.col("positives")), F.sum("positives").cast("double"))
+    return src.agg(F.coalesce(mean, F.lit(float("nan"))).alias("auc"))
 
 
 def roc_points(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scores",
-               max_points: int = 1000) -> DataFrame:
-    """Micro-averaged ROC: all (row, class) scores pooled. Thresholds are the
-    distinct scores, high to low; points lying mid-way on a straight run are
-    dropped (as scikit-learn's ``drop_intermediate``), (0, 0) is prepended, and
-    more than ``max_points`` points are thinned to evenly spaced indices. With
-    two classes the curve is that of class 1's score."""
+               max_points: int | None = None, digits: int | None = None) -> DataFrame:
+    """Micro-averaged ROC: the (row, class) scores of all classes that occur in the truth, pooled;
+    with two classes the curve of class 1's score. Thresholds are the distinct scores, high
+    to low; points mid-way on a straight run are dropped (they add nothing to the curve) and
+    (0, 0) comes first. Fewer than two classes in the truth: the diagonal. All points are
+    returned unless ``max_points`` asks for evenly spaced ones."""
     spark = df.sparkSession
-    cs = class_scores(df, k, label, score_col)
-    if k == 2:  # binary: the curve of class 1's score, not the pooled one
-        cs = cs.where(F.col("class") == 1)
-    pooled = cs.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-                                     F.lit(1).alias("one"))
+    cs = cut_lineage(class_scores(df, k, label, score_col, digits))
+    present = cs.groupBy("class").agg(F.sum("pos").alias("_p")).where(F.col("_p") > 0).select("class")
+    used = cs.where(F.col("class") == 1) if k == 2 else cs.join(present, "class", "left_semi")
+    pooled = used.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.lit(1).alias("one"))
     cum = running_sums(pooled, [], "score", ["pos", "neg", "one"], descending=True)
     pts = cut_lineage(cum.select(F.col("cum_one").cast("bigint").alias("ord"), "score",
                                  F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps")))
-    n = pts.agg(F.max("ord").alias("_npts"), F.max("tps").alias("_pos_total"), F.max("fps").alias("_neg_total"))
-    prev = pts.select((F.col("ord") + 1).alias("ord"), F.col("tps").alias("_tp_prev"), F.col("fps").alias("_fp_prev"))
-    nxt = pts.select((F.col("ord") - 1).alias("ord"), F.col("tps").alias("_tp_next"), F.col("fps").alias("_fp_next"))
-    j = pts.join(prev, "ord", "left").join(nxt, "ord", "left").crossJoin(F.broadcast(n))
-    second_fp = F.col("_fp_next") - 2 * F.col("fps") + F.col("_fp_prev")
-    second_tp = F.col("_tp_next") - 2 * F.col("tps") + F.col("_tp_prev")
-    keep = (F.col("_npts") <= 2) | F.col("_fp_prev").isNull() | F.col("_fp_next").isNull() | \
-        (second_fp != 0) | (second_tp != 0)
-    kept = j.where(keep).select("ord", "score", "tps", "fps", "_pos_total", "_neg_total")
-    # renumber the kept points 1..m, then prepend (0, 0) as ordinal 0
+    ends = pts.agg(F.max("ord").alias("_last"), F.max("tps").alias("_pos"), F.max("fps").alias("_neg"))
+    beside = lambda by, tag: pts.select((F.col("ord") + by).alias("ord"), F.col("tps").alias(f"_tps_{tag}"), F.col("fps").alias(f"_fps_{tag}"))
+    j = pts.join(beside(1, "up"), "ord", "left").join(beside(-1, "down"), "ord", "left").crossJoin(F.broadcast(ends))
+    bend = lambda c: F.col(f"_{c}_down") + F.col(f"_{c}_up") != 2 * F.col(c)
+    corner = (F.col("_last") <= 2) | F.col("_tps_up").isNull() | F.col("_tps_down").isNull() | bend("tps") | bend("fps")
+    kept = j.where(corner & (F.col("_pos") > 0) & (F.col("_neg") > 0)).select("ord", "score", "tps", "fps", "_pos", "_neg")
     renum = running_sums(kept.withColumn("one", F.lit(1)), [], "ord", ["one"])
-    curve = renum.select(F.col("cum_one").cast("bigint").alias("ord"), F.col("score").alias("threshold"),
-                         (F.col("fps") / F.col("_neg_total")).alias("fpr"), (F.col("tps") / F.col("_pos_total")).alias("tpr"))
-    origin = spark.range(1).select(F.lit(0).cast("bigint").alias("ord"), F.lit(None).cast("double").alias("threshold"),
-                                   F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    curve = origin.unionByName(curve)
+    curve = renum.select(F.col("cum_one").cast("bigint").alias("ord"), F.col("score").cast("double").alias("threshold"),
+                         (F.col("fps") / F.col("_neg")).alias("fpr"), (F.col("tps") / F.col("_pos")).alias("tpr"))
+    fixed = spark.range(2).select(F.col("id").alias("ord"), F.lit(None).cast("double").alias("threshold"),
+                                  F.col("id").cast("double").alias("fpr"), F.col("id").cast("double").alias("tpr"))
+    sides = ends.select((F.coalesce("_pos", F.lit(0)) > 0).alias("a"), (F.coalesce("_neg", F.lit(0)) > 0).alias("b"))
+    start = fixed.crossJoin(F.broadcast(sides)).where((F.col("ord") == 0) | ~(F.col("a") & F.col("b"))).drop("a", "b")
+    curve = start.unionByName(curve)
+    if max_points is None:
+        return curve
     m = curve.agg(F.count(F.lit(1)).alias("_m"))
-    idx = spark.range(max_points).crossJoin(F.broadcast(m)).select(
-        F.when(F.col("_m") > max_points,
-               F.floor(F.col("id") * ((F.col("_m") - 1) / F.lit(float(max_points - 1))))).otherwise(F.col("id"))
-        .cast("bigint").alias("ord")).distinct()
-    # at most max_points ordinals: bounded broadcast
-    return curve.join(F.broadcast(idx), "ord", "left_semi")
+    spread = spark.range(max_points).crossJoin(F.broadcast(m)).select(
+        F.when(F.col("_m") > max_points, F.floor(F.col("id") * (F.col("_m") - 1) / (max_points - 1.0)))
+        .otherwise(F.col("id")).cast("bigint").alias("ord")).distinct()
+    return curve.join(spread, "ord", "left_semi")
 
 
 def top_confusions(conf_long: DataFrame, k: int = 5) -> DataFrame:
@@ -216,13 +189,14 @@ def top_confusions(conf_long: DataFrame, k: int = 5) -> DataFrame:
 def with_names(df: DataFrame, label_map: DataFrame, idx_cols: Sequence[str], default: str = "unknown",
                index_col: str = "label_index", name_col: str = "name") -> DataFrame:
     """Index -> name for each index column; an index missing from the map gets
-    ``default``. The map has one row per class: bounded, broadcast."""
-    out = df
-    lm = F.broadcast(label_map.select(F.col(index_col).cast("int").alias("_idx"), F.col(name_col).alias("_name")))
+    ``default``. The map has one entry per class."""
+    # the map as one row of a map column: read once, whatever the number of looked-up columns
+    entry = F.struct(F.col(index_col).cast("int"), F.col(name_col))
+    one = label_map.agg(F.map_from_entries(F.collect_list(entry)).alias("_names"))
+    out = df.crossJoin(F.broadcast(one))
     for c in idx_cols:
-        out = (out.join(lm, out[c].cast("int") == F.col("_idx"), "left")
-               .withColumn(f"{c}_name", F.coalesce(F.col("_name"), F.lit(default))).drop("_idx", "_name"))
-    return out
+        out = out.withColumn(f"{c}_name", F.coalesce(F.try_element_at("_names", F.col(c).cast("int")), F.lit(default)))
+    return out.drop("_names")
 
 
 def actual_vs_predicted(named: DataFrame, top: int = 10, actual: str = "label_name",
@@ -232,7 +206,7 @@ def actual_vs_predicted(named: DataFrame, top: int = 10, actual: str = "label_na
     act = named.groupBy(F.col(actual).alias("class_name")).agg(F.count(F.lit(1)).alias("actual"))
     top_cls = act.orderBy(F.desc("actual"), "class_name").limit(top)
     prd = named.groupBy(F.col(predicted).alias("class_name")).agg(F.count(F.lit(1)).alias("predicted"))
-    wide = F.broadcast(top_cls).join(prd, "class_name", "left").select(
+    wide = top_cls.join(prd, "class_name", "left").select(
         "class_name", "actual", F.coalesce("predicted", F.lit(0)).alias("predicted"))
     return wide.unpivot(["class_name"], ["actual", "predicted"], "kind", "count")
 

@@ -18,16 +18,20 @@ from pyspark.sql import functions as F
 
 from cadence.session import cut_lineage
 
-DEFAULT_BUCKETS = 64
+LEAST_BUCKETS, MOST_BUCKETS = 64, 2000
 
 
 def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequence[str],
-                 buckets: int = DEFAULT_BUCKETS, descending: bool = False,
+                 buckets: int | None = None, descending: bool = False,
                  inclusive: bool = True, materialize: bool = True) -> DataFrame:
     """Add ``cum_<v>`` = sum of ``v`` over rows of the same group with key before
     (and, if ``inclusive``, at) the current key. ``df`` must hold one row per
-    (groups, key). ``descending`` orders the key from high to low."""
+    (groups, key). ``descending`` orders the key from high to low. Buckets follow
+    the session's number of shuffle partitions, which is set for the data."""
     groups = list(groups)
+    if buckets is None:
+        own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, own))
     k = F.col(key).cast("double")
     sign = -1.0 if descending else 1.0
     okey = (k * F.lit(sign)).alias("_okey")
@@ -39,8 +43,8 @@ def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequenc
     probs = [i / buckets for i in range(1, buckets)]
     bounds = base.groupBy(*groups).agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds")) \
         if groups else base.agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds"))
-    # bounds: one row per group, `buckets` numbers each: bounded, safe to broadcast
-    withb = base.join(F.broadcast(bounds), groups, "inner") if groups else base.crossJoin(F.broadcast(bounds))
+    # one row per group: Catalyst sends it to every task only while it is small
+    withb = base.join(bounds, groups, "inner") if groups else base.crossJoin(F.broadcast(bounds))
     withb = withb.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_okey")))).drop("_bounds")
     frame = Window.partitionBy(*groups, "_bucket").orderBy("_okey")
     frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
@@ -50,7 +54,7 @@ def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequenc
     offsets = totals.select(*groups, "_bucket",
                             *[F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
                               for v in values])
-    out = local.join(F.broadcast(offsets), groups + ["_bucket"], "inner")
+    out = local.join(offsets, groups + ["_bucket"], "inner")
     return out.select(*df.columns, *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}")
                                      for v in values])
 
@@ -62,6 +66,11 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def value_table(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """``value_counts``, materialised once for the branches that read it."""
+    return cut_lineage(value_counts(df, groups, value))
+
+
 def long_values(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
     """Stack columns into (groups..., feature, value double)."""
     return df.select(*groups, F.inline(F.array(*[
@@ -69,11 +78,11 @@ def long_values(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = ())
 
 
 def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[float],
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (as ``percentile``/``quantile_cont``)
-    from (groups, value, n) rows. Returns (groups, q_<i> for each prob)."""
+    from (groups, value, n) rows. Returns (groups, q_<i> for each prob). The counts are read by
+    three branches: callers hand over a materialised frame (``value_table``)."""
     groups = list(groups)
-    counts = cut_lineage(counts)  # distinct values only; read by three branches
     cum = running_sums(counts, groups, "value", ["n"], buckets, materialize=False)  # cum_n inclusive
     cum = cum.withColumn("_prev", F.col("cum_n") - F.col("n"))
     totals = counts.groupBy(*groups).agg(F.sum("n").alias("_total")) if groups else \
@@ -89,11 +98,11 @@ def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[fl
         F.struct(F.lit("lo").alias("_side"), F.col("_r_lo").alias("_r")),
         F.struct(F.lit("hi").alias("_side"), F.col("_r_hi").alias("_r")))).alias("_t")) \
         .select(*groups, "_pi", "_t._side", "_t._r")
-    # groups x probs x 2 rows: bounded by the number of groups, broadcast
+    # groups x probs x 2 rows
     ranks = ranks.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "_pi", "_side", "_r")
     cond = [F.col(g) == F.col(f"_g_{g}") for g in groups]
     cond.append((F.col("_prev") <= F.col("_r")) & (F.col("_r") < F.col("cum_n")))
-    hit = cum.join(F.broadcast(ranks), cond, "inner").select(*groups, "_pi", "_side", "value")
+    hit = cum.join(ranks, cond, "inner").select(*groups, "_pi", "_side", "value")
     sides = hit.groupBy(*groups, "_pi").agg(
         F.max(F.when(F.col("_side") == "lo", F.col("value"))).alias("_v_lo"),
         F.max(F.when(F.col("_side") == "hi", F.col("value"))).alias("_v_hi"))

@@ -15,8 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.expressions import bin_index, hash_order
-from cadence.operators.ordered import approx_quantiles, exact_quantiles, long_values, value_counts
-from cadence.session import cut_lineage
+from cadence.operators.ordered import approx_quantiles, exact_quantiles, long_values, value_counts, value_table
 
 
 # ---------------------------------------------------------------- histograms
@@ -57,8 +56,7 @@ def histogram_auto(long: DataFrame, groups: Sequence[str], n_bins: int,
     groups = list(groups)
     long = long.where(F.col("value").isNotNull())
     bounds = _auto_bounds(long, groups, n_bins)
-    # one row per group: bounded by the number of groups
-    j = long.join(F.broadcast(bounds), groups, "inner")
+    j = long.join(bounds, groups, "inner")
     counts = (j.select(*groups, bin_index("value", F.col("_lo"), F.col("_w"), n_bins, check_range=False).alias("bin"))
               .groupBy(*groups, "bin").agg(F.count(F.lit(1)).alias("count")))
     grid = bounds.crossJoin(F.broadcast(_bin_grid(long.sparkSession, n_bins)))
@@ -76,13 +74,18 @@ def histogram_auto(long: DataFrame, groups: Sequence[str], n_bins: int,
 
 def mean_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and exact median per feature."""
-    counts = cut_lineage(value_counts(long_values(df, cols), ["feature"], "value"))
+    counts = value_table(long_values(df, cols), ["feature"], "value")
     med = exact_quantiles(counts, ["feature"], [0.5])
     # mean from the value counts: sum(value * n) / sum(n)
     means = counts.groupBy("feature").agg((F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
     return means.join(med, "feature", "left").select("feature", "mean", F.col("q_0").alias("median"))
 
 
+def _counts(long, groups, approx: bool):
+    """Distinct-value counts: written once where exact quantiles read them, a plain plan where a sketch does."""
+    return value_counts(long, groups, "value") if approx else value_table(long, groups, "value")
+
+
 def _quantiles(long, counts, groups, probs, approx: bool):
     """Exact quantiles from the distinct-value counts, or approximate ones from the rows."""
     return approx_quantiles(long, groups, probs) if approx else exact_quantiles(counts, groups, probs)
@@ -90,39 +93,40 @@ def _quantiles(long, counts, groups, probs, approx: bool):
 
 def box_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """Box-plot statistics with the matplotlib whisker rule: whiskers at the most
-    extreme data inside [q1 - 1.5 IQR, q3 + 1.5 IQR]; exact interpolated quartiles
-    (or approximate ones with ``approx``)."""
+    extreme data inside [q1 - 1.5 IQR, q3 + 1.5 IQR], or at the quartile where no
+    datum lies between the two; exact interpolated quartiles (or approximate ones with ``approx``)."""
     long = long_values(df, cols).where(F.col("value").isNotNull())
-    counts = cut_lineage(value_counts(long, ["feature"], "value"))
+    counts = _counts(long, ["feature"], approx)
     q = _quantiles(long, counts, ["feature"], [0.25, 0.5, 0.75], approx).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("median"), F.col("q_2").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("_lf", F.col("q1") - 1.5 * F.col("iqr")) \
         .withColumn("_uf", F.col("q3") + 1.5 * F.col("iqr"))
-    # per-feature fences: one row per feature, bounded
-    j = counts.join(F.broadcast(q.select("feature", "_lf", "_uf")), "feature", "inner")
+    j = counts.join(q.select("feature", "_lf", "_uf"), "feature", "inner")
     inner = j.groupBy("feature").agg(
         F.min(F.when(F.col("value") >= F.col("_lf"), F.col("value"))).alias("whisker_low"),
         F.max(F.when(F.col("value") <= F.col("_uf"), F.col("value"))).alias("whisker_high"),
         F.sum(F.when((F.col("value") < F.col("_lf")) | (F.col("value") > F.col("_uf")), F.col("n"))
               .otherwise(0)).alias("outlier_count"),
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
-    return q.join(inner, "feature").select("feature", "q1", "median", "q3", "iqr", "whisker_low",
-                                           "whisker_high", "outlier_count", "mean")
+    # least and greatest skip a NULL: no datum inside the fence leaves the quartile
+    return q.join(inner, "feature").select(
+        "feature", "q1", "median", "q3", "iqr", F.least("whisker_low", "q1").alias("whisker_low"),
+        F.greatest("whisker_high", "q3").alias("whisker_high"), "outlier_count", "mean")
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """q1, q3, fences, outlier count and percent of all rows, per column
     (``approx``: quartiles from ``percentile_approx``, as ``approxQuantile`` gives)."""
     long = long_values(df, cols)
-    counts = cut_lineage(value_counts(long, ["feature"], "value"))
+    counts = _counts(long, ["feature"], approx)
     q = _quantiles(long, counts, ["feature"], [0.25, 0.75], approx).select(
         "feature", F.col("q_0").alias("q1"), F.col("q_1").alias("q3"))
     q = q.select("feature", "q1", "q3",
                  (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower_fence"),
                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper_fence"))
     total = df.agg(F.count(F.lit(1)).alias("_total"))
-    j = counts.join(F.broadcast(q), "feature", "inner")
+    j = counts.join(q, "feature", "inner")
     cnt = j.groupBy("feature").agg(F.sum(F.when((F.col("value") < F.col("lower_fence")) |
                                                 (F.col("value") > F.col("upper_fence")), F.col("n"))
                                          .otherwise(0)).alias("outlier_count"))
@@ -142,7 +146,7 @@ def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int, approx:
     top = sizes.orderBy(F.desc("_size"), F.asc(group_col)).limit(top_k).select(group_col)
     rows = df.join(F.broadcast(top), group_col, "left_semi").select(
         group_col, F.col(value_col).cast("double").alias("value"))
-    counts = cut_lineage(value_counts(rows, [group_col], "value"))
+    counts = _counts(rows, [group_col], approx)
     q = _quantiles(rows, counts, [group_col], [0.25, 0.5, 0.75], approx)
     basic = counts.groupBy(group_col).agg(
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -219,6 +223,13 @@ def hash_sample(df: DataFrame, fraction: float, seed: int, key_cols: Sequence[st
 
 
 def capped_rows(df: DataFrame, n: int, seed: int, key_cols: Sequence[str]) -> DataFrame:
-    """``n`` rows in a fixed pseudo-random order (the rows a chart would plot)."""
+    """A sampler: ``n`` rows in a fixed pseudo-random order, for a caller that asks for so many."""
     h = hash_order(F.lit(str(seed)), *key_cols)
     return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
+
+
+def bins_2d(df: DataFrame, x: str, y: str, x_width: float, y_width: float) -> DataFrame:
+    """Counts of all rows on a grid (x_bin, y_bin): a scatter of any size in bounded space."""
+    at = lambda c, w: F.floor(F.col(c).cast("double") / F.lit(float(w))).cast("bigint")
+    return (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+            .groupBy(at(x, x_width).alias("x_bin"), at(y, y_width).alias("y_bin")).agg(F.count(F.lit(1)).alias("count")))

@@ -96,8 +96,10 @@ def events(spark: SparkSession, sf_dir: str, columns=None) -> DataFrame:
 
 
 # Classifier output bound to lineitem: label from the return flag, prediction from
-# the quantity, raw scores as three linear forms (ties occur: quantity is integral).
-PRED_CLASSES = ["A", "N", "R"]
+# the quantity, raw scores as four linear forms (ties occur: quantity is integral). Class 3
+# never occurs in the truth, and the largest quantity is predicted as a class that does not exist.
+PRED_CLASSES = ["A", "N", "R", "X"]
+OUT_OF_RANGE = 7
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,11 +111,13 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1)
          .otherwise(2).cast("int").alias("label"),
-        F.when(q < 18, 0).when(q < 35, 1).otherwise(2).cast("int").alias("prediction"),
+        F.when(q < 18, 0).when(q < 35, 1).when(q < 47, 2).when(q < 50, 3).otherwise(OUT_OF_RANGE)
+         .cast("int").alias("prediction"),
         F.array(
             (F.lit(50.0) - q) / 10 + d * 10,
             F.lit(2.5) - F.abs(q - 26) / 10 + t * 10,
             q / 10 - t * 10,
+            q / 10 - 4.5,
         ).alias("raw_scores"),
     )
 
@@ -121,9 +125,11 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 PREDICTIONS_SQL = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS INTEGER) AS label,
-  CAST(CASE WHEN l_quantity < 18 THEN 0 WHEN l_quantity < 35 THEN 1 ELSE 2 END AS INTEGER) AS prediction,
+  CAST(CASE WHEN l_quantity < 18 THEN 0 WHEN l_quantity < 35 THEN 1 WHEN l_quantity < 47 THEN 2
+       WHEN l_quantity < 50 THEN 3 ELSE 7 END AS INTEGER) AS prediction,
   (50e0 - l_quantity) / 10 + l_discount * 10 AS s0,
   2.5e0 - abs(l_quantity - 26) / 10 + l_tax * 10 AS s1,
-  l_quantity / 10 - l_tax * 10 AS s2
+  l_quantity / 10 - l_tax * 10 AS s2,
+  l_quantity / 10 - 4.5e0 AS s3
 FROM lineitem
 """

@@ -2,12 +2,12 @@
 
 As in a lakehouse, the exploration and model queries read the written Silver
 and feature tables rather than re-deriving them: each is written once per
-session and data directory (a versioned layer in the shared checkpoint folder)
-and then scanned. Without that, one query plan would re-run the whole
+session and state of the input files (a versioned layer in the shared checkpoint folder)
+and then scanned; changed inputs are another state and are read anew. Without that, one query plan would re-run the whole
 de-duplication for each branch that reads Silver (the main branch, the
 min/max bounds of the scaling, the top-k class list). The queries that *are*
-the cleaning or feature step (``silver``, ``clean_stages``, ``features``,
-``flagship_gold``) compute from their inputs every time.
+the cleaning step (``silver``, ``clean_stages``, ``flagship_gold``) compute from
+Bronze every time; ``features`` computes from the Silver table.
 """
 
 from __future__ import annotations
@@ -16,13 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadence.operators import clean, features
 from cadence.plans import binding
-from cadence.session import scratch_path
+from cadence.session import scratch_path, table_path
 from cadence.sources import messages
 from cadence.sources.tables import read_layer, write_layer
 
 _LAYERS: dict = {}
 
 
+def stamp(spark: SparkSession, sf_dir: str, *tables: str) -> tuple:
+    """What the input files are just now: application, and path, size and time of every file.
+    Anything kept under this key is found again only while the inputs are the same."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = []
+    for name in tables:
+        path = jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+        fs = path.getFileSystem(conf)
+        files += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)]
+    return spark.sparkContext.applicationId, sf_dir, tuple(sorted(files))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows: the decoded messages, which equal the raw track rows
     (``json_encode`` checks that the round trip is lossless)."""
@@ -38,7 +50,7 @@ def compute_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _layer(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (name, stamp(spark, sf_dir, "lineitem", "part"))
     if key not in _LAYERS:
         root = scratch_path(spark, name)
         write_layer(build(), root)

@@ -22,28 +22,25 @@ def _probs(spark, sf):
 
 
 _PROB_CTES = """
-pm AS (SELECT *, greatest(s0, s1, s2) AS mx FROM pred),
-pe AS (SELECT *, exp(s0 - mx) AS e0, exp(s1 - mx) AS e1, exp(s2 - mx) AS e2 FROM pm),
-prob AS (SELECT *, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2 FROM pe)"""
+pe AS (SELECT *, greatest(s0, s1, s2, s3) AS mx FROM pred),
+prob AS (SELECT *, 1 / (exp(s0 - s0) + exp(s1 - s0) + exp(s2 - s0) + exp(s3 - s0)) AS p0,
+  1 / (exp(s0 - s1) + exp(s1 - s1) + exp(s2 - s1) + exp(s3 - s1)) AS p1,
+  1 / (exp(s0 - s2) + exp(s1 - s2) + exp(s2 - s2) + exp(s3 - s2)) AS p2,
+  1 / (exp(s0 - s3) + exp(s1 - s3) + exp(s2 - s3) + exp(s3 - s3)) AS p3 FROM pe)"""
 
 _CONF_CTES = """
-grid AS (SELECT CAST(a.range AS INTEGER) AS label, CAST(b.range AS INTEGER) AS prediction
-         FROM range(3) a, range(3) b),
-cnt AS (SELECT label, prediction, count(*) AS n FROM pred GROUP BY 1, 2),
-conf AS (SELECT g.label, g.prediction, coalesce(c.n, 0) AS count FROM grid g
-         LEFT JOIN cnt c ON c.label = g.label AND c.prediction = g.prediction)"""
+conf AS (SELECT CAST(a.range AS INTEGER) AS label, CAST(b.range AS INTEGER) AS prediction,
+  (SELECT count(*) FROM pred WHERE label = a.range AND prediction = b.range) AS count FROM range(4) a, range(4) b)"""
 
+# from the rows, not from the grid: a prediction outside it is a wrong one
 _PER_CLASS_CTE = """
-pc0 AS (SELECT t.class, t.tp, p.predicted - t.tp AS fp, t.support - t.tp AS fn, t.support FROM
-  (SELECT label AS class, sum(count) AS support, sum(CASE WHEN label = prediction THEN count ELSE 0 END) AS tp
-   FROM conf GROUP BY 1) t JOIN (SELECT prediction AS class, sum(count) AS predicted FROM conf GROUP BY 1) p
-  USING (class)),
-pc1 AS (SELECT class, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
-  CAST(support AS BIGINT) AS support,
-  CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0e0 END AS precision,
-  CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) ELSE 0e0 END AS recall FROM pc0),
-pc AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
-  ELSE 0e0 END AS f1 FROM pc1)"""
+pc1 AS (SELECT c.range AS class,
+  (SELECT count(*) FROM pred WHERE label = c.range AND prediction = c.range) AS tp,
+  (SELECT count(*) FROM pred WHERE label <> c.range AND prediction = c.range) AS fp,
+  (SELECT count(*) FROM pred WHERE label = c.range AND prediction <> c.range) AS fn,
+  (SELECT count(*) FROM pred WHERE label = c.range) AS support FROM range(4) c),
+pc AS (SELECT *, coalesce(tp / nullif(tp + fp, 0e0), 0e0) AS precision, coalesce(tp / nullif(tp + fn, 0e0), 0e0) AS recall,
+  coalesce(2 * tp / nullif(2 * tp + fp + fn, 0e0), 0e0) AS f1 FROM pc1)"""
 
 
 def _ctes(*extra: str) -> str:
@@ -56,47 +53,50 @@ def confusion_long(spark, sf):
 
 
 @register("confusion_wide", _ctes(_CONF_CTES + """
-SELECT label, sum(count) FILTER (WHERE prediction = 0) AS pred_0, sum(count) FILTER (WHERE prediction = 1) AS pred_1,
-  sum(count) FILTER (WHERE prediction = 2) AS pred_2 FROM conf GROUP BY label""").replace(
-    "sum(count) FILTER (WHERE prediction = 0) AS pred_0",
-    "CAST(sum(count) FILTER (WHERE prediction = 0) AS BIGINT) AS pred_0").replace(
-    "sum(count) FILTER (WHERE prediction = 1) AS pred_1",
-    "CAST(sum(count) FILTER (WHERE prediction = 1) AS BIGINT) AS pred_1").replace(
-    "sum(count) FILTER (WHERE prediction = 2) AS pred_2",
-    "CAST(sum(count) FILTER (WHERE prediction = 2) AS BIGINT) AS pred_2"))
+SELECT label, """ + ", ".join(f"CAST(sum(count) FILTER (WHERE prediction = {i}) AS BIGINT) AS pred_{i}" for i in range(K))
+    + " FROM conf GROUP BY label"))
 def confusion_wide(spark, sf):
     return ev.confusion_wide(ev.confusion_long(_pred(spark, sf), K), K)
 
 
+@register("confusion_named", _ctes(_CONF_CTES + """
+SELECT label, """ + ", ".join(f'CAST(sum(count) FILTER (WHERE prediction = {i}) AS BIGINT) AS "{n}"'
+                              for i, n in enumerate(binding.PRED_CLASSES)) + " FROM conf GROUP BY label"))
+def confusion_named(spark, sf):
+    return ev.confusion_wide(ev.confusion_long(_pred(spark, sf), K), K, binding.PRED_CLASSES)
+
+
 @register("eval_per_class", _ctes(_CONF_CTES + "," + _PER_CLASS_CTE + """
 SELECT CAST(class AS INTEGER) AS class, tp, fp, fn, support, round(precision, 6) AS precision,
   round(recall, 6) AS recall, round(f1, 6) AS f1 FROM pc"""))
 def eval_per_class(spark, sf):
-    return rounded(ev.per_class(ev.confusion_long(_pred(spark, sf), K)))
+    return rounded(ev.per_class(ev.pair_counts(_pred(spark, sf)), K))
 
 
 @register("eval_scores", _ctes(_CONF_CTES + "," + _PER_CLASS_CTE + """
-SELECT round(sum(tp) / CAST(sum(support) AS DOUBLE), 6) AS accuracy,
-  round(sum(precision * support) / CAST(sum(support) AS DOUBLE), 6) AS precision_weighted,
-  round(sum(recall * support) / CAST(sum(support) AS DOUBLE), 6) AS recall_weighted,
-  round(sum(f1 * support) / CAST(sum(support) AS DOUBLE), 6) AS f1_weighted,
-  CAST(sum(support) AS BIGINT) AS "rows" FROM pc"""))
+SELECT round((SELECT avg(CASE WHEN label = prediction THEN 1e0 ELSE 0e0 END) FROM pred), 6) AS accuracy,
+  round(sum(precision * support) / (SELECT count(*) FROM pred), 6) AS precision_weighted,
+  round(sum(recall * support) / (SELECT count(*) FROM pred), 6) AS recall_weighted,
+  round(sum(f1 * support) / (SELECT count(*) FROM pred), 6) AS f1_weighted,
+  (SELECT count(*) FROM pred) AS "rows" FROM pc"""))
 def eval_scores(spark, sf):
-    return rounded(ev.scores(ev.confusion_long(_pred(spark, sf), K)))
+    return rounded(ev.scores(ev.pair_counts(_pred(spark, sf))))
 
 
 @register("softmax_scores", _ctes(_PROB_CTES + """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label,
-  round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2 FROM prob"""))
+  round(p0, 6) AS p0, round(p1, 6) AS p1, round(p2, 6) AS p2, round(p3, 6) AS p3 FROM prob"""))
 def softmax_scores(spark, sf):
     p = _probs(spark, sf)
     return rounded(p.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "label",
                             *[F.col("scores")[i].alias(f"p{i}") for i in range(K)]))
 
 
-_LONG_SCORES = """
-sl AS (SELECT label, 0 AS class, round(p0, 12) AS score FROM prob UNION ALL SELECT label, 1, round(p1, 12) FROM prob
-       UNION ALL SELECT label, 2, round(p2, 12) FROM prob),
+# Both engines round scores to 12 digits here, because their exp differs in the last bit; the
+# operators rank scores as they are.
+DIGITS = 12
+_LONG_SCORES = "\nsl AS (" + " UNION ALL ".join(
+    f"SELECT label, {i} AS class, round(p{i}, {DIGITS}) AS score FROM prob" for i in range(K)) + """),
 cs AS (SELECT class, score, count(*) FILTER (WHERE label = class) AS pos,
        count(*) FILTER (WHERE label <> class) AS neg FROM sl GROUP BY 1, 2)"""
 
@@ -114,17 +114,18 @@ auc AS (SELECT class, sum(pos) AS positives, sum(neg) AS negatives,
 SELECT CAST(class AS INTEGER) AS class, CAST(positives AS BIGINT) AS positives,
   CAST(negatives AS BIGINT) AS negatives, round(auc, 6) AS auc FROM auc"""))
 def eval_auc(spark, sf):
-    return rounded(ev.auc_per_class(_probs(spark, sf), K))
+    return rounded(ev.auc_per_class(_probs(spark, sf), K, digits=DIGITS))
 
 
 @register("eval_auc_weighted", _ctes(_PROB_CTES + "," + _LONG_SCORES + "," + _AUC_CTE + """
 SELECT round(sum(auc * positives) / sum(positives), 6) AS auc FROM auc"""))
 def eval_auc_weighted(spark, sf):
-    return rounded(ev.auc_weighted(ev.auc_per_class(_probs(spark, sf), K), K))
+    return rounded(ev.auc_weighted(ev.auc_per_class(_probs(spark, sf), K, digits=DIGITS), K))
 
 
 @register("roc_points", _ctes(_PROB_CTES + "," + _LONG_SCORES + """,
-pooled AS (SELECT score, sum(pos) AS pos, sum(neg) AS neg FROM cs GROUP BY score),
+pooled AS (SELECT score, sum(pos) AS pos, sum(neg) AS neg FROM cs
+  WHERE class IN (SELECT DISTINCT label FROM pred) GROUP BY score),
 pts AS (SELECT row_number() OVER (ORDER BY score DESC) AS ord, score,
   sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tps,
   sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fps FROM pooled),
@@ -132,17 +133,12 @@ nb AS (SELECT *, lag(tps) OVER (ORDER BY ord) AS tp_prev, lead(tps) OVER (ORDER
   lag(fps) OVER (ORDER BY ord) AS fp_prev, lead(fps) OVER (ORDER BY ord) AS fp_next,
   count(*) OVER () AS npts, max(tps) OVER () AS ptot, max(fps) OVER () AS ntot FROM pts),
 kept AS (SELECT * FROM nb WHERE npts <= 2 OR fp_prev IS NULL OR fp_next IS NULL
-  OR fp_next - 2 * fps + fp_prev <> 0 OR tp_next - 2 * tps + tp_prev <> 0),
-curve AS (SELECT row_number() OVER (ORDER BY ord) AS ord, score AS threshold,
-    CAST(fps AS DOUBLE) / ntot AS fpr, CAST(tps AS DOUBLE) / ptot AS tpr FROM kept
-  UNION ALL SELECT 0, NULL, 0e0, 0e0),
-m AS (SELECT count(*) AS m FROM curve),
-idx AS (SELECT DISTINCT CASE WHEN m > 1000 THEN CAST(floor(range * ((m - 1) / 999e0)) AS BIGINT)
-  ELSE range END AS ord FROM range(1000), m)
-SELECT CAST(ord AS BIGINT) AS ord, round(threshold, 6) AS threshold, round(fpr, 6) AS fpr,
-  round(tpr, 6) AS tpr FROM curve WHERE ord IN (SELECT ord FROM idx)"""))
+  OR fp_next - 2 * fps + fp_prev <> 0 OR tp_next - 2 * tps + tp_prev <> 0)
+SELECT row_number() OVER (ORDER BY ord) AS ord, round(score, 6) AS threshold,
+    round(CAST(fps AS DOUBLE) / ntot, 6) AS fpr, round(CAST(tps AS DOUBLE) / ptot, 6) AS tpr FROM kept
+  UNION ALL SELECT 0, NULL, 0e0, 0e0"""))
 def roc_points(spark, sf):
-    return rounded(ev.roc_points(_probs(spark, sf), K))
+    return rounded(ev.roc_points(_probs(spark, sf), K, digits=DIGITS))
 
 
 @register("confused_pairs", _ctes(_CONF_CTES + """
@@ -209,11 +205,7 @@ def _rule_metrics(spark, sf):
     counts = stacked.groupBy("model_order", "model", "label", "prediction").agg(F.count(F.lit(1)).alias("count"))
     rows = None
     for i, (name, _, _, _) in enumerate(RULE_MODELS):
-        conf = counts.where(F.col("model_order") == i).select("label", "prediction", "count")
-        grid = ev.class_grid(spark, K)
-        conf = grid.join(conf, ["label", "prediction"], "left").select(
-            "label", "prediction", F.coalesce("count", F.lit(0)).alias("count"))
-        m = ev.scores(conf).select(F.lit(i).alias("model_order"), F.lit(name).alias("model"), "accuracy",
+        m = ev.scores(counts.where(F.col("model_order") == i)).select(F.lit(i).alias("model_order"), F.lit(name).alias("model"), "accuracy",
                                    "f1_weighted", "precision_weighted", "recall_weighted")
         rows = m if rows is None else rows.unionByName(m)
     return rounded(rows)
@@ -286,3 +278,11 @@ SELECT model, replace(replace(replace(replace(lower(model), ' ', '_'), '-', '_')
 FROM metrics"""))
 def safe_name_q(spark, sf):
     return _rule_metrics(spark, sf).select("model", safe_name("model").alias("safe_name"))
+
+
+@register("safe_part_name", """SELECT p_partkey, replace(replace(replace(replace(lower(p_type || ' (' || p_name || ')'),
+  ' ', '_'), '-', '_'), '(', ''), ')', '') AS safe_name FROM part""")
+def safe_part_name(spark, sf):
+    name = F.concat("p_type", F.lit(" ("), "p_name", F.lit(")"))
+    return binding.read_table(spark, sf, "part", ["p_partkey", "p_type", "p_name"]).select(
+        "p_partkey", safe_name(name).alias("safe_name"))

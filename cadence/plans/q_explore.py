@@ -328,15 +328,34 @@ def _md5_order_sql(seed: int, cols) -> str:
     return f"CAST('0x' || substr(md5({parts}), 1, 8) AS BIGINT)"
 
 
-@register("scatter_sample", with_ctes(f"""
-SELECT track_id, CAST(popularity AS DOUBLE) AS popularity, CAST(danceability AS DOUBLE) AS danceability
-FROM silver WHERE popularity IS NOT NULL AND danceability IS NOT NULL
-ORDER BY {_md5_order_sql(42, ['track_id'])}, track_id LIMIT 50000""", "silver"))
-def scatter_sample(spark, sf):
+_SCATTER_SQL = """SELECT track_id, CAST(popularity AS DOUBLE) AS popularity, CAST(danceability AS DOUBLE) AS danceability
+FROM silver WHERE popularity IS NOT NULL AND danceability IS NOT NULL"""
+
+
+def _scatter(spark, sf):
     s = frames.silver(spark, sf).select("track_id", F.col("popularity").cast("double").alias("popularity"),
                                          F.col("danceability").cast("double").alias("danceability"))
-    s = s.where(F.col("popularity").isNotNull() & F.col("danceability").isNotNull())
-    return stats.capped_rows(s, 50000, 42, ["track_id"])
+    return s.where(F.col("popularity").isNotNull() & F.col("danceability").isNotNull())
+
+
+@register("scatter_points", with_ctes(_SCATTER_SQL, "silver"))
+def scatter_points(spark, sf):
+    """All points of the scatter."""
+    return _scatter(spark, sf)
+
+
+@register("scatter_bins", with_ctes(f"""
+SELECT CAST(floor(danceability / 0.5e0) AS BIGINT) AS x_bin, CAST(floor(popularity / 5e0) AS BIGINT) AS y_bin, count(*) AS count
+FROM ({_SCATTER_SQL}) GROUP BY 1, 2""", "silver"))
+def scatter_bins(spark, sf):
+    return stats.bins_2d(_scatter(spark, sf), "danceability", "popularity", 0.5, 5.0)
+
+
+@register("scatter_sample", with_ctes(f"""{_SCATTER_SQL}
+ORDER BY {_md5_order_sql(42, ['track_id'])}, track_id LIMIT 1000""", "silver"))
+def scatter_sample(spark, sf):
+    """The sampler: 1,000 points in a fixed pseudo-random order (the limit is what is asked for)."""
+    return stats.capped_rows(_scatter(spark, sf), 1000, 42, ["track_id"])
 
 
 @register("hash_sample", with_ctes(f"""
@@ -478,8 +497,8 @@ def _box_sql(cols, src):
         parts.append(f"""
 SELECT '{c}' AS feature, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
   round(q3 - q1, 6) AS iqr,
-  round((SELECT min({x}) FROM {src} WHERE {x} >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
-  round((SELECT max({x}) FROM {src} WHERE {x} <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high,
+  round(coalesce((SELECT min({x}) FROM {src} WHERE {x} BETWEEN q1 - 1.5 * (q3 - q1) AND q1), q1), 6) AS whisker_low,
+  round(coalesce((SELECT max({x}) FROM {src} WHERE {x} BETWEEN q3 AND q3 + 1.5 * (q3 - q1)), q3), 6) AS whisker_high,
   (SELECT count(*) FROM {src} WHERE {x} < q1 - 1.5 * (q3 - q1) OR {x} > q3 + 1.5 * (q3 - q1)) AS outlier_count,
   round(mean, 6) AS mean
 FROM (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.5) AS med,

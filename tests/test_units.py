@@ -258,7 +258,7 @@ def test_auc_matches_pairwise_count_and_flips(spark):
     sc = [r.scores for r in probs.select("scores").collect()]
     for c in range(3):
         ys = [lab == c for lab, _ in data]
-        assert got[c] == pytest.approx(_brute_auc(ys, [round(s[c], 12) for s in sc]))
+        assert got[c] == pytest.approx(_brute_auc(ys, [s[c] for s in sc]))
     neg = df.select("label", F.transform("raw", lambda v: -v).alias("raw"))
     pn = evaluate.probabilities(neg, 3, prob_col=None, raw_col="raw")
     flipped = {r["class"]: r.auc for r in evaluate.auc_per_class(pn, 3).collect()}
@@ -270,13 +270,101 @@ def test_auc_matches_pairwise_count_and_flips(spark):
     assert set(flipped) == {0, 1, 2}
 
 
-def test_softmax_rows(spark):
-    df = spark.createDataFrame([([0.2, 0.3, 0.5],), ([1000.0, 1000.0, 0.0],), ([float("nan"), 0.0, 0.0],)],
-                               "probability array<double>")
-    out = [r.scores for r in evaluate.probabilities(df, 3).collect()]
-    assert out[0] == pytest.approx([0.2, 0.3, 0.5])                 # already a distribution
-    assert out[1] == pytest.approx([0.5, 0.5, 0.0])                 # large values, no overflow
-    assert out[2] == pytest.approx([1 / 3, 1 / 3, 1 / 3])           # NaN counts as 0
+def test_scores_are_chosen_by_column(spark):
+    rows = [([0.2, 0.3, 0.5],), ([1000.0, 1000.0, 0.0],), ([float("nan"), 0.0, 0.0],), ([float("inf"), 2.0],)]
+    df = spark.createDataFrame(rows, "given array<double>")
+    raw = [r.scores for r in evaluate.probabilities(df, 3, prob_col=None, raw_col="given").collect()]
+    assert raw[0] == pytest.approx([0.28943, 0.31987, 0.39069], abs=1e-4)
+    assert raw[1] == pytest.approx([0.5, 0.5, 0.0])                 # large values, no overflow
+    assert raw[2] == pytest.approx([1 / 3, 1 / 3, 1 / 3])           # NaN counts as 0
+    assert raw[3] == pytest.approx([0.10650, 0.78699, 0.10650], abs=1e-4)  # infinite counts as 0, width is fitted
+    as_is = [r.scores for r in evaluate.probabilities(df.withColumnRenamed("given", "probability"), 3).collect()]
+    assert as_is[0] == [0.2, 0.3, 0.5] and as_is[1] == [1000.0, 1000.0, 0.0]  # one odd row changes no scale
+
+
+def test_tiny_scores_are_ranked_as_they_are(spark):
+    rows = [(1, 1e-14), (1, 3e-14), (0, 0.5e-14), (0, 0.2e-14)]
+    df = spark.createDataFrame([(y, [1 - x, x]) for y, x in rows], "label int, scores array<double>")
+    assert evaluate.auc_weighted(evaluate.auc_per_class(df, 2), 2).first().auc == 1.0
+
+
+def test_out_of_range_predictions_are_wrong_predictions(spark):
+    df = spark.createDataFrame([(0, 0), (0, 5)], "label int, prediction int")
+    s = evaluate.scores(evaluate.pair_counts(df)).first()
+    assert (s.accuracy, s.recall_weighted, s.precision_weighted, s.rows) == (0.5, 0.5, 1.0, 2)
+    assert sum(r["count"] for r in evaluate.confusion_long(df, 2).collect()) == 1
+
+
+def test_scores_without_rows(spark):
+    df = spark.createDataFrame([], "label int, prediction int")
+    s = evaluate.scores(evaluate.pair_counts(df)).first()
+    assert s.accuracy is None and s.rows == 0
+    assert [r.support for r in evaluate.per_class(evaluate.pair_counts(df), 2).collect()] == [0, 0]
+
+
+def test_roc_pools_only_classes_of_the_truth(spark):
+    df = spark.createDataFrame([(0, [0.9, 0.1, 0.0]), (1, [0.6, 0.3, 0.1]), (0, [0.5, 0.2, 0.3])], "label int, scores array<double>")
+    got = [(r.fpr, r.tpr) for r in evaluate.roc_points(df, 3).orderBy("ord").collect()]
+    ys = [y == c for y in (0, 1, 0) for c in range(2)]
+    ss = [x for row in ([0.9, 0.1], [0.6, 0.3], [0.5, 0.2]) for x in row]
+    assert [v for p in got for v in p] == pytest.approx([v for p in _brute_roc(ys, ss) for v in p])
+
+
+@pytest.mark.parametrize("k", [2, 3])
+def test_one_class_gives_the_diagonal_and_nan(spark, k):
+    df = spark.createDataFrame([(1, [0.5] * k), (1, [0.2] * k)], "label int, scores array<double>")
+    auc = evaluate.auc_weighted(evaluate.auc_per_class(df, k), k).first().auc
+    assert math.isnan(auc)
+    if k == 2:
+        assert [(r.fpr, r.tpr) for r in evaluate.roc_points(df, k).orderBy("ord").collect()] == [(0.0, 0.0), (1.0, 1.0)]
+
+
+def test_whiskers_stay_outside_the_box(spark):
+    from cadence.operators import stats
+    df = spark.createDataFrame([(0.0,), (0.0,), (0.0,), (100.0,)], "x double")
+    r = stats.box_stats(df, ["x"]).first()
+    assert (r.q3, r.whisker_high, r.whisker_low, r.outlier_count) == (25.0, 25.0, 0.0, 1)
+    low = spark.createDataFrame([(0.0,), (100.0,), (100.0,), (100.0,)], "x double")
+    r = stats.box_stats(low, ["x"]).first()
+    assert (r.q1, r.whisker_low, r.whisker_high) == (75.0, 75.0, 100.0)
+
+
+def test_replaced_input_gives_fresh_layers(spark, tmp_path):
+    from cadence.plans import frames
+    small = "/root/testdata/sf0.001"
+    for t in ("lineitem", "part"):
+        spark.read.parquet(f"{small}/{t}.parquet").coalesce(1).write.parquet(str(tmp_path / f"{t}.parquet"))
+    first = frames.silver(spark, str(tmp_path)).count()
+    spark.read.parquet(f"{small}/lineitem.parquet").limit(100).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert 0 < frames.silver(spark, str(tmp_path)).count() <= 100 < first
+
+
+def test_quantile_counts_are_written_once(spark, monkeypatch):
+    from cadence.operators import ordered, stats
+    cuts = []
+    real = ordered.cut_lineage
+    monkeypatch.setattr(ordered, "cut_lineage", lambda df: cuts.append(1) or real(df))
+    df = spark.range(100).selectExpr("double(id) AS x", "id % 3 AS g")
+    for run, most in ((lambda: stats.box_stats(df, ["x"]), 1), (lambda: stats.iqr_outliers(df, ["x"]), 1), (lambda: stats.group_box(df, "g", "x", 2), 1),
+                      (lambda: stats.mean_median(df, ["x"]), 1), (lambda: stats.box_stats(df, ["x"], approx=True), 0)):
+        cuts.clear()
+        run().collect()
+        assert len(cuts) == most
+
+
+def test_importances_need_a_name_for_each_slot(spark):
+    from cadence.operators import ml
+
+    class Model:
+        featureImportances = None
+
+    from pyspark.ml.linalg import Vectors
+    a, b, both = Model(), Model(), Model()
+    a.featureImportances, b.featureImportances, both.models = Vectors.dense([0.2, 0.8]), Vectors.dense([0.6, 0.4]), [a, b]
+    got = {r.feature: r.importance for r in ml.importances(spark, both, ["x", "y"]).collect()}
+    assert got == pytest.approx({"x": 0.4, "y": 0.6})
+    with pytest.raises(ValueError):
+        ml.importances(spark, both, ["x"])
 
 
 def _brute_roc(ys, ss):
