@@ -43,26 +43,53 @@ def stream_bronze(spark, sf):
     return spark.read.parquet(bronze).drop(ingest.INGEST_DATE)
 
 
-@register("stream_tail", _EVENTS_SQL)
+@register("stream_tail", _EVENTS_SQL + " WHERE event_id % 2 = 0")
 def stream_tail(spark, sf):
-    """Tail from the latest position: the tail starts on an empty topic folder, then
-    the event messages are published; the tail sees exactly those."""
+    """Tail from the latest position: half of the messages are there before the tail starts, the
+    other half arrives afterwards; the tail sees exactly those."""
+    ev = binding.events(spark, sf)
     src = scratch_path(spark, "tail-src")
-    spark.createDataFrame([], "value string").write.text(src)
+    messages.write_messages(messages.encode(ev.where("event_id % 2 = 1")), src)
     out, ckpt = scratch_path(spark, "tail-out"), scratch_path(spark, "tail-ckpt")
     run = ingest.tail(spark, src, out, ckpt, EVENT_SCHEMA, skip_existing=True)
-    messages.write_messages(messages.encode(binding.events(spark, sf)), src)
+    messages.write_messages(messages.encode(ev.where("event_id % 2 = 0")), src)
     run()
     return spark.read.parquet(out)
 
 
+@register("stream_quarantine", """
+SELECT event_id % 10 = 0 AS bad, count(*) AS "rows" FROM events GROUP BY 1""")
+def stream_quarantine(spark, sf):
+    """Every tenth message is cut off before it is published: it lands in the quarantine table,
+    the others in the good one, and together they are all messages."""
+    ev = binding.events(spark, sf)
+    whole = messages.encode(ev.where("event_id % 10 <> 0"))
+    broken = messages.encode(ev.where("event_id % 10 = 0")).select(F.expr("left(value, length(value) - 9)").alias("value"))
+    src = scratch_path(spark, "mixed-msgs")
+    messages.write_messages(whole.unionByName(broken), src)
+    good, bad = scratch_path(spark, "good"), scratch_path(spark, "bad")
+    ingest.ingest_with_quarantine(spark, src, good, bad, scratch_path(spark, "mixed-ckpt"), EVENT_SCHEMA)
+    side = lambda path, flag: spark.read.parquet(path).agg(F.lit(flag).alias("bad"), F.count(F.lit(1)).alias("rows"))
+    return side(good, False).unionByName(side(bad, True))
+
+
+@register("message_stamp", """
+SELECT count(*) AS messages, count(*) AS stamped, 1 AS event_types FROM lineitem JOIN part ON l_partkey = p_partkey""")
+def message_stamp(spark, sf):
+    """What a producer adds: send time, user id and event type on every message."""
+    m = messages.stamp(binding.tracks(spark, sf).drop("kafka_timestamp", "user_id", "event_type"))
+    return m.agg(F.count(F.lit(1)).alias("messages"),
+                 F.count_if(F.col("user_id").isNotNull() & F.try_to_timestamp("kafka_timestamp").isNotNull()).alias("stamped"),
+                 F.count_distinct("event_type").cast("int").alias("event_types"))
+
+
 @register("stream_hourly_trend", """
 SELECT date_trunc('hour', ts) AS hour, count(*) AS message_count FROM events GROUP BY 1""")
 def stream_hourly_trend(spark, sf):
     src = _publish(spark, binding.events(spark, sf), "trend-msgs")
     out, ckpt = scratch_path(spark, "trend"), scratch_path(spark, "trend-ckpt")
     ingest.hourly_trend(spark, src, out, ckpt, EVENT_SCHEMA)
-    return read_layer(spark, out)
+    return ingest.read_trend(spark, out)
 
 
 # ------------------------------------------------------------------ layer round trips
@@ -196,8 +223,10 @@ def hourly_trend(spark, sf):
 SELECT CASE WHEN grouping(event_type) = 1 THEN 'ALL' ELSE event_type END AS event_type,
   count(*) AS event_count FROM events GROUP BY ROLLUP (event_type)""")
 def event_type_counts(spark, sf):
-    ev = binding.events(spark, sf, ["event_type"])
-    return (ev.rollup("event_type").agg(F.count(F.lit(1)).alias("event_count"), F.grouping("event_type").alias("g"))
-            .select(F.when(F.col("g") == 1, F.lit("ALL")).otherwise(F.col("event_type")).alias("event_type"),
-                    "event_count"))
+    counts = binding.events(spark, sf, ["event_type"]).groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count"))
+    # the total from the counts, not from the rows again: one aggregate over the table
+    pair = lambda name: F.struct(name.alias("event_type"), F.col("event_count"))
+    both = F.array(pair(F.col("event_type")), pair(F.lit("ALL")))
+    return (counts.select(F.posexplode(both).alias("side", "x")).groupBy("side", F.col("x.event_type").alias("event_type"))
+            .agg(F.sum("x.event_count").alias("event_count")).select("event_type", "event_count"))
 

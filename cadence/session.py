@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_value = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf_value:
-        # Unset: only happens on a local test session. A cluster names its shared folder.
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         conf_value = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(conf_value)
     return sc.getCheckpointDir() or conf_value

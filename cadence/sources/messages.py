@@ -84,6 +84,8 @@ def read_message_stream(spark: SparkSession, path: str, fmt: str = "text",
     """Streaming source of messages: ``text`` files here, ``kafka`` on a cluster
     with the connector (then ``options`` carry bootstrap servers and topic)."""
     reader = spark.readStream.format(fmt)
+    if fmt == "kafka":  # from the first message, unless the caller says otherwise
+        options = {"startingOffsets": "earliest"} | (options or {})
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     if fmt == "text":

@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cadence.session import table_path
 
@@ -21,31 +22,41 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+def _not_found(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def write_layer(df: DataFrame, root: str, fmt: str = "parquet",
                 partition_by: Sequence[str] | None = None) -> str:
     """Overwrite a layer table without overwriting what readers may be reading.
 
     Parquet cannot overwrite a path that the same plan reads, so each write goes
-    to a new version folder; a one-row pointer then names the current version.
-    Returns the version path.
+    to a new version folder. The rows the write reported are compared with the
+    rows that are there; only then a file naming the version is added beside the earlier
+    ones, so there is a current version at every moment. Returns the version path.
     """
-    version = f"{root.rstrip('/')}/v-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
-    writer = df.write.format(fmt).mode("errorifexists")
+    spark = df.sparkSession
+    version = f"{root.rstrip('/')}/v-{time.time_ns() // 1000:020d}-{uuid.uuid4().hex[:8]}"
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(version)
-    spark = df.sparkSession
-    (spark.createDataFrame([(version,)], "value string")
-     .coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/{POINTER_DIR}"))
+    there = spark.read.format(fmt).load(version).count()
+    if there != seen.get["rows"]:
+        raise OSError(f"{version} holds {there} rows, {seen.get['rows']} were written")
+    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("append").text(f"{root.rstrip('/')}/{POINTER_DIR}")
     return version
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
+    """The newest version that was committed, None for a folder without versions."""
     try:
-        row = spark.read.text(f"{root.rstrip('/')}/{POINTER_DIR}").first()
-    except AnalysisException:
-        return None
-    return row[0] if row else None
+        return spark.read.text(f"{root.rstrip('/')}/{POINTER_DIR}").agg(F.max("value")).first()[0]
+    except AnalysisException as e:
+        if _not_found(e):
+            return None
+        raise
 
 
 def read_layer(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
@@ -58,14 +69,6 @@ def read_layer(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(version or root)
 
 
-def layer_exists(spark: SparkSession, root: str, fmt: str = "parquet") -> bool:
-    try:
-        read_layer(spark, root, fmt)
-        return True
-    except AnalysisException:
-        return False
-
-
 def resolve_layer(spark: SparkSession, candidates: Sequence[str],
                   fmt: str = "parquet") -> tuple[str, DataFrame]:
     """First candidate table that exists, as (path, DataFrame); error if none.
@@ -76,6 +79,8 @@ def resolve_layer(spark: SparkSession, candidates: Sequence[str],
     for path in candidates:
         try:
             return path, read_layer(spark, path, fmt)
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _not_found(e):
+                raise  # it is there but cannot be read: the next one is not its stand-in
             tried.append(path)
     raise FileNotFoundError(f"none of the candidate tables exists: {tried}")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.sources import messages
-from cadence.sources.tables import write_layer
 
 
 INGEST_DATE = "ingest_date"
@@ -46,34 +45,57 @@ def ingest_bronze(spark: SparkSession, source: str, bronze_path: str, checkpoint
     return q
 
 
+def ingest_with_quarantine(spark: SparkSession, source: str, good_path: str, bad_path: str, checkpoint: str,
+                           schema: T.StructType, source_format: str = "text", source_options: dict | None = None):
+    """Good messages to one table, the raw text of unparsable ones to another; none is lost.
+
+    Each micro-batch writes to a folder of its own number, so a repeated batch replaces itself."""
+    raw = messages.read_message_stream(spark, source, source_format, source_options)
+    parsed = messages.decode_with_quarantine(raw, schema)
+    bad = F.col(messages.CORRUPT_COLUMN).isNotNull()
+
+    def write(batch: DataFrame, number: int):
+        # one pass over the source: both sides come from what this batch stored
+        stored = f"{checkpoint}-staged/batch={number}"
+        batch.write.mode("overwrite").parquet(stored)
+        rows = spark.read.schema(batch.schema).parquet(stored)
+        rows.where(~bad).drop(messages.CORRUPT_COLUMN).write.mode("overwrite").parquet(f"{good_path}/batch={number}")
+        rows.where(bad).select(messages.CORRUPT_COLUMN).write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+
+    q = parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
+
+
 def tail(spark: SparkSession, source: str, out_path: str, checkpoint: str, schema: T.StructType,
-         skip_existing: bool = True):
-    """Messages that arrive after the tail starts (``startingOffsets=latest``).
+         skip_existing: bool = True, source_format: str = "text", source_options: dict | None = None):
+    """Messages that arrive after the tail starts (``startingOffsets=latest`` for a topic).
 
-    For a file source the checkpoint is first advanced over the files already
-    present (into a ``noop`` sink), so a later run writes only newer files."""
-    if skip_existing:
-        # same sink and checkpoint, all rows filtered out: the files present now
-        # are marked as read, and the sink's log starts at this (empty) batch
-        prime = (messages.decode(messages.read_message_stream(spark, source), schema).where(F.lit(False))
-                 .writeStream.format("parquet").option("checkpointLocation", checkpoint)
-                 .trigger(availableNow=True).start(out_path))
-        prime.awaitTermination()
-
-    def run():
-        q = (messages.decode(messages.read_message_stream(spark, source), schema)
-             .writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    The checkpoint is first advanced over what is already present, all rows
+    filtered out, so a later run writes only newer messages."""
+    if source_format == "kafka":
+        source_options = {"startingOffsets": "latest"} | (source_options or {})
+
+    def start(decoded: DataFrame):
+        q = (decoded.writeStream.format("parquet").option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start(out_path))
         q.awaitTermination()
-    return run
+
+    def stream() -> DataFrame:
+        return messages.decode(messages.read_message_stream(spark, source, source_format, source_options), schema)
+
+    if skip_existing:
+        start(stream().where(F.lit(False)))
+    return lambda: start(stream())
 
 
 def hourly_trend(spark: SparkSession, source: str, out_root: str, checkpoint: str,
                  schema: T.StructType, ts_col: str = "ts", watermark: str = "2 hours"):
     """Messages per event-time hour as a tumbling window with a watermark.
 
-    Complete output is written by ``foreachBatch`` as a new version of the
-    result table each micro-batch (state holds one row per hour)."""
+    Update mode: a micro-batch writes only the hours it changed, to a folder of its own number
+    (a repeated batch replaces itself), and state of hours behind the watermark is dropped together
+    with messages that are later than that. ``read_trend`` gives the latest count of each hour."""
     ev = messages.decode(messages.read_message_stream(spark, source), schema)
     # watermarks need a zoned timestamp; wall-clock time is read in the session zone
     ev = ev.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
@@ -81,12 +103,16 @@ def hourly_trend(spark: SparkSession, source: str, out_root: str, checkpoint: st
               .groupBy(F.window("_event_time", "1 hour").alias("w"))
               .agg(F.count(F.lit(1)).alias("message_count")))
 
-    def write(batch: DataFrame, _epoch: int):
-        write_layer(batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "message_count"),
-                    out_root)
+    def write(batch: DataFrame, number: int):
+        (batch.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "message_count")
+         .write.mode("overwrite").parquet(f"{out_root}/batch={number}"))
 
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+    q = (counts.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
+
+def read_trend(spark: SparkSession, out_root: str) -> DataFrame:
+    """(hour, message_count): the count of the last micro-batch that changed the hour."""
+    return spark.read.parquet(out_root).groupBy("hour").agg(F.max_by("message_count", "batch").alias("message_count"))

@@ -43,3 +43,25 @@ def test_tail_skips_existing_messages(spark, sf_small):
     run()
     got = spark.read.parquet(out)
     assert got.count() == new.count() and got.exceptAll(new).count() == 0
+
+
+def test_trend_drops_messages_behind_the_watermark(spark):
+    from pyspark.sql import functions as F
+
+    from cadence.session import scratch_path
+    from cadence.sources import messages
+    from cadence.sources.schemas import EVENT_SCHEMA
+    from cadence.streaming import ingest
+
+    src, out, ck = (scratch_path(spark, n) for n in ("late-src", "late-out", "late-ckpt"))
+
+    def send(*hours):
+        rows = spark.createDataFrame([(f"2024-05-01 {h}:10:00",) for h in hours], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+        messages.write_messages(messages.encode(rows), src)
+        ingest.hourly_trend(spark, src, out, ck, EVENT_SCHEMA, watermark="1 hour")
+
+    send("01", "01", "02")
+    send("09")
+    send("01", "09", "08")  # 01 is far behind the watermark, 08 is not
+    got = {r.hour.hour: r.message_count for r in ingest.read_trend(spark, out).collect()}
+    assert got == {1: 2, 2: 1, 8: 1, 9: 2}

@@ -473,3 +473,31 @@ def test_time_column_guard(spark):
     from cadence.plans.q_stream import _msg_time
     with pytest.raises(ValueError):
         _msg_time(spark.createDataFrame([(1,)], "x int"))
+
+
+def test_layer_has_a_current_version_at_every_moment(spark, monkeypatch):
+    """A write that dies before its pointer leaves the earlier version in force."""
+    from cadence.session import scratch_path
+    from cadence.sources import tables
+    root = scratch_path(spark, "dies")
+    tables.write_layer(spark.range(3), root)
+    monkeypatch.setattr(tables, "POINTER_DIR", "_elsewhere")
+    tables.write_layer(spark.range(9), root)
+    monkeypatch.undo()
+    assert tables.read_layer(spark, root).count() == 3
+    tables.write_layer(spark.range(5), root)
+    assert tables.read_layer(spark, root).count() == 5
+
+
+def test_unreadable_layer_is_not_replaced_by_the_next(spark):
+    from pyspark.errors import AnalysisException
+
+    from cadence.session import scratch_path
+    from cadence.sources import tables
+    base = scratch_path(spark, "broken")
+    spark.createDataFrame([(f"{base}/features/v-gone",)], "value string").write.text(f"{base}/other")
+    spark.range(1).selectExpr("cast(id as string) AS value").write.text(f"{base}/features")  # a folder that is no Parquet table
+    tables.write_layer(spark.range(2), f"{base}/silver")
+    with pytest.raises(Exception) as e:
+        tables.resolve_layer(spark, [f"{base}/features", f"{base}/silver"])[1].count()
+    assert not isinstance(e.value, FileNotFoundError) and (not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND")
