@@ -99,13 +99,10 @@ def clean_stages(bronze: DataFrame) -> DataFrame:
 def layer_report(bronze: DataFrame, silver_df: DataFrame, gold_df: DataFrame,
                  genre_col: str = "track_genre") -> DataFrame:
     """Rows per layer, rows removed by cleaning, and the number of genres, as rows."""
-    b = bronze.agg(F.count(F.lit(1)).alias("n")).select(F.lit("bronze").alias("metric"), "n")
-    s = silver_df.agg(F.count(F.lit(1)).alias("n")).select(F.lit("silver").alias("metric"), "n")
-    g = gold_df.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_distinct(genre_col).alias("genres"))
-    counts = b.unionByName(s).unionByName(g.select(F.lit("gold").alias("metric"), "n"))
-    wide = counts.groupBy().pivot("metric", ["bronze", "silver", "gold"]).agg(F.first("n"))
-    removed = wide.select(F.lit("removed").alias("metric"), (F.col("bronze") - F.col("silver")).alias("n"))
-    genres = g.select(F.lit("genres").alias("metric"), F.col("genres").alias("n"))
-    return (counts.unionByName(removed).unionByName(genres)
-            .select("metric", F.col("n").cast("bigint").alias("value")))
+    size = lambda df, name, *more: df.agg(F.count(F.lit(1)).alias(name), *more)
+    one = (size(bronze, "bronze").crossJoin(size(silver_df, "silver"))
+           .crossJoin(size(gold_df, "gold", F.count_distinct(genre_col).alias("genres"))))  # one row each
+    one = one.withColumn("removed", F.col("bronze") - F.col("silver"))
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value"))
+        for m in ("bronze", "silver", "gold", "removed", "genres")])))

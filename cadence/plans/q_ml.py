@@ -322,8 +322,12 @@ def model_roc_points(spark, sf):
     return out
 
 
+def best_model_row(spark, sf):
+    return ev.best_model(_model_metrics(spark, sf))
+
+
 def _best(spark, sf) -> str:
-    return ev.best_model(_model_metrics(spark, sf)).first().best_model_name
+    return best_model_row(spark, sf).first().best_model_name
 
 
 @register("best_model_predictions", _ml_sql("SELECT track_id, track_genre AS label_name, true AS named FROM split WHERE split = 'test'"))
@@ -344,7 +348,7 @@ def best_model_confusion(spark, sf):
     return named.select("label_name", total.alias("support")).where("support > 0")
 
 
-def _importance(spark, sf, name):
+def importance(spark, sf, name):
     f = fitted(spark, sf)
     return ml.importances(spark, f.model(name), ml.slot_names(f.prepared.test)).withColumn("model", F.lit(name))
 
@@ -355,7 +359,7 @@ _IMPORTANCE_SQL = ("SELECT '{model}' AS model, 18 AS slots, true AS sums_to_one,
 
 def _importance_check(spark, sf, name):
     named = F.size(F.array_intersect(F.collect_set("feature"), F.lit(_SLOTS))) == len(_SLOTS)
-    return _importance(spark, sf, name).groupBy("model").agg(F.count(F.lit(1)).cast("int").alias("slots"),
+    return importance(spark, sf, name).groupBy("model").agg(F.count(F.lit(1)).cast("int").alias("slots"),
                                                              (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"), named.alias("numerics_named"))
 
 
@@ -372,7 +376,7 @@ def importance_gbt(spark, sf):
 @register("importance_topk")
 def importance_topk(spark, sf):
     """The ten most important slots of both tree models."""
-    both = _importance(spark, sf, "Random Forest").unionByName(_importance(spark, sf, "GBT One-vs-Rest"))
+    both = importance(spark, sf, "Random Forest").unionByName(importance(spark, sf, "GBT One-vs-Rest"))
     order = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")
     return both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 10)
 

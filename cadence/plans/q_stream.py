@@ -156,24 +156,27 @@ def result_json_roundtrip(spark, sf):
     return results.read_json(spark, path, best.schema)
 
 
-@register("results_load", """
-SELECT * FROM (VALUES ('best_model', 1), ('gold_summary', (SELECT count(DISTINCT p_brand) FROM part
-  WHERE p_partkey IN (SELECT l_partkey FROM lineitem))), ('label_map', 3)) t(name, n)""".replace(
-    "SELECT * FROM (VALUES", "SELECT name, CAST(n AS BIGINT) AS \"rows\" FROM (VALUES"))
+_CLASSES = "(SELECT count(DISTINCT p_brand) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem))"
+
+
+@register("results_load", f"""
+SELECT name, CAST(n AS BIGINT) AS "rows" FROM (VALUES ('model_metrics', 5), ('best_confusion_matrix', {_CLASSES}),
+  ('forest_importance', 18), ('boosted_importance', 18), ('label_mapping', {_CLASSES}), ('best_model', 1)) t(name, n)""")
 def results_load(spark, sf):
-    """Write the result files, then load them all, failing if any is missing."""
-    from cadence.plans.q_eval import label_map_classes
+    """Write the six result files of the trained models, then load them all, failing if any is missing."""
+    from cadence.plans import q_ml
+
     root = scratch_path(spark, "results")
-    tables = {"best_model": best_model(spark, sf),
-              "gold_summary": aggregate.gold_genre_summary(frames.silver(spark, sf)),
-              "label_map": label_map_classes(spark, sf)}
+    tables = {"model_metrics": q_ml.model_metrics(spark, sf), "best_confusion_matrix": q_ml.best_model_confusion(spark, sf),
+              "forest_importance": q_ml.importance(spark, sf, "Random Forest"),
+              "boosted_importance": q_ml.importance(spark, sf, "GBT One-vs-Rest"),
+              "label_mapping": q_ml.label_mapping(spark, sf), "best_model": q_ml.best_model_row(spark, sf)}
     schemas = {}
     for name, df in tables.items():
         results.write_csv(df, f"{root}/{name}")
         schemas[name] = df.schema
-    loaded = results.load_required(spark, root, schemas)
     out = None
-    for name, df in loaded.items():
+    for name, df in results.load_required(spark, root, schemas).items():
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
         out = c if out is None else out.unionByName(c)
     return out

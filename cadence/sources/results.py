@@ -13,10 +13,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
      .option("escape", '"').csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read with an explicit schema; a leading byte-order mark on the header is ignored."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Read with an explicit schema; a leading byte-order mark on the header is ignored. Files are
+    split over tasks; ``multi_line`` reads each in one task, for values that hold line ends."""
     return (spark.read.schema(schema).option("header", True).option("escape", '"')
-            .option("multiLine", True).option("encoding", "UTF-8").csv(path))
+            .option("multiLine", multi_line).option("encoding", "UTF-8").csv(path))
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -38,7 +39,9 @@ def load_required(spark: SparkSession, root: str, schemas: dict[str, T.StructTyp
             df = read_csv(spark, path, schema) if fmt == "csv" else read_json(spark, path, schema)
             df.schema  # noqa: B018  (resolves the path)
             loaded[name] = df
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             missing.append(path)
     if missing:
         raise FileNotFoundError(f"missing result files: {missing}")
