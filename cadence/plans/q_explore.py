@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from cadence.functions.expressions import (TEMPO_CUTS_MODEL, duration_minutes, popularity_class)
 from cadence.operators import aggregate, features, profile, stats
-from cadence.operators.ordered import long_values
+from cadence.operators.ordered import approx_quantiles, long_values
 from cadence.plans import binding, frames
 from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.registry import register
@@ -131,10 +131,13 @@ def summary_table(spark, sf):
 SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name,
   CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
     WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' ELSE lower(column_type) END AS data_type,
-  true AS nullable
-FROM (DESCRIBE events)""")
+  true AS nullable, present
+FROM (DESCRIBE events) JOIN (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM events) ON COLUMNS(*) INTO NAME column_name VALUE present) USING (column_name)""")
 def schema_listing(spark, sf):
-    return profile.schema_listing(binding.events(spark, sf))
+    """The columns in order, with the rows that hold a value."""
+    ev = binding.events(spark, sf)
+    present = ev.agg(*[F.count(c).alias(c) for c in ev.columns]).unpivot([], ev.columns, "column_name", "present")
+    return profile.schema_listing(ev).join(present, "column_name")
 
 
 @register("duplicate_report", with_ctes("""
@@ -535,6 +538,20 @@ def iqr_outliers(spark, sf):
     return rounded(stats.iqr_outliers(frames.silver(spark, sf), IQR_COLS))
 
 
+@register("approx_quantiles", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS used_rows, true AS q1_close, true AS median_close, true AS q3_close FROM silver"
+    for c in IQR_COLS), "silver"))
+def approx_quantiles_q(spark, sf):
+    """Quartiles from a bounded sketch, each checked by its rank among all rows (within 1 %)."""
+    long = long_values(frames.silver(spark, sf), IQR_COLS).where(F.col("value").isNotNull())
+    q = approx_quantiles(long, ["feature"], [0.25, 0.5, 0.75])
+    j = long.join(q, "feature").groupBy("feature")
+    share = lambda c, p: ((F.count_if(F.col("value") < F.col(c)) <= F.count(F.lit(1)) * (p + 0.01))
+                          & (F.count_if(F.col("value") <= F.col(c)) >= F.count(F.lit(1)) * (p - 0.01)))
+    return j.agg(F.count(F.lit(1)).alias("used_rows"), share("q_0", 0.25).alias("q1_close"),
+                 share("q_1", 0.5).alias("median_close"), share("q_2", 0.75).alias("q3_close"))
+
+
 @register("genre_box", with_ctes("""
 SELECT track_genre, track_count, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
   round(mn, 6) AS min, round(mx, 6) AS max, round(mean, 6) AS mean,
