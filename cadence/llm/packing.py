@@ -40,6 +40,7 @@ _PLAIN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_W}{_L}{_N
 #: Elsewhere: one space between two characters that are no white space always starts a pre-token.
 _SPACES = re.compile(r"(?<=\S)(?= \S)").split
 _WIDE = re.compile("[^\x00-ſ]").search
+_SOLID = re.compile(r" ?\S+").fullmatch
 _WORKER: dict = {}
 
 
@@ -56,6 +57,11 @@ class Ids:
         self.tok = Tokenizer.from_file(public_tokenizers.path(name))
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        tokens = {i: x for x, i in self.tok.get_vocab().items()}
+        spell = [tokens.get(i, "") for i in range(max(tokens) + 1)]
+        self.line = self.tok.encode("\n", add_special_tokens=False).ids
+        self.ends = np.array([x[-1:] in (".", "!", "?", "Ċ") for x in spell])
+        self.gaps = np.array([x[:1] in ("Ġ", "Ċ", "ĉ", "č") for x in spell])
 
     def units(self, text: str) -> list[str]:
         if not _WIDE(text) and not any(s in text for s in self.special):
@@ -65,16 +71,31 @@ class Ids:
     def learn(self, units: list[str]) -> None:
         if len(self.known) > CACHE:
             self.known.clear()
-        got = self.tok.encode_batch_fast(units, add_special_tokens=False)
-        self.known.update((u, np.array(g.ids, "<u4").tobytes()) for u, g in zip(units, got, strict=True))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[str], list[bytes]]]:
+        solid = [u for u in units if _SOLID(u) and not any(x in u for x in self.special)] if len(self.line) == 1 else []
+        # pre-tokens without white space inside are encoded as lines of one text: a line end is a token of its own
+        for k in range(0, len(solid), 2000):
+            part = solid[k:k + 2000]
+            ids = np.array(self.tok.encode_batch_fast(["\n" + "\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            at, data = [*np.flatnonzero(ids == self.line[0]).tolist(), len(ids)], ids.tobytes()
+            if len(at) == len(part) + 1:
+                self.known.update((u, data[4 * i + 4:4 * j]) for u, i, j in zip(part, at, at[1:]))
+        rest = [u for u in units if u not in self.known]
+        got = self.tok.encode_batch_fast(rest, add_special_tokens=False)
+        self.known.update((u, np.array(g.ids, "<u4").tobytes()) for u, g in zip(rest, got, strict=True))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text."""
         cut = [self.units(t) for t in texts]
         found = [list(map(self.known.get, u)) for u in cut]
         if new := {x for u, f in zip(cut, found, strict=True) if None in f for x, y in zip(u, f, strict=True) if y is None}:
             self.learn(list(new))
         for u, f in zip(cut, found, strict=True):
-            yield u, list(map(self.known.__getitem__, u)) if None in f else f
+            yield b"".join([y or self.known[x] for x, y in zip(u, f, strict=True)] if None in f else f)
+
+    def stops(self, ids: bytes) -> np.ndarray:
+        """Token places after a sentence end: a token that ends in . ! ? or a line end, before one that starts with a gap."""
+        x = np.frombuffer(ids, "<u4")
+        return np.flatnonzero(self.ends[x[:-1]] & self.gaps[x[1:]]) + 1 if len(x) else np.zeros(0, np.int64)
 
 
 def tokenizer(name: str) -> Ids:
@@ -83,13 +104,6 @@ def tokenizer(name: str) -> Ids:
     return _WORKER[name]
 
 
-def stops(units: list[str], ids: list[bytes]) -> np.ndarray:
-    """Token places after a sentence end: a unit that ends in . ! ? or holds a line end."""
-    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
-    at = [k for k, u in enumerate(units) if u[-1] in ".!?\n"]
-    return ends[at]
-
-
 def candidates(lengths: list[int], sentences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Possible cuts of a block, ascending from 0, and their penalties."""
     place, pen, base = [np.zeros(1, np.int64)], [np.zeros(1, np.int64)], 0
@@ -107,28 +121,34 @@ def candidates(lengths: list[int], sentences: list[np.ndarray]) -> tuple[np.ndar
     return np.concatenate(place), np.concatenate(pen)
 
 
-def cuts(place: list[int], pen: list[int], size: int) -> list[int]:
+def cuts(at: np.ndarray, penalty: np.ndarray, size: int) -> list[int]:
     """Places of the cheapest cuts from 0 to the last candidate, both included."""
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k < size]
-    best, back = [0.0] * len(place), [0] * len(place)
-    index = {p: k for k, p in enumerate(place)}
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])
+    # candidates that lie a power of two before another one: windows without padding
+    exact: dict[int, list[int]] = {}
+    for k in range(size.bit_length()):
+        if 1 << k < size:
+            before = np.searchsorted(at, at - (1 << k))
+            for j in np.flatnonzero(at[before] == at - (1 << k)).tolist():
+                exact.setdefault(j, []).append(int(before[j]))
+    place, pen = at.tolist(), penalty.tolist()
+    best, back = [0] * len(place), [0] * len(place)
+    queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])  # best + place ascending, place, candidate
     for j in range(1, len(place)):
         here = place[j]
-        low = here - size
-        while place[queue[0][1]] < low:
+        while queue[0][1] < here - size:
             queue.popleft()
-        value, i = queue[0]
+        value, _, i = queue[0]
         value += size - here
-        for p in powers:
-            if (k := index.get(here - p)) is not None and best[k] < value:
-                value, i = best[k], k
+        if j in exact:
+            for k in exact[j]:
+                if best[k] < value:
+                    value, i = best[k], k
         value += pen[j]
         best[j], back[j] = value, i
         key = value + here
         while queue and queue[-1][0] >= key:
             queue.pop()
-        queue.append((key, j))
+        queue.append((key, here, j))
     out, j = [place[-1]], len(place) - 1
     while j:
         j = back[j]
@@ -144,7 +164,7 @@ def pack_stream(docs: Iterator[tuple[object, bytes, np.ndarray]], size: int, fir
     def settle(last: bool) -> Iterator[tuple]:
         nonlocal held, waiting, sequence
         place, pen = candidates([len(d[1]) // 4 - d[3] for d in held], [d[2] - d[3] for d in held])
-        at = cuts(place.tolist(), pen.tolist(), size)
+        at = cuts(place, pen, size)
         if not last:
             at = at[:-8] if len(at) > 16 else at[:1]
         k, left = 0, 0
@@ -188,8 +208,8 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int =
                 for at in range(0, batch.num_rows, 128):
                     part = batch.slice(at, 128)
                     texts = [t or "" for t in part.column(1).to_pylist()]
-                    for key, (units, ids) in zip(part.column(0).to_pylist(), tok.encode(texts), strict=True):
-                        yield key, b"".join([*ids, end]), stops(units, ids)
+                    for key, ids in zip(part.column(0).to_pylist(), tok.encode(texts), strict=True):
+                        yield key, ids + end, tok.stops(ids)
 
         rows: list[tuple] = []
 
