@@ -32,25 +32,42 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return ARROW[kind.typeName()]
 
 
-def append(df: DataFrame, text: str, fields: str, start: Callable[[], Callable[[list], list]]) -> DataFrame:
+#: Caches that outlive a task in a Python worker: owner -> function that empties them.
+CACHES: dict[str, Callable[[], None]] = {}
+
+
+def append(df: DataFrame, text: str, fields: str, start: Callable[[], Callable[[list], list]], owner: str = "") -> DataFrame:
     """``df`` with the columns of the DDL string ``fields`` computed from column ``text``.
 
     ``start`` runs once in each task and returns a function that turns a list of
     texts (None for null) into one list for each new column. Rows keep their place: no shuffle.
-    A column of ``df`` with the name of a new one is replaced.
+    A column of ``df`` with the name of a new one is replaced, ``text`` too.
     """
     new = T._parse_datatype_string(fields)
-    df = df.select(*[f"`{c}`" for c in df.columns if c not in new.names])
+    df = df.select(*[f"`{c}`" for c in df.columns if c == text or c not in new.names])
+    stay = [f for f in df.schema.fields if f.name not in new.names]
     kinds = [arrow_type(f.dataType) for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
-            got = work(batch.column(batch.schema.get_field_index(text)).to_pylist())
+        for batch in parts(batches, owner=owner):
+            at = {n: k for k, n in enumerate(batch.schema.names)}
+            got = work(batch.column(at[text]).to_pylist())
             columns = [pa.array(c, type=k) for c, k in zip(got, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *new.names])
+            yield pa.RecordBatch.from_arrays([*[batch.column(at[f.name]) for f in stay], *columns], names=[*[f.name for f in stay], *new.names])
+
+    return df.mapInArrow(run, T.StructType([*stay, *new.fields]))
+
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *new.fields]))
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 512, owner: str = "") -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few rows: a task holds the Python objects of one slice only.
+    A worker that turns to another operator empties the caches of the former one."""
+    for name, empty in CACHES.items():
+        if name != owner:
+            empty()
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, cut, narrow
+from cadence.llm.common import append, cut, narrow, parts
 
 BLOCK = 64 << 20
 SHARD = 1 << 18
@@ -114,7 +114,7 @@ def line_counts(df: DataFrame, text: str = "text", min_chars: int = 1) -> DataFr
     """h1, h2, n_docs: documents that hold each line key."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches, 2048):
             digests: list[bytes] = []
             for t in batch.column(0).to_pylist():
                 if t:
@@ -187,26 +187,24 @@ def drop_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars:
 
             def work(texts):
                 kept, n_lines, n_dropped = [], [], []
-                for at in range(0, len(texts), 512):
-                    part = [(t or "").encode() for t in texts[at:at + 512]]
-                    lines = [keys_of(d) for d in part]
-                    hit = repeated([x for own_lines in lines for x in own_lines])
-                    ends = np.cumsum([len(x) for x in lines])
-                    for t, data, x, end in zip(texts[at:at + 512], part, lines, ends, strict=True):
-                        gone = hit[end - len(x):end]
-                        n_lines.append(len(x))
-                        n_dropped.append(int(gone.sum()))
-                        kept.append(b"\n".join([y for y, g in zip(data.split(b"\n"), gone, strict=True) if not g]).decode() if gone.any() else t)
+                part = [(t or "").encode() for t in texts]
+                lines = [keys_of(d) for d in part]
+                hit = repeated([x for own_lines in lines for x in own_lines])
+                ends = np.cumsum([len(x) for x in lines])
+                for t, data, x, end in zip(texts, part, lines, ends, strict=True):
+                    gone = hit[end - len(x):end]
+                    n_lines.append(len(x))
+                    n_dropped.append(int(gone.sum()))
+                    kept.append(b"\n".join([y for y, g in zip(data.split(b"\n"), gone, strict=True) if not g]).decode() if gone.any() else t)
                 return [kept, n_lines, n_dropped]
 
             return work
 
-        out = append(df.withColumn("_text", F.col(text)), "_text", "_kept string, _lines long, _dropped long", start)
+        out = append(df, text, f"{text} string, _lines long, _dropped long", start)
         first = k == 0
-        df = (out.withColumn(text, F.col("_kept"))
-              .withColumn("n_lines", F.col("_lines") if first else F.col("n_lines"))
+        df = (out.withColumn("n_lines", F.col("_lines") if first else F.col("n_lines"))
               .withColumn("n_dropped", F.col("_dropped") if first else F.col("n_dropped") + F.col("_dropped"))
-              .drop("_text", "_kept", "_lines", "_dropped"))
+              .drop("_lines", "_dropped"))
     return df
 
 

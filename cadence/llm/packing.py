@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cadence.llm.common import narrow
+from cadence.llm.common import CACHES, narrow
 
 BLOCK, HARD, STEP, CACHE = 128, 512, 128, 1_200_000
 SENTENCE_PENALTY, HARD_PENALTY = 4, 64
@@ -42,6 +42,7 @@ _SPACES = re.compile(r"(?<=\S)(?= \S)").split
 _WIDE = re.compile("[^\x00-ſ]").search
 _SOLID = re.compile(r" ?\S+").fullmatch
 _WORKER: dict = {}
+CACHES["packing"] = lambda: [x.known.clear() for x in _WORKER.values()]
 
 
 class Ids:

@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, narrow
+from cadence.llm.common import CACHES, append, narrow
 
 TABLE, SUMMARY, CACHE = 32_768, 8_192, 1_500_000
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 STOP = ".,;:!?"
 _WORKER: dict = {}
+CACHES["token_counts"] = lambda: [x.known.clear() for x in _WORKER.values()]
 
 
 class Counts:
@@ -120,6 +121,6 @@ def token_counts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             own.known.update(own.table)
         return lambda texts: [[own.count(t) for t in texts]]
 
-    out = append(docs, "text", "n_tokens long", start)
+    out = append(docs, "text", "n_tokens long", start, "token_counts")
     return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
                       (F.col("n_tokens") > limit).alias("over_limit"))

@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, cut, fold, narrow
+from cadence.llm.common import append, cut, fold, narrow, parts
 from cadence.llm.language import sample
 
 TABLE, DRIFT, PRIOR, Z, KNOWN, STEMS = 200_000, -0.4, 1000.0, 4.0, 20, (6, 5, 4, 3)
-CACHE = 1_000_000
+CACHE = 300_000
 _BREAK = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
 
@@ -105,7 +105,7 @@ def log_odds(rows: DataFrame) -> dict[bytes, float]:
     drift for other words that are common enough to be known, which keeps a stem from speaking for them."""
 
     def count(batches):
-        for batch in batches:
+        for batch in parts(batches, 4096):
             n: dict[bytes, list[int]] = {}
             for t, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own: dict[bytes, int] = {}
@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 6000) -> dict:
     shared = spark.sparkContext.broadcast(table)
 
     def tally(batches):
-        for batch in batches:
+        for batch in parts(batches, 4096):
             n: dict[float, int] = {}
             weights = Weights(shared.value)
             for t in batch.column(0).to_pylist():
