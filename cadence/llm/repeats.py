@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,11 +205,13 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     long = keyed.where(F.octet_length("text") >= width)
     anchors = long.select("t1", "t2", "text").mapInArrow(lambda b: anchor_rows(b, width), "a long, t1 long, t2 long, c long")
     often = anchors.groupBy("a").agg(F.min("t1").alias("x"), F.max("t1").alias("y"), F.max("c").alias("c")).where("x <> y OR c > 1").select("a")
-    wanted = anchors.join(often, "a").groupBy("t1", "t2").agg(F.collect_set("a").alias("anchors"))
+    # by one half of the text's key: two texts that share it would only bring each other's stretches along
+    wanted = anchors.select("a", "t1").join(often, "a").groupBy("t1").agg(F.collect_set("a").alias("anchors"))
     copies = long.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"))
-    facts = copies.join(wanted, ["t1", "t2"], "left")
+    facts = copies.join(wanted, "t1", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
-    met = keyed.join(facts, ["t1", "t2"], "left").select("doc_id", "t1", "t2", "text", "copies", "anchors", (F.col("doc_id").eqNullSafe(F.col("least"))).alias("first"))
+    small = keyed.mapInArrow(compressed, f"doc_id {kind}, text binary, t1 long, t2 long")
+    met = small.join(facts, ["t1", "t2"], "left").select("doc_id", "t1", "t2", "text", "copies", "anchors", (F.col("doc_id").eqNullSafe(F.col("least"))).alias("first"))
     path = scratch_path(spark, "repeats")
     fields = f"kind string, doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, t1 long, t2 long, p long, g1 long, g2 long, c1 long, c2 long, a long, off long, n long, twin boolean, data binary"
     met.mapInArrow(lambda b: first_rows(b, width, kept), fields).write.option("compression", "zstd").partitionBy("kind").parquet(path)
@@ -224,6 +227,14 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     return out if kept else out.drop("kept")
 
 
+def compressed(batches):
+    """Texts as small as they go through the shuffle: it is the only one that moves them all."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = pa.array([pack(t.encode()) for t in batch.column(1).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), texts, batch.column(2), batch.column(3)], names=["doc_id", "text", "t1", "t2"])
+
+
 def anchor_rows(batches, width: int):
     seen: set[int] = set()
     schema = pa.schema([("a", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("c", pa.int64())])
@@ -242,7 +253,7 @@ def anchor_rows(batches, width: int):
 
 def first_rows(batches, width: int, kept: bool):
     """Results of texts that are settled; texts and stretches of the others."""
-    schema = None
+    schema, unpack = None, zstandard.ZstdDecompressor().decompress
     empty = (None,) * 12
     for batch in batches:
         if schema is None:
@@ -250,7 +261,7 @@ def first_rows(batches, width: int, kept: bool):
                                 ("kept_sha256", pa.string()), ("kept", pa.binary()), *STRETCH])
         rows, room = [], 16 << 20
         for key, t1, t2, text, copies, anchors, first in zip(*(c.to_pylist() for c in batch.columns)):
-            data = text.encode()
+            data = unpack(text)
             copy = copies is not None and copies > 1  # only long texts are counted
             if copy or not anchors:
                 rest = b"" if copy else data
