@@ -39,13 +39,13 @@ def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
 
 
-def sample(df: DataFrame, label: str, most: int) -> DataFrame:
-    """About ``most`` rows of each label, chosen by a hash of doc_id; all of them while there are fewer."""
-    rates = df.groupBy(label).agg(F.least(F.lit(1.0), F.lit(float(most)) / F.count(F.lit(1))).alias("rate")).collect()
+def sample(df: DataFrame, label: str, most: int) -> tuple[DataFrame, dict]:
+    """About ``most`` rows of each label, chosen by a hash of doc_id, all of them while there are fewer; and the rows that each label has."""
+    counts = {r[0]: r.n for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     ok = F.lit(False)
-    for r in rates:
-        ok = ok | ((F.col(label) == F.lit(r[0])) & (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(r.rate * (1 << 30)))))
-    return df.where(ok)
+    for x, n in counts.items():
+        ok = ok | ((F.col(label) == F.lit(x)) & (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(min(1.0, most / n) * (1 << 30)))))
+    return df.where(ok), counts
 
 
 def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
@@ -72,7 +72,7 @@ def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
         some = np.flatnonzero(rows)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, cells + some])), pa.array(np.concatenate([total[at], rows[some]]))], names=["cell", "n"])
 
-    got = sample(train, "lang", fit_docs).select("lang", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    got = sample(train, "lang", fit_docs)[0].select("lang", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(cells + len(langs))
     n[got.column("cell").to_numpy()] = got.column("n").to_numpy()
     counts = n[:cells].reshape(-1, len(langs)) + 0.5

@@ -5,7 +5,8 @@ a hash of the id): log-odds of each token between toxic and clean texts with an
 Dirichlet prior (the pooled counts), kept for at most ``TABLE`` tokens, words or stems of words, whose
 document counts differ most clearly; every other token costs ``DRIFT``. On rows of fold 4, whose tokens were not counted, the extreme-value
 parameter lambda of the scores is solved from clean tokens, and one logistic step maps the
-calibrated total to a probability.
+calibrated total to a probability. Where the bound cuts a label, its rows and tokens weigh the inverse of its
+sampling rate in the pooled counts and in the logistic step, so 0.5 means the same at every size of the table.
 
 Scoring: a linear scan keeps the list of disjoint segments whose score cannot grow by
 extension; each has the expected number of as good segments in clean text
@@ -93,13 +94,16 @@ def passages(text: str | None, weights: Weights, lam: float) -> tuple[float, lis
     return sum(e for _, _, e in found), found
 
 
-def labelled(docs: DataFrame, labels: DataFrame, fit_docs: int) -> DataFrame:
-    """text, toxic, part of the rows to learn from; the labels sent to every task are bounded by ``fit_docs`` a kind."""
+def labelled(docs: DataFrame, labels: DataFrame, fit_docs: int) -> tuple[DataFrame, dict[int, float]]:
+    """text, toxic, part of the rows to learn from, and how many rows one of each kind stands for; the labels sent to
+    every task are bounded by ``fit_docs`` a kind."""
     rows = narrow(labels, doc_id="doc_id", toxic="toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 0))
-    return docs.join(F.broadcast(sample(rows, "toxic", fit_docs)), "doc_id").where("text IS NOT NULL").select("text", "toxic", fold().alias("part"))
+    some, counts = sample(rows, "toxic", fit_docs)
+    out = docs.join(F.broadcast(some), "doc_id").where("text IS NOT NULL").select("text", "toxic", fold().alias("part"))
+    return out, {int(x): max(1.0, n / fit_docs) for x, n in counts.items()}
 
 
-def log_odds(rows: DataFrame) -> dict[bytes, float]:
+def log_odds(rows: DataFrame, weight: dict[int, float]) -> dict[bytes, float]:
     """Scores of words and stems, from rows of folds 1 to 3: log-odds with a Dirichlet prior for those whose document
     counts differ clearly between the labels (signed root of the likelihood ratio), and the
     drift for other words that are common enough to be known, which keeps a stem from speaking for them."""
@@ -130,7 +134,9 @@ def log_odds(rows: DataFrame) -> dict[bytes, float]:
     size = counts.where("NOT endswith(w, X'2a')").agg(F.sum("c0"), F.sum("c1")).first()
     n0, n1 = (float(x or 0) + 1 for x in size)
     share = n[1].n / (n[0].n + n[1].n)
-    prior = 0.5 + (F.col("c0") + F.col("c1")) * (PRIOR / (n0 + n1))
+    # the pooled counts are those of the whole table; the test below compares rows that were drawn with the share among rows drawn
+    w0, w1 = weight[0], weight[1]
+    prior = 0.5 + (F.col("c0") * w0 + F.col("c1") * w1) * (PRIOR / (n0 * w0 + n1 * w1))
     delta = F.log((F.col("c1") + prior) / n1) - F.log((F.col("c0") + prior) / n0)
     both = F.col("d0") + F.col("d1")
     part = lambda d, e: F.when(d > 0, d * F.log(d / e)).otherwise(0.0)
@@ -161,8 +167,8 @@ def extreme(values: np.ndarray, n: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 6000) -> dict:
     """Token table, lambda and the two numbers of the logistic step."""
-    rows = labelled(docs, labels, fit_docs)
-    table = log_odds(rows)
+    rows, weight = labelled(docs, labels, fit_docs)
+    table = log_odds(rows, weight)
     if not table:
         return {"table": {}, "lambda": 1.0, "a": 0.0, "b": -50.0}
     spark = docs.sparkSession
@@ -187,16 +193,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 6000) -> dict:
 
     seen = append(held, "text", "x double", start)
     pairs = seen.select("x", F.col("toxic").cast("double")).toPandas().to_numpy(float)  # about fit_docs / 2 rows
-    a, b = logistic(np.log1p(pairs[:, 0]), pairs[:, 1]) if len(pairs) else (1.0, -1.0)
+    a, b = logistic(np.log1p(pairs[:, 0]), pairs[:, 1], np.where(pairs[:, 1] == 1, weight[1], weight[0])) if len(pairs) else (1.0, -1.0)
     return {"table": table, "lambda": lam, "a": a, "b": b}
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept by Newton steps with a small ridge."""
+def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept by Newton steps with a small ridge; a row counts ``n`` times."""
     X, w = np.stack([x, np.ones_like(x)], 1), np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(X @ w, -30, 30)))
-        step = np.linalg.solve((X * (p * (1 - p))[:, None]).T @ X + 1e-2 * np.eye(2), X.T @ (y - p) - 1e-2 * w)
+        step = np.linalg.solve((X * (n * p * (1 - p))[:, None]).T @ X + 1e-2 * np.eye(2), X.T @ (n * (y - p)) - 1e-2 * w)
         w += np.clip(step, -2, 2)
     return float(w[0]), float(w[1])
 

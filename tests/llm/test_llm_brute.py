@@ -167,6 +167,22 @@ def test_toxicity_on_held_out_labels(spark):
     assert np.mean([r.predicted for r, y in rows if y]) > 0.85 and np.mean([r.predicted for r, y in rows if not y]) < 0.01
 
 
+def test_toxicity_decisions_do_not_depend_on_the_fit_bound(spark):
+    """Eight clean texts to a toxic one; texts with a few marked words are toxic in about one case of four."""
+    import random
+
+    pick = random.Random(5)
+    text = lambda k: " ".join([f"w{pick.randrange(200)}" for _ in range(20)] + [f"bad{pick.randrange(9)}" for _ in range(k)] + [f"w{pick.randrange(200)}" for _ in range(20)])
+    rows = [(k, k % 9 == 0) for k in range(9000)]
+    kind = {k: (3 if pick.random() < 0.25 else 10) if t else (3 if pick.random() < 0.10 else 0) for k, t in rows}
+    docs = spark.createDataFrame([(k, text(kind[k])) for k, _ in rows], "doc_id long, text string").cache()
+    labels = spark.createDataFrame([(k, int(t)) for k, t in rows], "doc_id long, toxic int").cache()
+    whole, tiny = ({r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels, fit_docs=n).collect()} for n in (10**9, 800))
+    assert np.mean([whole[k] == tiny[k] for k in whole]) > 0.98
+    for got in (whole, tiny):
+        assert np.mean([got[k] for k in got if kind[k] == 3]) < 0.1 and np.mean([got[k] for k in got if kind[k] == 10]) > 0.95
+
+
 def test_segments_are_all_maximal_ones():
     """Against the definition: repeatedly the best contiguous part, then what is left and right of it."""
 
