@@ -4,9 +4,9 @@ A page is cut into leaf blocks (text between block-level tags; scripts, styles,
 comments of the markup are no text). Each block has features of its ancestor tags and their
 class and id words, and of its text; labels are main text or not, decoded by Viterbi.
 
-Training pages: at most about ``fit_pages`` pages, chosen by a hash of page_id among
+Training pages: the ``fit_pages`` pages with the smallest hashes of page_id and markup among
 those that mark their article themselves (an article or main element) and have at most
-``FIT_CHARS`` characters; blocks inside are main text, others are not. Each also enters in altered forms whose
+``FIT_CHARS`` characters, all while there are fewer, copies once; blocks inside are main text, others are not. Each also enters in altered forms whose
 labels are known by construction: the article element renamed to a plain division, and
 sidebars, notices, adverts, forms, headers and reader comments with text of other pages set around and inside
 it. The weights, a fixed number of them, maximise the penalised likelihood.
@@ -262,10 +262,11 @@ def train(labelled: list[str], steps: int = 120, rate: float = 0.15, ridge: floa
 
 
 def fit(pages: DataFrame, fit_pages: int = 200) -> tuple[np.ndarray, np.ndarray]:
-    able = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= FIT_CHARS) & F.col("page_id").isNotNull())
-    n = pages.count()
-    share = F.pmod(F.xxhash64("page_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(min(1.0, fit_pages / max(1, n)) * (1 << 30)))
-    return train(training_pages(sorted(r.html for r in able.where(share).select("html").collect())))
+    able = (pages.where(F.col("html").rlike("(?i)<(article|main)[ >]") & (F.length("html") <= FIT_CHARS) & F.col("page_id").isNotNull())
+            .select(F.xxhash64("page_id", "html").alias("h"), "html"))
+    chosen = [r.h for r in able.select("h").distinct().orderBy("h").limit(fit_pages).collect()]
+    own = able.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html"))  # one row of each, before anything moves
+    return train(training_pages(sorted(r.html for r in own.collect())))
 
 
 def main_text(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", fit_pages: int = 200) -> DataFrame:

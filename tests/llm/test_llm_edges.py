@@ -109,6 +109,23 @@ def test_pages_with_nulls_repeats_and_broken_markup(spark):
     assert [r.text for r in got if r.page_id == 1] == ["Title & more\n\nFirst line, of text.\n\nSecond <b> line."] * 2
 
 
+def marked(k):
+    return f"<html><head><title>t</title></head><body><nav><a href='/'>Home</a></nav><article><h1>Title {k}</h1><p>Line {k} of text, and more of it.</p></article><footer>me</footer></body></html>"
+
+
+def test_training_pages_are_found_among_unmarked_ones(spark, monkeypatch):
+    """Few marked pages, one of them in a third of the rows: the sample is full, bounded and holds copies once."""
+    given = []
+    monkeypatch.setattr(extraction, "train", lambda labelled, train=extraction.train: given.append(len(labelled)) or train(labelled))
+    rows = [(k, "u", "<html><body><div><p>plain</p></div></body></html>") for k in range(3000)]
+    rows += [(5000 + k, "u", marked(k)) for k in range(12)] + [(5000, "u", marked(0))] * 1500
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in extraction.main_text(df, fit_pages=8).where("page_id >= 5000").collect()}
+    assert given == [3 * 8] and got == {5000 + k: f"Title {k}\n\nLine {k} of text, and more of it." for k in range(12)}
+    extraction.fit(df, fit_pages=200)
+    assert given[1:] == [3 * 12]
+
+
 def test_repeated_rows_are_copies(docs):
     got = {(r.doc_id, r.n_bytes): r for r in repeats.remove_repeats(docs).collect()}
     long = got[(4, len(LONG))]
