@@ -1,7 +1,7 @@
 """Main-text extraction from HTML: a linear-chain conditional random field over leaf blocks.
 
-A page is cut into leaf blocks (text between block-level tags; scripts, styles, the head and
-comments of the markup are no text). Each block has features of its ancestor tags and their
+A page is cut into leaf blocks (text between block-level tags; scripts, styles, templates, titles, form
+controls and comments of the markup are no text; the head ends where something starts that it cannot hold). Each block has features of its ancestor tags and their
 class and id words, and of its text; labels are main text or not, decoded by Viterbi.
 
 Training pages: the ``fit_pages`` pages with the smallest hashes of page_id and markup among
@@ -30,7 +30,9 @@ from cadence.llm.common import append, narrow
 
 DIM, FIT_CHARS, LONGEST = 1 << 13, 200_000, 64
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head script style noscript template svg math iframe object textarea select title".split())
+SILENT = frozenset("script style template textarea select title".split())
+#: What a head may hold; any other element or text ends it, as its own end tag does.
+HEADED = frozenset("head title base basefont bgsound link meta noframes noscript script style template".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul""".split())
 #: An opening tag ends an open element of these kinds, up to the nearest container.
@@ -73,7 +75,13 @@ class Blocks(HTMLParser):
                 del self.active[n]
         self.silent -= tag in SILENT
 
+    def leave_head(self) -> None:
+        while "t:head" in self.active:
+            self.pop()
+
     def handle_starttag(self, tag, attrs):
+        if "t:head" in self.active and tag not in HEADED and "t:template" not in self.active and (tag in BLOCK or "t:title" not in self.active):
+            self.leave_head()
         if tag in BLOCK:
             self.flush()
             ends = {"p"} | CLOSES.get(tag, set())
@@ -115,6 +123,8 @@ class Blocks(HTMLParser):
 
     def handle_data(self, data):
         if not self.silent:
+            if "t:head" in self.active and data.strip():
+                self.leave_head()
             self.parts.append(data)
             if "t:a" in self.active:
                 self.linked += len(data)

@@ -113,6 +113,24 @@ def marked(k):
     return f"<html><head><title>t</title></head><body><nav><a href='/'>Home</a></nav><article><h1>Title {k}</h1><p>Line {k} of text, and more of it.</p></article><footer>me</footer></body></html>"
 
 
+@pytest.mark.parametrize("form", ["<body>", "<BODY class='x'>", "", "<noscript><img src='p'></noscript><body>", "<template><p>no</p></template><script>no()</script><body>"])
+def test_a_head_without_end_tag_holds_no_text(form):
+    closed, opened = (extraction.blocks(marked(3).replace("</head><body>", x)) for x in ("</head><body>", form))
+    assert [b[1:] for b in opened] == [b[1:] for b in closed] and len(closed) == 4
+    assert all("t:head" not in b[0] and "t:title" not in b[0] for b in opened)
+
+
+def test_text_of_formulas_objects_and_noscript_is_judged(spark):
+    inner = ("<p>The area is <math><mi>a</mi><mo>=</mo><mn>2</mn></math> here, <svg><title>no</title><text>drawn</text></svg>.</p>"
+             "<object data='x'><p>An object with a sentence of its own.</p></object><noscript><p>A paragraph for those without scripts.</p></noscript>"
+             "<script>no()</script><style>no{}</style><template><p>no</p></template><textarea>no</textarea><select><option>no</select></article>")
+    rows = [(k, "u", marked(k)) for k in range(30)] + [(100, "u", marked(100).replace("</article>", inner)), (101, "u", marked(101).replace("</head><body>", "<body>"))]
+    got = {r.page_id: r.text for r in extraction.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[100].split("\n\n") == ["Title 100", "Line 100 of text, and more of it.", "The area is a=2 here, drawn.", "An object with a sentence of its own.",
+                                      "A paragraph for those without scripts."]
+    assert got[101] == "Title 101\n\nLine 101 of text, and more of it."
+
+
 def test_training_pages_are_found_among_unmarked_ones(spark, monkeypatch):
     """Few marked pages, one of them in a third of the rows: the sample is full, bounded and holds copies once."""
     given = []
