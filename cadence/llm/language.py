@@ -1,8 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Fitted on rows with a language whose crc32(doc_id) mod 5 is not 0, at most about ``fit_docs``
-rows a language (chosen by a hash of the id; all rows while there are fewer). Each task adds up
-n-gram counts of its rows; the log-probability matrix, at most ``MATRIX`` bytes by choice of
+rows a language (chosen by a hash of the id; all rows while there are fewer). The priors are the shares of
+the languages among all these rows, drawn or not. Each task adds up n-gram counts of its rows; the log-probability matrix, at most ``MATRIX`` bytes by choice of
 the bucket number, is broadcast, and whole texts are scored in batches: one gather and one
 segmented sum. A null text or one without a letter is ``und`` with score 0, as is every
 text if nothing could be learned. Ties go to the first language by name. Repeated rows keep a row each.
@@ -51,7 +51,8 @@ def sample(df: DataFrame, label: str, most: int) -> tuple[DataFrame, dict]:
 def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
     """Languages in order of name and the matrix of log probabilities, a row for each bucket and one for the priors."""
     train = docs.where("lang IS NOT NULL AND text IS NOT NULL AND NOT held_out")
-    langs = sorted(r.lang for r in train.select("lang").distinct().collect())
+    some, rows = sample(train, "lang", fit_docs)
+    langs = sorted(rows)
     if not langs:
         return [], np.zeros((1, 0), np.float32)
     bits = min(BITS, int(np.log2(MATRIX / 4 / len(langs))))
@@ -59,7 +60,7 @@ def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
     cells = (1 << bits) * len(langs)
 
     def count(batches):
-        total, rows = np.zeros(cells, np.int64), np.zeros(len(langs), np.int64)
+        total = np.zeros(cells, np.int64)
         for batch in batches:
             names, texts = (batch.column(c).to_pylist() for c in (0, 1))
             for at in range(0, len(texts), 64):
@@ -67,16 +68,15 @@ def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
                 g, starts = grams(part, bits)
                 own = np.array([number[x] for x in names[at:at + 64]], np.int64)
                 total += np.bincount(g * len(langs) + np.repeat(own, np.diff([*starts, len(g)])), minlength=cells)
-                rows += np.bincount(own, minlength=len(langs))
         at = np.flatnonzero(total)
-        some = np.flatnonzero(rows)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, cells + some])), pa.array(np.concatenate([total[at], rows[some]]))], names=["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    got = sample(train, "lang", fit_docs)[0].select("lang", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    n = np.zeros(cells + len(langs))
+    got = some.select("lang", "text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(cells)
     n[got.column("cell").to_numpy()] = got.column("n").to_numpy()
-    counts = n[:cells].reshape(-1, len(langs)) + 0.5
-    prior = np.log((n[cells:] + 1) / (n[cells:] + 1).sum())
+    counts = n.reshape(-1, len(langs)) + 0.5
+    share = np.array([rows[x] + 1.0 for x in langs])
+    prior = np.log(share / share.sum())
     return langs, np.vstack([np.log(counts / counts.sum(axis=0)), prior]).astype(np.float32)
 
 

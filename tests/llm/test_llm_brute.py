@@ -212,6 +212,14 @@ def test_language_scores_ignore_ids(spark):
     assert len(got) == 2
 
 
+def test_language_priors_do_not_depend_on_the_fit_bound(spark):
+    rows = [(k, f"the house {k % 7} is there" if k % 10 else f"das haus {k % 7} ist dort", "de" if k % 10 == 0 else "en") for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "false AS held_out")
+    (langs, whole), (same, tiny) = (language.fit(docs, n) for n in (10**9, 100))
+    assert langs == same == ["de", "en"] and np.allclose(whole[-1], tiny[-1])
+    assert np.allclose(np.exp(tiny[-1]), [401 / 4002, 3601 / 4002])
+
+
 def test_leaks_in_blocks_are_the_same(spark, monkeypatch):
     docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     want = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
