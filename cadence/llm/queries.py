@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm import decontaminate, extraction, fingerprints, language, line_dedup, packing, repeats, simhash, token_counts, toxicity
+from cadence.llm import decontaminate, extraction, fingerprints, language, line_dedup, packing, phrases, repeats, simhash, token_counts, toxicity
 from cadence.llm.common import table
 
 
@@ -50,8 +50,12 @@ def op10_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark, sf_dir) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op3_repeats, op4_html_text, op5_toxicity, op6_language, op7_decontaminate, op8_simhash,
-                                   op9_line_dedup, op10_packing)}
+                                   op9_line_dedup, op10_packing, op11_phrases)}
 
 #: Words as in decontaminate.words: lower case, broken at ASCII other than letters and digits.
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+'), lambda x: x <> '')"
@@ -75,4 +79,18 @@ hot AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE k IN (FROM hot)) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE k NOT IN (FROM hot)), '')) AS kept_sha256
 FROM l GROUP BY r, doc_id""",
+    "op11_phrases": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, size, w[i:i + size - 1] AS ws FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS s(size))),
+f AS (SELECT lang, size, ws, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 10),
+inside AS (SELECT lang, part AS ws, max(f) AS most FROM (SELECT lang, f, unnest([ws[1:2], ws[2:3]]) AS part FROM f WHERE size = 3) GROUP BY ALL),
+c AS (SELECT f.lang, f.ws, f.f AS a, unnest(range(1, size)) AS k FROM f LEFT JOIN inside USING (lang, ws) WHERE size >= 2 AND (most IS NULL OR 100 * most < 50 * f.f)),
+s AS (SELECT c.lang, c.ws, a, l.f AS l, r.f AS r, k, (1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1:k] JOIN f r ON r.lang = c.lang AND r.ws = c.ws[k + 1:len(c.ws)]),
+b AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM b JOIN n USING (lang) QUALIFY rank <= 2000""",
 }
