@@ -11,10 +11,15 @@ value is one row, not a third of the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cadence.session import cut_lineage
 
@@ -59,6 +64,100 @@ def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequenc
                                      for v in values])
 
 
+# -- prefix sums over one range exchange ---------------------------------------------------------
+
+def arrange(df: DataFrame, by: Sequence[str], order: Sequence[Column | str] = (), ranges: int | None = None) -> DataFrame:
+    """``df`` sorted by (by, order) over all its partitions, and the number of its range in ``_range``.
+    One range exchange; as the order is part of the range key, a group of any size is spread over ranges."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[F.col(b).asc_nulls_first() for b in by], *[F.col(o).asc_nulls_first() if isinstance(o, str) else o for o in order]]
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_range", F.spark_partition_id())
+
+
+def running(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], sums: Mapping[str, str] | None = None,
+            xors: Mapping[str, str] | None = None, ranges: int | None = None) -> DataFrame:
+    """``df`` with running totals (new column -> long column summed, or combined by exclusive or) over
+    the rows of the same ``by`` up to and including this one in ``order``; NULL counts as 0.
+
+    A distributed prefix sum: each range of one range exchange is summed on its own, as a stream; what
+    the earlier ranges hold of a range's first group is added from a table of one row a range. The
+    sorted rows are written once (checkpoint), so that ranges stay the same in both reads."""
+    return running_again(arrange(df, by, order, ranges), by, sums, xors)
+
+
+def running_again(arranged: DataFrame, by: Sequence[str], sums: Mapping[str, str] | None = None,
+                  xors: Mapping[str, str] | None = None) -> DataFrame:
+    """As ``running`` on rows that lie as ``arrange`` left them: ``running`` can follow ``running``
+    without another exchange while only projections and filters lie between."""
+    by, sums, xors = list(by), dict(sums or {}), dict(xors or {})
+    new = [*sums, *xors]
+    local = cut_lineage(_local_totals(arranged, by, sums, xors))
+    group = F.struct(*[F.col(b) for b in by]) if by else F.struct(F.lit(0))
+    ends = local.groupBy("_range").agg(F.min_by(group, "_row").alias("_first"), F.max_by(group, "_row").alias("_last"),
+                                       F.max_by(F.struct(*new), "_row").alias("_tail"))
+    sides = ends.select(F.inline(F.array(
+        F.struct(F.col("_first").alias("_group"), "_range", F.lit(0).alias("_side"), F.struct(*[F.lit(0).cast("long").alias(c) for c in new]).alias("_value")),
+        F.struct(F.col("_last").alias("_group"), "_range", F.lit(1).alias("_side"), F.col("_tail").alias("_value")))))
+    before = Window.partitionBy("_group").orderBy("_range", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    carry = sides.select("_group", "_range", "_side", *[(F.sum if c in sums else F.bit_xor)(F.col(f"_value.{c}")).over(before).alias(f"_before_{c}") for c in new])
+    carry = carry.where("_side = 0").drop("_side")  # one row for each range
+    whole = local.join(F.broadcast(carry), "_range", "left")
+    add = lambda c: F.col(c) + F.col(f"_before_{c}") if c in sums else F.col(c).bitwiseXOR(F.col(f"_before_{c}"))
+    return whole.select(*arranged.columns, *[F.when(group.eqNullSafe(F.col("_group")), add(c)).otherwise(F.col(c)).alias(c) for c in new])
+
+
+def _changes(columns: list[pa.Array], before: list) -> np.ndarray:
+    """Whether each row's group differs from that of the row ahead (``before``: the group ahead of the first row)."""
+    n = len(columns[0])
+    out = np.zeros(n, bool)
+    for column, ahead in zip(columns, before, strict=True):
+        shifted = pa.concat_arrays([pa.array([ahead], column.type), column.slice(0, n - 1)])
+        same = pc.or_(pc.fill_null(pc.equal(column, shifted), False), pc.and_(pc.is_null(column), pc.is_null(shifted)))
+        out |= ~same.to_numpy(zero_copy_only=False)
+    return out
+
+
+def _totals(values: np.ndarray, starts: np.ndarray, carry: int, total: Callable, join: Callable) -> np.ndarray:
+    """Running totals that restart at each of ``starts``; rows ahead of the first start go on from ``carry``."""
+    whole = total.accumulate(values)
+    base = np.full(len(values), 0, values.dtype)
+    at = np.maximum.accumulate(np.where(starts, np.arange(len(values)), -1))
+    base[at > 0] = whole[at[at > 0] - 1]
+    out = join(whole, base)
+    out[at < 0] = total(out[at < 0], values.dtype.type(carry))
+    return out
+
+
+def _local_totals(arranged: DataFrame, by: list[str], sums: Mapping[str, str], xors: Mapping[str, str]) -> DataFrame:
+    """Running totals within each range, and the row's number in it (``_row``)."""
+    names, new = arranged.columns, [*sums, *xors]
+    kinds = [(np.add, np.subtract)] * len(sums) + [(np.bitwise_xor, np.bitwise_xor)] * len(xors)
+    source = [names.index(c) for c in [*sums.values(), *xors.values()]]
+    groups = [names.index(b) for b in by]
+    types = [to_arrow_type(f.dataType) for f in arranged.schema.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, carry, before = 0, [0] * len(new), None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = [batch.column(g) for g in groups]
+            starts = _changes(keys, before or [None] * len(keys))
+            starts[0] |= before is None
+            out = []
+            for i, (c, (total, join)) in enumerate(zip(source, kinds, strict=True)):
+                values = pc.fill_null(batch.column(c).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
+                out.append(_totals(values, starts, carry[i], total, join))
+            carry, before = [int(x[-1]) for x in out], [k[n - 1].as_py() for k in keys]
+            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(batch.columns, types, strict=True)], *[pa.array(x) for x in out], pa.array(np.arange(row, row + n))],
+                                             names=[*names, *new, "_row"])
+            row += n
+
+    more = [T.StructField(c, T.LongType()) for c in [*new, "_row"]]
+    return arranged.mapInArrow(run, T.StructType([*arranged.schema.fields, *more]))
+
+
 def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """(groups, value, n) for non-NULL values; partial aggregation collapses hot values."""
     return (df.where(F.col(value).isNotNull())
