@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, decontaminate, extraction, fingerprints, language, line_dedup, packing, phrases, repeats, simhash, token_counts, toxicity
+from cadence.llm import chat, decontaminate, extraction, fingerprints, language, line_dedup, packing, phrases, prefix_trie, repeats, simhash, token_counts, toxicity
 from cadence.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op11_phrases(spark, sf_dir) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark, sf_dir) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_chat(spark, sf_dir) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -62,7 +66,7 @@ def op13_chat(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_fingerprints, op3_repeats, op4_html_text, op5_toxicity, op6_language, op7_decontaminate, op8_simhash,
-                                   op9_line_dedup, op10_packing, op11_phrases, op13_chat)}
+                                   op9_line_dedup, op10_packing, op11_phrases, op12_prefix_trie, op13_chat)}
 
 #: Words as in decontaminate.words: lower case, broken at ASCII other than letters and digits.
 _WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x00-/:-@\[-`{-\x7F]+'), lambda x: x <> '')"
@@ -100,6 +104,23 @@ s AS (SELECT c.lang, c.ws, a, l.f AS l, r.f AS r, k, (1000000::HUGEINT * a * a)
 b AS (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
 FROM b JOIN n USING (lang) QUALIFY rank <= 2000""",
+    "op12_prefix_trie": r"""
+WITH o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+b AS (SELECT conv_id, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda p: ascii(substr(conv_id::VARCHAR, p, 1))::BIGINT) AS bytes FROM (SELECT DISTINCT conv_id FROM o)),
+c AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda x, y: list_reduce(list_concat([xor(x, y)], range(8)),
+         lambda v, i: xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT) % 4 AS h FROM b),
+r AS (SELECT c.conv_id, 0 AS src, i, turn FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND i <= h
+  UNION ALL SELECT c.conv_id, 1, i, turn FROM c JOIN o USING (conv_id) WHERE i > h),
+s AS (SELECT conv_id, coalesce(list(turn ORDER BY src, i) FILTER (turn IS NOT NULL), []) AS s FROM c LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+n AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(s) = depth), '') AS ids
+  FROM (SELECT conv_id, s, depth, s[:depth] AS path FROM (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM s)) GROUP BY depth, path),
+k AS (SELECT path[:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+u AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[depth].t, '[^\x20\x09-\x0D]+')) END AS own
+  FROM n LEFT JOIN k USING (depth, path)),
+t AS (SELECT d AS depth, path[:d] AS path, sum(own)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT path, own, n_children, unnest(range(0, depth + 1)) AS d FROM u) GROUP BY ALL)
+SELECT u.conv_id, u.depth, p.conv_id AS parent_conv_id, u.n_convs, u.n_children, n_leaves, saved_tokens, sha256(u.ids) AS ends_sha256
+FROM u JOIN t USING (depth, path) LEFT JOIN n p ON p.depth = u.depth - 1 AND p.path = u.path[:u.depth - 1]""",
     "op13_chat": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
