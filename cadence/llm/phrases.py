@@ -72,9 +72,10 @@ class Reader:
         self.add(key, [END])
 
     def take(self, open_key: tuple | None = None) -> Iterator[tuple]:
-        """Key, words and word numbers read so far. Phrases start at all places but the last
+        """Key, words, and hashes and numbers of the words read so far. Phrases start at all places but the last
         longest - 1, which are marks, or, for a text still being read, are handed over again."""
         words, runs, more = list(self.numbers), self.runs, self.longest - 1
+        marks = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         self.clear()
         for key, run in runs.items():
             a = np.concatenate(run)
@@ -83,16 +84,15 @@ class Reader:
             else:
                 a = np.concatenate([a, np.zeros(more, np.int32)])
             if len(a) > more:
-                yield key, words, a
+                yield key, words, marks[a], a
 
 
 def seed(*key) -> np.uint64:
     return np.uint64(xxhash.xxh3_64_intdigest(repr(key).encode()))
 
 
-def hashes(words: list[bytes], a: np.ndarray, longest: int, lang: str) -> list[np.ndarray]:
+def hashes(one: np.ndarray, longest: int, lang: str) -> list[np.ndarray]:
     """For each k a hash of the k words from every place on (the last places wrap and are never used)."""
-    one = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)[a]
     out = [spread(one ^ seed(lang), 1)]
     for k in range(1, longest):
         out.append(spread(out[-1] * np.uint64(0x9E3779B97F4A7C15) + np.roll(one, -k), k))
@@ -118,7 +118,7 @@ def frequent(a: np.ndarray, known: list[np.ndarray], longest: int, test: Callabl
 
 
 def scan(df: DataFrame, schema: str, longest: int, start: Callable[[], Callable], held: int, step: int) -> DataFrame:
-    """Rows that the function from ``start`` makes of each (key, words, numbers) of a task's texts."""
+    """Rows that the function from ``start`` makes of each (key, words, hashes, numbers) of a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make, reader = start(), Reader(longest, held, step)
@@ -138,10 +138,10 @@ def local_counts(df: DataFrame, longest: int, k: int, maps: list, held: int, ste
     def start():
         bits = [np.frombuffer(m.value, np.uint8) for m in maps]
 
-        def make(key, words, a):
+        def make(key, words, one, a):
             lang, shard = key
             mark = seed("shard", shard)
-            known = hashes(words, a, k, lang)
+            known = hashes(one, k, lang)
             ok = list(frequent(a, known, k, lambda n, h: inside(bits[n], spread(h ^ mark, 0))))[-1]
             h, c = np.unique(spread(known[-1][: len(a) - longest + 1][ok[: len(a) - longest + 1]] ^ mark, 0), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int32))], names=["h", "c"])
@@ -198,9 +198,9 @@ def exact_counts(df: DataFrame, longest: int, maps: list, shards: int, held: int
                 got[rest] = inside(bits[n], spread(h[rest] ^ mark, 0))
             return got
 
-        def make(key, words, a):
+        def make(key, words, one, a):
             starts = len(a) - longest + 1
-            known = hashes(words, a, longest, key[0])
+            known = hashes(one, longest, key[0])
             phrases, sizes, counts = [""], [0], [int(np.count_nonzero(a[:starts]))]
             number = a.astype(np.int64)  # of the k words from each place on, equal for equal words
             for k, ok in enumerate(frequent(a, known, longest, test)):
