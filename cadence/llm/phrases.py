@@ -12,7 +12,7 @@ words, not as hashes, so neither collisions nor a full bitmap change a result.
 
 Words of a null language belong to ``und``; null and empty texts hold no word. Repeated rows count
 each. Phrases never cross pieces or documents. A text of any length is read in steps of ``STEP``
-bytes; a task holds ``HELD`` words. An empty table gives no row. Ties of score and count are ranked
+bytes; a task holds ``HELD`` words, half as many where it keeps the words themselves. An empty table gives no row. Ties of score and count are ranked
 by the phrase's UTF-8 bytes.
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cadence.llm.common import cut, parts
 from cadence.llm.line_dedup import spread
 
-HELD, STEP = 1 << 22, 1 << 20
+HELD, STEP = 1 << 21, 1 << 20
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 1 << 19, 1 << 28, 1 << 19
 #: A-Z to lower case; piece ends to one byte, which then is written as the mark below; tabs to spaces.
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10)
@@ -134,7 +134,7 @@ def scan(df: DataFrame, schema: str, longest: int, start: Callable[[], Callable]
     by (language, shard), or by language alone where words are numbered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, reader = start(), Reader(longest, held, step, numbered)
+        make, reader = start(), Reader(longest, held // 2 if numbered else held, step, numbered)
         for batch in parts(batches):
             for lang, shard, data in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 for got in reader.read(lang if numbered else (lang, shard), data):
