@@ -1,9 +1,9 @@
 """Cleaning: NULL handling, deterministic de-duplication, range filters, Silver.
 
-De-duplication is an aggregate, not a window: ``min(struct(order..., rest...))``
-per key keeps the first row by the order columns. The aggregate runs partially
-on the map side, so a key holding a third of all rows is reduced in every map
-task before the shuffle and never lands whole in one task.
+De-duplication keeps the first row of each key: ``row_number() = 1`` over the order columns and then every
+other column. Catalyst plans it with a group limit on both sides of the shuffle, so a key holding a third of
+all rows is one row a map task before the shuffle and never lands whole in one task; rows are
+sorted in their binary form, no struct of all columns is built, compared or copied.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.expressions import flag_to_int
@@ -40,18 +40,12 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.where(no_nulls(list(subset) if subset else df.columns))
 
 
-def _first_row_struct(df: DataFrame, key: str, order: Sequence[str]) -> Column:
-    rest = [c for c in df.columns if c != key and c not in order]
-    return F.struct(*[F.col(c) for c in list(order) + rest])
-
-
 def dedupe(df: DataFrame, key: str = DEDUPE_KEY,
            order: Sequence[str] = tuple(DEDUPE_ORDER)) -> DataFrame:
     """One row per key: the smallest by ``order``, then by every other column."""
-    cols = df.columns
-    first = _first_row_struct(df, key, order)
-    kept = df.groupBy(key).agg(F.min(first).alias("_row"))
-    return kept.select(key, "_row.*").select(*cols)
+    rest = [c for c in df.columns if c != key and c not in order]
+    first = Window.partitionBy(key).orderBy(*order, *rest)
+    return df.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
 
 
 def in_range(df: DataFrame, c: str, lo, hi) -> DataFrame:
@@ -70,24 +64,11 @@ def silver(bronze: DataFrame) -> DataFrame:
 
 
 def clean_stages(bronze: DataFrame) -> DataFrame:
-    """Rows remaining after each cleaning stage, from one grouped pass.
-
-    The grouping by key that de-duplication needs also yields the raw and
-    non-NULL counts (summed per key), so Bronze is scanned once.
-    """
-    cols = bronze.columns
-    ok = no_nulls(cols)
-    first = _first_row_struct(bronze, DEDUPE_KEY, DEDUPE_ORDER)
-    per_key = (bronze.groupBy(DEDUPE_KEY)
-               .agg(F.count(F.lit(1)).alias("n_raw"),
-                    F.count_if(ok).alias("n_ok"),
-                    F.min(F.when(ok, first)).alias("_row")))
-    totals = per_key.agg(
-        F.sum("n_raw").alias("bronze"),
-        F.sum("n_ok").alias("drop_nulls"),
-        F.count("_row").alias("dedupe"),
-        F.count_if(F.col("_row.popularity").between(0, 100)).alias("range_filter"),
-    )
+    """Rows remaining after each cleaning stage: the row-wise stages from one aggregate over
+    Bronze, the others from one over the de-duplicated rows."""
+    rows = bronze.agg(F.count(F.lit(1)).alias("bronze"), F.count_if(no_nulls(bronze.columns)).alias("drop_nulls"))
+    kept = dedupe(drop_nulls(bronze)).agg(F.count(F.lit(1)).alias("dedupe"), F.count_if(F.col("popularity").between(0, 100)).alias("range_filter"))
+    totals = rows.crossJoin(kept)  # one row each
     stages = ["bronze", "drop_nulls", "dedupe", "range_filter"]
     long = totals.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("stage_no"), F.lit(s).alias("stage"),

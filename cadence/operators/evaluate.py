@@ -2,8 +2,8 @@
 
 Counting metrics come from one ``groupBy(label, prediction)`` (k x k rows at
 most), so everything after it is tiny. Ranking metrics (AUC, ROC) collapse the
-scores to one row per distinct (class, score) and then use bucketed running
-sums (``ordered.running_sums``) instead of a global window.
+scores to one row per distinct (class, score) and then need one range exchange of these: running
+totals within the ranges, and a table of one row a range that adds what lies ahead (``ordered.running``).
 """
 
 from __future__ import annotations
@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.operators.ordered import running_sums
-from cadence.session import cut_lineage
+from cadence.operators.ordered import running, running_again
 
 LABEL, PRED = "label", "prediction"
 
@@ -124,10 +123,10 @@ def auc_per_class(df: DataFrame, k: int, label: str = LABEL, score_col: str = "s
     """One-vs-rest AUC per class (tie-averaged), for classes with positives and
     negatives; AUC = sum pos(s) * (neg below s + neg(s)/2) / (P * N)."""
     cs = class_scores(df, k, label, score_col, digits)
-    cum = running_sums(cs, ["class"], "score", ["neg"], inclusive=False)  # negatives strictly below
+    cum = running(cs, ["class"], ["score"], sums={"cum_neg": "neg"})
     agg = cum.groupBy("class").agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
-        F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0)).alias("_num"))
+        F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_num"))
     return agg.where((F.col("positives") > 0) & (F.col("negatives") > 0)).select(
         F.col("class").cast("int").alias("class"), F.col("positives").cast("bigint").alias("positives"),
         F.col("negatives").cast("bigint").alias("negatives"),
@@ -150,22 +149,20 @@ def roc_points(df: DataFrame, k: int, label: str = LABEL, score_col: str = "scor
     (0, 0) comes first. Fewer than two classes in the truth: the diagonal. All points are
     returned unless ``max_points`` asks for evenly spaced ones."""
     spark = df.sparkSession
-    cs = cut_lineage(class_scores(df, k, label, score_col, digits))
-    present = cs.groupBy("class").agg(F.sum("pos").alias("_p")).where(F.col("_p") > 0).select("class")
-    used = cs.where(F.col("class") == 1) if k == 2 else cs.join(present, "class", "left_semi")
-    pooled = used.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.lit(1).alias("one"))
-    cum = running_sums(pooled, [], "score", ["pos", "neg", "one"], descending=True)
-    pts = cut_lineage(cum.select(F.col("cum_one").cast("bigint").alias("ord"), "score",
-                                 F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps")))
-    ends = pts.agg(F.max("ord").alias("_last"), F.max("tps").alias("_pos"), F.max("fps").alias("_neg"))
-    beside = lambda by, tag: pts.select((F.col("ord") + by).alias("ord"), F.col("tps").alias(f"_tps_{tag}"), F.col("fps").alias(f"_fps_{tag}"))
-    j = pts.join(beside(1, "up"), "ord", "left").join(beside(-1, "down"), "ord", "left").crossJoin(F.broadcast(ends))
-    bend = lambda c: F.col(f"_{c}_down") + F.col(f"_{c}_up") != 2 * F.col(c)
-    corner = (F.col("_last") <= 2) | F.col("_tps_up").isNull() | F.col("_tps_down").isNull() | bend("tps") | bend("fps")
-    kept = j.where(corner & (F.col("_pos") > 0) & (F.col("_neg") > 0)).select("ord", "score", "tps", "fps", "_pos", "_neg")
-    renum = running_sums(kept.withColumn("one", F.lit(1)), [], "ord", ["one"])
-    curve = renum.select(F.col("cum_one").cast("bigint").alias("ord"), F.col("score").cast("double").alias("threshold"),
-                         (F.col("fps") / F.col("_neg")).alias("fpr"), (F.col("tps") / F.col("_pos")).alias("tpr"))
+    cs = class_scores(df, k, label, score_col, digits)
+    truth = df.select(F.col(label).cast("int").alias("class")).where(F.col("class").between(0, k - 1)).distinct()
+    used = cs.where(F.col("class") == 1) if k == 2 else cs.join(F.broadcast(truth), "class", "left_semi")  # at most k rows
+    pooled = used.groupBy("score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).withColumn("one", F.lit(1).cast("long"))
+    # from the lowest score up, so that the row ahead is the next point of the curve
+    up = running(pooled, [], ["score"], sums={"_at": "one", "_tp": "pos", "_fp": "neg"}, lags={"_next_pos": "pos", "_next_neg": "neg"})
+    ends = up.agg(F.max("_at").alias("_last"), F.max("_tp").alias("_pos"), F.max("_fp").alias("_neg"))
+    bend = (F.col("_next_pos") != F.col("pos")) | (F.col("_next_neg") != F.col("neg"))  # the next step differs from the one that led here
+    j = up.crossJoin(F.broadcast(ends))
+    kept = j.where((F.col("_next_pos").isNull() | (F.col("_at") == F.col("_last")) | bend) & (F.col("_pos") > 0) & (F.col("_neg") > 0))
+    placed = running_again(kept.select("score", "pos", "neg", "one", "_tp", "_fp", "_pos", "_neg", "_range"), [], sums={"_place": "one"})
+    curve = placed.crossJoin(F.broadcast(placed.agg(F.max("_place").alias("_m")))).select(
+        (F.col("_m") - F.col("_place") + 1).alias("ord"), F.col("score").cast("double").alias("threshold"),
+        ((F.col("_neg") - F.col("_fp") + F.col("neg")) / F.col("_neg")).alias("fpr"), ((F.col("_pos") - F.col("_tp") + F.col("pos")) / F.col("_pos")).alias("tpr"))
     fixed = spark.range(2).select(F.col("id").alias("ord"), F.lit(None).cast("double").alias("threshold"),
                                   F.col("id").cast("double").alias("fpr"), F.col("id").cast("double").alias("tpr"))
     sides = ends.select((F.coalesce("_pos", F.lit(0)) > 0).alias("a"), (F.coalesce("_neg", F.lit(0)) > 0).alias("b"))

@@ -63,10 +63,6 @@ def feature_projection(df: DataFrame, wanted: Sequence[str] = FEATURE_TABLE_COLU
     return df.select(*present)
 
 
-def missing_columns(df: DataFrame, wanted: Sequence[str] = FEATURE_TABLE_COLUMNS) -> list[str]:
-    return [c for c in wanted if c not in df.columns]
-
-
 def feature_table(silver_df: DataFrame) -> DataFrame:
     """Silver + five features = 28 columns, in table order."""
     return feature_projection(add_features(silver_df))

@@ -1,12 +1,10 @@
-"""Running sums over an ordered key, and exact quantiles built on them.
-
-A running sum over a whole ordering (ROC curves, AUC, exact quantiles) written
-as a window without ``partitionBy`` runs in one task. Here the ordering is cut
-into buckets at approximate quantile boundaries (a bounded sketch per group);
-each (group, bucket) is summed in its own window task, and a small table of
-bucket totals (groups x buckets rows) supplies each bucket's starting offset.
-The input is first collapsed to one row per distinct (group, key), so a hot
-value is one row, not a third of the data.
+"""Running totals over an ordered key, and exact quantiles built on them.
+
+A running total over a whole ordering (ROC curves, AUC, exact quantiles, places in a long
+sequence) written as a window without ``partitionBy`` runs in one task, and one written with it puts
+each group into one task. Here the rows are sorted by one range exchange, every range is totalled on
+its own, and a table of one row a range supplies what lies ahead of it. Callers collapse equal keys
+first, so a hot value is one row, not a third of the data.
 """
 
 from __future__ import annotations
@@ -23,49 +21,6 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from cadence.session import cut_lineage
 
-LEAST_BUCKETS, MOST_BUCKETS = 64, 2000
-
-
-def running_sums(df: DataFrame, groups: Sequence[str], key: str, values: Sequence[str],
-                 buckets: int | None = None, descending: bool = False,
-                 inclusive: bool = True, materialize: bool = True) -> DataFrame:
-    """Add ``cum_<v>`` = sum of ``v`` over rows of the same group with key before
-    (and, if ``inclusive``, at) the current key. ``df`` must hold one row per
-    (groups, key). ``descending`` orders the key from high to low. Buckets follow
-    the session's number of shuffle partitions, which is set for the data."""
-    groups = list(groups)
-    if buckets is None:
-        own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(MOST_BUCKETS, max(LEAST_BUCKETS, own))
-    k = F.col(key).cast("double")
-    sign = -1.0 if descending else 1.0
-    okey = (k * F.lit(sign)).alias("_okey")
-    # one row per distinct key, read by four branches below: materialise once
-    # (callers that pass an already materialised frame skip the extra job)
-    base = df.select("*", okey)
-    if materialize:
-        base = cut_lineage(base)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = base.groupBy(*groups).agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds")) \
-        if groups else base.agg(F.percentile_approx("_okey", probs, 10000).alias("_bounds"))
-    # one row per group: Catalyst sends it to every task only while it is small
-    withb = base.join(bounds, groups, "inner") if groups else base.crossJoin(F.broadcast(bounds))
-    withb = withb.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_okey")))).drop("_bounds")
-    frame = Window.partitionBy(*groups, "_bucket").orderBy("_okey")
-    frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = withb.select("*", *[F.coalesce(F.sum(v).over(frame), F.lit(0)).alias(f"_loc_{v}") for v in values])
-    totals = withb.groupBy(*groups, "_bucket").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
-    before = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*groups, "_bucket",
-                            *[F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}")
-                              for v in values])
-    out = local.join(offsets, groups + ["_bucket"], "inner")
-    return out.select(*df.columns, *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"cum_{v}")
-                                     for v in values])
-
-
-# -- prefix sums over one range exchange ---------------------------------------------------------
-
 def arrange(df: DataFrame, by: Sequence[str], order: Sequence[Column | str] = (), ranges: int | None = None) -> DataFrame:
     """``df`` sorted by (by, order) over all its partitions, and the number of its range in ``_range``.
     One range exchange; as the order is part of the range key, a group of any size is spread over ranges."""
@@ -75,40 +30,47 @@ def arrange(df: DataFrame, by: Sequence[str], order: Sequence[Column | str] = ()
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], sums: Mapping[str, str] | None = None,
-            xors: Mapping[str, str] | None = None, ranges: int | None = None) -> DataFrame:
+            xors: Mapping[str, str] | None = None, lags: Mapping[str, str] | None = None, ranges: int | None = None) -> DataFrame:
     """``df`` with running totals (new column -> long column summed, or combined by exclusive or) over
-    the rows of the same ``by`` up to and including this one in ``order``; NULL counts as 0.
+    the rows of the same ``by`` up to and including this one in ``order``; NULL counts as 0. ``lags``: new
+    column -> long column of the row ahead in the group, NULL at its first row.
 
     A distributed prefix sum: each range of one range exchange is summed on its own, as a stream; what
     the earlier ranges hold of a range's first group is added from a table of one row a range. The
     sorted rows are written once (checkpoint), so that ranges stay the same in both reads."""
-    return running_again(arrange(df, by, order, ranges), by, sums, xors)
+    return running_again(arrange(df, by, order, ranges), by, sums, xors, lags)
 
 
 def running_again(arranged: DataFrame, by: Sequence[str], sums: Mapping[str, str] | None = None,
-                  xors: Mapping[str, str] | None = None) -> DataFrame:
+                  xors: Mapping[str, str] | None = None, lags: Mapping[str, str] | None = None) -> DataFrame:
     """As ``running`` on rows that lie as ``arrange`` left them: ``running`` can follow ``running``
     without another exchange while only projections and filters lie between."""
-    by, sums, xors = list(by), dict(sums or {}), dict(xors or {})
-    new = [*sums, *xors]
-    local = cut_lineage(_local_totals(arranged, by, sums, xors))
+    by, sums, xors, lags = list(by), dict(sums or {}), dict(xors or {}), dict(lags or {})
+    local = cut_lineage(_local_totals(arranged, by, sums, xors, lags))
     group = F.struct(*[F.col(b) for b in by]) if by else F.struct(F.lit(0))
-    ends = local.groupBy("_range").agg(F.min_by(group, "_row").alias("_first"), F.max_by(group, "_row").alias("_last"),
-                                       F.max_by(F.struct(*new), "_row").alias("_tail"))
+    # of each range: its first and last group, and what its last row hands on
+    tail = F.struct(*[F.col(c) for c in [*sums, *xors]], *[F.col(old).alias(c) for c, old in lags.items()])
+    ends = local.groupBy("_range").agg(F.min_by(group, "_row").alias("_first"), F.max_by(group, "_row").alias("_last"), F.max_by(tail, "_row").alias("_tail"))
+    none = F.struct(*[F.lit(0).cast("long").alias(c) for c in [*sums, *xors]], *[F.lit(None).cast("long").alias(c) for c in lags])
     sides = ends.select(F.inline(F.array(
-        F.struct(F.col("_first").alias("_group"), "_range", F.lit(0).alias("_side"), F.struct(*[F.lit(0).cast("long").alias(c) for c in new]).alias("_value")),
+        F.struct(F.col("_first").alias("_group"), "_range", F.lit(0).alias("_side"), none.alias("_value")),
         F.struct(F.col("_last").alias("_group"), "_range", F.lit(1).alias("_side"), F.col("_tail").alias("_value")))))
-    before = Window.partitionBy("_group").orderBy("_range", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    carry = sides.select("_group", "_range", "_side", *[(F.sum if c in sums else F.bit_xor)(F.col(f"_value.{c}")).over(before).alias(f"_before_{c}") for c in new])
+    line = Window.partitionBy("_group").orderBy("_range", "_side")
+    before = line.rowsBetween(Window.unboundedPreceding, 0)
+    held = {c: F.sum(F.col(f"_value.{c}")).over(before) for c in sums} | {c: F.bit_xor(F.col(f"_value.{c}")).over(before) for c in xors}
+    held |= {c: F.lag(F.col(f"_value.{c}")).over(line) for c in lags}
+    carry = sides.select("_group", "_range", "_side", *[x.alias(f"_before_{c}") for c, x in held.items()])
     carry = carry.where("_side = 0").drop("_side")  # one row for each range
     whole = local.join(F.broadcast(carry), "_range", "left")
-    add = lambda c: F.col(c) + F.col(f"_before_{c}") if c in sums else F.col(c).bitwiseXOR(F.col(f"_before_{c}"))
-    return whole.select(*arranged.columns, *[F.when(group.eqNullSafe(F.col("_group")), add(c)).otherwise(F.col(c)).alias(c) for c in new])
+    goes_on = group.eqNullSafe(F.col("_group"))
+    out = [F.when(goes_on, F.col(c) + F.col(f"_before_{c}")).otherwise(F.col(c)).alias(c) for c in sums]
+    out += [F.when(goes_on, F.col(c).bitwiseXOR(F.col(f"_before_{c}"))).otherwise(F.col(c)).alias(c) for c in xors]
+    out += [F.when(goes_on & (F.col("_row") == 0), F.col(f"_before_{c}")).otherwise(F.col(c)).alias(c) for c in lags]
+    return whole.select(*arranged.columns, *out)
 
 
-def _changes(columns: list[pa.Array], before: list) -> np.ndarray:
+def _changes(n: int, columns: list[pa.Array], before: list) -> np.ndarray:
     """Whether each row's group differs from that of the row ahead (``before``: the group ahead of the first row)."""
-    n = len(columns[0])
     out = np.zeros(n, bool)
     for column, ahead in zip(columns, before, strict=True):
         shifted = pa.concat_arrays([pa.array([ahead], column.type), column.slice(0, n - 1)])
@@ -128,29 +90,33 @@ def _totals(values: np.ndarray, starts: np.ndarray, carry: int, total: Callable,
     return out
 
 
-def _local_totals(arranged: DataFrame, by: list[str], sums: Mapping[str, str], xors: Mapping[str, str]) -> DataFrame:
-    """Running totals within each range, and the row's number in it (``_row``)."""
-    names, new = arranged.columns, [*sums, *xors]
+def _local_totals(arranged: DataFrame, by: list[str], sums: Mapping[str, str], xors: Mapping[str, str], lags: Mapping[str, str]) -> DataFrame:
+    """Running totals and values of the row ahead within each range, and the row's number in it (``_row``)."""
+    names, new = arranged.columns, [*sums, *xors, *lags]
     kinds = [(np.add, np.subtract)] * len(sums) + [(np.bitwise_xor, np.bitwise_xor)] * len(xors)
     source = [names.index(c) for c in [*sums.values(), *xors.values()]]
+    shown = [names.index(c) for c in lags.values()]
     groups = [names.index(b) for b in by]
     types = [to_arrow_type(f.dataType) for f in arranged.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, carry, before = 0, [0] * len(new), None
+        row, carry, before, ahead = 0, [0] * len(kinds), None, [None] * len(lags)
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
             keys = [batch.column(g) for g in groups]
-            starts = _changes(keys, before or [None] * len(keys))
+            starts = _changes(n, keys, before or [None] * len(keys))
             starts[0] |= before is None
             out = []
             for i, (c, (total, join)) in enumerate(zip(source, kinds, strict=True)):
                 values = pc.fill_null(batch.column(c).cast(pa.int64()), 0).to_numpy(zero_copy_only=False)
                 out.append(_totals(values, starts, carry[i], total, join))
+            shifted = [pc.if_else(pa.array(starts), pa.scalar(None, pa.int64()), pa.concat_arrays([pa.array([a], pa.int64()), batch.column(c).cast(pa.int64()).slice(0, n - 1)]))
+                       for a, c in zip(ahead, shown, strict=True)]
             carry, before = [int(x[-1]) for x in out], [k[n - 1].as_py() for k in keys]
-            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(batch.columns, types, strict=True)], *[pa.array(x) for x in out], pa.array(np.arange(row, row + n))],
+            ahead = [batch.column(c)[n - 1].as_py() for c in shown]
+            yield pa.RecordBatch.from_arrays([*[c.cast(t) for c, t in zip(batch.columns, types, strict=True)], *[pa.array(x) for x in out], *shifted, pa.array(np.arange(row, row + n))],
                                              names=[*names, *new, "_row"])
             row += n
 
@@ -165,9 +131,9 @@ def value_counts(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def value_table(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
-    """``value_counts``, materialised once for the branches that read it."""
-    return cut_lineage(value_counts(df, groups, value))
+def value_table(df: DataFrame, groups: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """``value_counts`` in order, with the running count ``cum_n``; written once for the branches that read it."""
+    return running(value_counts(df, groups, value), groups, ["value"], sums={"cum_n": "n"}, ranges=ranges).drop("_range")
 
 
 def long_values(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
@@ -176,16 +142,13 @@ def long_values(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = ())
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols])))
 
 
-def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[float],
-                    buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (as ``percentile``/``quantile_cont``)
-    from (groups, value, n) rows. Returns (groups, q_<i> for each prob). The counts are read by
-    three branches: callers hand over a materialised frame (``value_table``)."""
+def exact_quantiles(counts: DataFrame, groups: Sequence[str], probs: Sequence[float], ranges: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (as ``percentile``/``quantile_cont``) from (groups, value, n)
+    rows, or from a ``value_table``, which is not sorted again. Returns (groups, q_<i> for each prob)."""
     groups = list(groups)
-    cum = running_sums(counts, groups, "value", ["n"], buckets, materialize=False)  # cum_n inclusive
+    cum = counts if "cum_n" in counts.columns else running(counts, groups, ["value"], sums={"cum_n": "n"}, ranges=ranges)
     cum = cum.withColumn("_prev", F.col("cum_n") - F.col("n"))
-    totals = counts.groupBy(*groups).agg(F.sum("n").alias("_total")) if groups else \
-        counts.agg(F.sum("n").alias("_total"))
+    totals = cum.groupBy(*groups).agg(F.max("cum_n").alias("_total")) if groups else cum.agg(F.max("cum_n").alias("_total"))
     # targets: per group and prob, the two 0-based ranks to interpolate between
     targets = totals.select(*groups, F.inline(F.array(*[
         F.struct(F.lit(i).alias("_pi"), ((F.col("_total") - 1) * F.lit(float(p))).alias("_h"))

@@ -11,10 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.functions.expressions import bin_index, hash_order
+from cadence.operators.clean import no_nulls
 from cadence.operators.ordered import approx_quantiles, exact_quantiles, long_values, value_counts, value_table
 
 
@@ -70,6 +73,27 @@ def histogram_auto(long: DataFrame, groups: Sequence[str], n_bins: int,
     return out.drop("_n", "_w")
 
 
+def histogram_columns(df: DataFrame, cols: Sequence[str], n_bins: int) -> DataFrame:
+    """``histogram_auto`` of several columns (feature, bin, bin_lo, bin_hi, count): bounds of all columns are one
+    row beside every row, so a row becomes its bin numbers at once and nothing but these is grouped."""
+    x = lambda c: F.col(f"`{c}`").cast("double")
+    wide = df.agg(*[f(x(c)).alias(f"{a}_{c}") for c in cols for a, f in (("mn", F.min), ("mx", F.max))])
+    flat = lambda c: F.col(f"mn_{c}") == F.col(f"mx_{c}")
+    edges = wide.select(*[F.when(flat(c), F.col(f"mn_{c}") - 0.5).otherwise(F.col(f"mn_{c}")).alias(f"lo_{c}") for c in cols],
+                        *[F.when(flat(c), F.col(f"mx_{c}") + 0.5).otherwise(F.col(f"mx_{c}")).alias(f"hi_{c}") for c in cols])
+    bounds = edges.select("*", *[((F.col(f"hi_{c}") - F.col(f"lo_{c}")) / F.lit(float(n_bins))).alias(f"w_{c}") for c in cols])
+    at = lambda i, c: F.when(x(c).isNotNull(), F.lit(i * n_bins) + bin_index(x(c), F.col(f"lo_{c}"), F.col(f"w_{c}"), n_bins, check_range=False))
+    # one number for column and bin; NULL where the value is NULL
+    counts = (df.crossJoin(F.broadcast(bounds)).select(F.explode(F.array(*[at(i, c) for i, c in enumerate(cols)])).alias("_at"))
+              .where(F.col("_at").isNotNull()).groupBy("_at").agg(F.count(F.lit(1)).alias("count")))
+    rows = bounds.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(c).alias("feature"), F.col(f"lo_{c}").alias("_lo"), F.col(f"w_{c}").alias("_w"))
+                                            for i, c in enumerate(cols)]))).where(F.col("_lo").isNotNull())
+    grid = rows.crossJoin(F.broadcast(_bin_grid(df.sparkSession, n_bins))).withColumn("_at", F.col("_i") * n_bins + F.col("bin"))
+    return grid.join(counts, "_at", "left").select(
+        "feature", "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_lo"), (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_hi"),
+        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
+
+
 # ---------------------------------------------------------------- quantile summaries
 
 def mean_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -163,39 +187,51 @@ def group_box(df: DataFrame, group_col: str, value_col: str, top_k: int, approx:
 # ---------------------------------------------------------------- association
 
 def corr_long(df: DataFrame, cols: Sequence[str], complete_rows: bool = False) -> DataFrame:
-    """Pearson matrix in long form (feature_x, feature_y, r), one aggregate.
+    """Pearson matrix in long form (feature_x, feature_y, r).
 
     Default is pairwise-complete (each pair uses rows where both are present);
     ``complete_rows`` first drops rows with any NULL among ``cols``."""
     if complete_rows:
-        return _corr_complete(df, cols)
-    src = df
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    wide = src.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
-                     for a, b in pairs])
-    entries = []
-    for a, b in pairs:
-        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                                F.col(f"{a}__{b}").alias("r")))
-        entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"),
-                                F.col(f"{a}__{b}").alias("r")))
-    for c in cols:
-        entries.append(F.struct(F.lit(c).alias("feature_x"), F.lit(c).alias("feature_y"),
-                                F.lit(1.0).alias("r")))
-    return wide.select(F.inline(F.array(*entries)))
-
-
-def _corr_complete(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson matrix over rows with every column present, via MLlib's
-    ``Correlation`` (one tree-aggregated Gram matrix instead of k*(k-1)/2
-    separate correlation aggregates). The k x k result is small by construction."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(src)
-    m = Correlation.corr(vec, "_v").head()[0].toArray()
-    rows = [(a, b, 1.0 if i == j else float(m[i][j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "feature_x string, feature_y string, r double")
+        df = df.where(no_nulls(cols))
+    return _corr_pairwise(df, cols)
+
+
+def _corr_pairwise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pairwise-complete Pearson matrix from masked Gram matrices.
+
+    With X the values (0 where NULL) and M the mask of values that are there, the sums of every pair over
+    the rows where both are there are entries of M'M, X'M, (X*X)'M and X'X: four k x k matrix products over
+    Arrow batches, added up in each task and then by cell, instead of k(k-1)/2 correlation aggregates
+    with six buffers each. Values are taken relative to a typical one of their column (any value gives
+    the same r; it only keeps digits when a column lies far from 0). r is NULL where it is undefined: no
+    common row, or a column that is constant over the common rows."""
+    cols, k = list(cols), len(cols)
+    src = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    typical = src.limit(1000).agg(*[F.nanvl(F.coalesce(F.avg(c), F.lit(0.0)), F.lit(0.0)).alias(f"t{c}") for c in src.columns])  # one row
+    src = src.crossJoin(F.broadcast(typical)).select(*[(F.col(c) - F.col(f"t{c}")).alias(c) for c in src.columns])
+
+    def run(batches):
+        gram = np.zeros((4, k, k))
+        for batch in batches:
+            there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], 1).astype(float)
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1)
+            x[there == 0] = 0.0
+            gram += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), *[pa.array(g.ravel()) for g in gram]], names=["i", "j", "n", "s", "q", "p"])
+
+    cells = src.mapInArrow(run, "i int, j int, n double, s double, q double, p double").groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in "nsqp"])
+    turned = cells.select(F.col("j").alias("i"), F.col("i").alias("j"), F.col("s").alias("t"), F.col("q").alias("u"))  # k x k rows
+    both = cells.join(turned, ["i", "j"])
+    var = lambda s, q: F.col(q) - F.col(s) * F.col(s) / F.col("n")
+    cov = F.col("p") - F.col("s") * F.col("t") / F.col("n")
+    vx, vy = F.greatest(var("s", "q"), F.lit(0.0)), F.greatest(var("t", "u"), F.lit(0.0))
+    # what rounding leaves of the variance of a constant is no variance
+    varies = (vx > 1e-12 * F.col("q")) & (vy > 1e-12 * F.col("u"))
+    r = F.greatest(F.least(F.try_divide(cov, F.sqrt(vx * vy)), F.lit(1.0)), F.lit(-1.0))
+    name = lambda c: F.element_at(F.lit(cols), F.col(c) + 1)
+    return both.select(name("i").alias("feature_x"), name("j").alias("feature_y"),
+                       F.when(F.col("i") == F.col("j"), F.lit(1.0)).when((F.col("n") > 0) & varies, r).alias("r"))
 
 
 def linear_fit(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

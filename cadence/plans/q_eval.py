@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.expressions import safe_name
 from cadence.operators import evaluate as ev
+from cadence.operators import guards
 from cadence.plans import binding
 from cadence.plans.q_explore import _with_long, rounded
 from cadence.plans.registry import register
@@ -181,9 +182,10 @@ wide AS (SELECT a.class_name, a.actual, coalesce(p.predicted, 0) AS predicted FR
 SELECT class_name, 'actual' AS kind, actual AS count FROM wide
 UNION ALL SELECT class_name, 'predicted', predicted FROM wide"""))
 def actual_vs_predicted(spark, sf):
-    p = _pred(spark, sf).select("label", "prediction")
-    named = ev.with_names(p, _label_map(spark, sf), ["label", "prediction"])
-    return ev.actual_vs_predicted(named, 10)
+    def report(p):
+        return ev.actual_vs_predicted(ev.with_names(p.select("label", "prediction"), _label_map(spark, sf), ["label", "prediction"]), 10)
+
+    return guards.guarded(_pred(spark, sf), ["label", "prediction"], "actual_vs_predicted", report)
 
 
 # Three rule "models" scored on the same rows, compared like trained models.

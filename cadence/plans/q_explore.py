@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.expressions import (TEMPO_CUTS_MODEL, duration_minutes, popularity_class)
-from cadence.operators import aggregate, features, profile, stats
+from cadence.operators import aggregate, features, guards, profile, stats
 from cadence.operators.ordered import approx_quantiles, long_values
 from cadence.plans import binding, frames
 from cadence.plans.oracle_sql import with_ctes
@@ -57,6 +57,15 @@ def feature_projection(spark, sf):
     return features.feature_projection(enriched, wanted)
 
 
+@register("feature_projection_missing", "SELECT * FROM (VALUES " + ", ".join(
+    f"({i + 1}, '{c}', {str(c not in ('valence', 'tempo_category', 'not_present_column')).lower()})"
+    for i, c in enumerate([*features.FEATURE_TABLE_COLUMNS, "not_present_column"])) + ") t(position, column_name, present)")
+def feature_projection_missing(spark, sf):
+    """Which wanted columns a feature table lacks (here one written without two of its columns)."""
+    partial = frames.feature_table(spark, sf).drop("valence", "tempo_category")
+    return guards.missing_report(partial, [*features.FEATURE_TABLE_COLUMNS, "not_present_column"])
+
+
 @register("feat_energy_dance_ratio", with_ctes(
     "SELECT track_id, energy, danceability, energy_danceability_ratio FROM feat", "feat"))
 def feat_ratio(spark, sf):
@@ -213,7 +222,8 @@ SELECT track_genre, track_count, {r('track_count * 100.0 / sum(track_count) OVER
 FROM (SELECT track_genre, count(*) AS track_count FROM silver GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)""",
     "silver"))
 def top_genres_by_count(spark, sf):
-    return rounded(aggregate.top_genres_by_count(frames.feature_table(spark, sf), 10))
+    return guards.guarded(frames.feature_table(spark, sf), ["track_genre"], "top_genres_by_count",
+                          lambda f: rounded(aggregate.top_genres_by_count(f, 10)))
 
 
 @register("genre_dance_energy_top15", with_ctes(f"""
@@ -228,8 +238,11 @@ def genre_dance_energy_top15(spark, sf):
 SELECT track_genre, {r('avg(CAST(energy AS DOUBLE))', 'avg_energy')}
 FROM feat WHERE energy IS NOT NULL GROUP BY 1 ORDER BY avg(CAST(energy AS DOUBLE)) DESC, 1 LIMIT 20""", "feat"))
 def genre_energy_top20(spark, sf):
-    f = frames.feature_table(spark, sf).select("track_genre", F.col("energy").cast("double").alias("energy"))
-    return rounded(aggregate.mean_by_genre_top(f, ["energy"], "energy", 20, drop_null=True))
+    def report(f):
+        f = f.select("track_genre", F.col("energy").cast("double").alias("energy"))
+        return rounded(aggregate.mean_by_genre_top(f, ["energy"], "energy", 20, drop_null=True))
+
+    return guards.guarded(frames.feature_table(spark, sf), ["track_genre", "energy"], "genre_energy_top20", report)
 
 
 @register("duration_by_genre", with_ctes(f"""
@@ -344,7 +357,7 @@ def _scatter(spark, sf):
 @register("scatter_points", with_ctes(_SCATTER_SQL, "silver"))
 def scatter_points(spark, sf):
     """All points of the scatter."""
-    return _scatter(spark, sf)
+    return guards.guarded(frames.silver(spark, sf), ["track_id", "popularity", "danceability"], "scatter_points", lambda _: _scatter(spark, sf))
 
 
 @register("scatter_bins", with_ctes(f"""
@@ -390,8 +403,11 @@ def hist_popularity_10(spark, sf):
 @register("hist_popularity_20", with_ctes(
     _hist_fixed_sql("popularity", "feat", 0.0, 100.0, 20, "popularity IS NOT NULL"), "feat"))
 def hist_popularity_20(spark, sf):
-    f = frames.feature_table(spark, sf).select(F.col("popularity").cast("double").alias("popularity"))
-    return stats.histogram_fixed(f.where(F.col("popularity").isNotNull()), "popularity", 0.0, 100.0, 20)
+    def report(f):
+        f = f.select(F.col("popularity").cast("double").alias("popularity"))
+        return stats.histogram_fixed(f.where(F.col("popularity").isNotNull()), "popularity", 0.0, 100.0, 20)
+
+    return guards.guarded(frames.feature_table(spark, sf), ["popularity"], "hist_popularity_20", report)
 
 
 def _hist_auto_sql(long_sql: str, groups: list[str], n: int, density: bool = False) -> str:
@@ -428,8 +444,7 @@ def _long_sql(cols, src, extra_select: str = "", where: str = "TRUE") -> str:
 
 @register("hist_features", _with_long(_hist_auto_sql(_long_sql(HIST_FEATURES, "silver"), ["feature"], 45), "silver"))
 def hist_features(spark, sf):
-    long = long_values(frames.silver(spark, sf), HIST_FEATURES)
-    return rounded(stats.histogram_auto(long, ["feature"], 45))
+    return rounded(stats.histogram_columns(frames.silver(spark, sf), HIST_FEATURES, 45))
 
 
 @register("feature_mean_median", with_ctes(" UNION ALL ".join(
@@ -584,6 +599,19 @@ def corr_matrix(spark, sf):
     return rounded(stats.corr_long(frames.silver(spark, sf), AUDIO_FEATURES))
 
 
+_GAPPED = ["energy", "valence", "tempo", "loudness", "popularity"]
+_GAPS = ("gaps AS (SELECT energy, valence, CASE WHEN popularity >= 20 THEN tempo END AS tempo, CASE WHEN mode = 1 THEN loudness END AS loudness, "
+         "popularity FROM trk)")
+
+
+@register("corr_matrix_pairwise", _with_long(_GAPS + "," + _corr_sql(_GAPPED, "gaps"), "trk"))
+def corr_matrix_pairwise(spark, sf):
+    """Pairwise-complete matrix of raw tracks with NULLs in three columns."""
+    t = frames.bronze(spark, sf).select("energy", "valence", F.when(F.col("popularity") >= 20, F.col("tempo")).alias("tempo"),
+                                        F.when(F.col("mode") == 1, F.col("loudness")).alias("loudness"), "popularity")
+    return rounded(stats.corr_long(t, _GAPPED))
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     """Numeric columns discovered from the schema."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -598,7 +626,7 @@ _FEAT_NUMERIC = [c for c in features.FEATURE_TABLE_COLUMNS
     _FEAT_NUMERIC, "feat", " AND ".join(f"{c} IS NOT NULL" for c in _FEAT_NUMERIC)), "feat"))
 def corr_matrix_all(spark, sf):
     f = frames.feature_table(spark, sf)
-    return rounded(stats.corr_long(f, numeric_columns(f), complete_rows=True))
+    return guards.guarded(f, numeric_columns(f), "corr_matrix_all", lambda f: rounded(stats.corr_long(f, numeric_columns(f), complete_rows=True)))
 
 
 LINEAR_PAIRS = [("energy", "loudness"), ("danceability", "popularity")]

@@ -277,8 +277,12 @@ def _checked(metrics):
 def _fit_key(key: str, name: str):
     order = MODEL_NAMES.index(name)
 
-    @register(key, _FIT_SQL.replace("{order}", str(order)).replace("{name}", name))
-    def query(spark, sf):
+    @register(key)
+    def metrics(spark, sf):
+        return _model_metrics(spark, sf, [name])
+
+    @register(f"{key}_check", _FIT_SQL.replace("{order}", str(order)).replace("{name}", name))
+    def check(spark, sf):
         return _checked(_model_metrics(spark, sf, [name]))
 
 
@@ -292,24 +296,36 @@ def model_metrics(spark, sf):
     return _model_metrics(spark, sf)
 
 
-@register("model_leaderboard", _ml_sql("SELECT r.range + 1 AS rank, count(*) AS \"rows\", true AS not_above_the_one_before FROM split, range(5) r WHERE split = 'test' GROUP BY 1, r.range"))
+@register("model_leaderboard")
 def model_leaderboard(spark, sf):
+    """The five models with their metrics, ranked by weighted F1."""
+    return ev.leaderboard(cut_lineage(_model_metrics(spark, sf)))
+
+
+@register("model_leaderboard_check", _ml_sql("SELECT r.range + 1 AS rank, count(*) AS \"rows\", true AS not_above_the_one_before FROM split, range(5) r WHERE split = 'test' GROUP BY 1, r.range"))
+def model_leaderboard_check(spark, sf):
     """Ranks 1 to 5 by weighted F1; each is checked against the one before."""
-    board = ev.leaderboard(cut_lineage(_model_metrics(spark, sf)))
+    board = cut_lineage(model_leaderboard(spark, sf))
     before = board.select((F.col("rank") + 1).alias("rank"), F.col("f1_weighted").alias("_before"))
     return board.join(before, "rank", "left").select(F.col("rank").cast("long").alias("rank"), "rows",
                                                      (F.coalesce("_before", F.lit(1.0)) >= F.col("f1_weighted")).alias("not_above_the_one_before"))
 
 
-@register("predictions", _ml_sql("SELECT m.range AS model_order, s.track_id, CAST(s.label AS INTEGER) AS label, s.track_genre AS label_name, true AS named FROM split s, range(5) m WHERE split = 'test'"))
+@register("predictions")
 def predictions(spark, sf):
-    """Test-set predictions of all five models, with class names."""
+    """Test-set predictions of all five models: class numbers and names of both sides."""
     f, out = fitted(spark, sf), None
     for order, name in enumerate(MODEL_NAMES):
-        p = f.predictions(name).select(F.lit(order).cast("long").alias("model_order"), "track_id", "label", "prediction")
+        p = f.predictions(name).select(F.lit(order).cast("long").alias("model_order"), F.lit(name).alias("model"), "track_id", "label", "prediction")
         out = p if out is None else out.unionByName(p)
-    named = ev.with_names(out, f.label_map(), ["label", "prediction"])
-    return named.select("model_order", "track_id", "label", "label_name", (F.col("prediction_name") != "unknown").alias("named"))
+    return ev.with_names(out, f.label_map(), ["label", "prediction"])
+
+
+@register("predictions_check", _ml_sql("SELECT m.range AS model_order, s.track_id, CAST(s.label AS INTEGER) AS label, s.track_genre AS label_name, true AS named FROM split s, range(5) m WHERE split = 'test'"))
+def predictions_check(spark, sf):
+    """What SQL can say of them: every test row once a model, with its true class and some known class predicted."""
+    known = F.array(*[F.lit(x) for x in fitted(spark, sf).prepared.labels])
+    return predictions(spark, sf).select("model_order", "track_id", "label", "label_name", F.array_contains(known, F.col("prediction_name")).alias("named"))
 
 
 @register("model_roc_points")
@@ -330,22 +346,32 @@ def _best(spark, sf) -> str:
     return best_model_row(spark, sf).first().best_model_name
 
 
-@register("best_model_predictions", _ml_sql("SELECT track_id, track_genre AS label_name, true AS named FROM split WHERE split = 'test'"))
+@register("best_model_predictions")
 def best_model_predictions(spark, sf):
-    """All test rows of the best model with actual and predicted names."""
+    """All test rows of the best model with actual and predicted classes and their names."""
     f = fitted(spark, sf)
-    named = ev.with_names(f.predictions(_best(spark, sf)), f.label_map(), ["label", "prediction"])
-    return named.select("track_id", "label_name", (F.col("prediction_name") != "unknown").alias("named"))
+    return ev.with_names(f.predictions(_best(spark, sf)).drop("scores"), f.label_map(), ["label", "prediction"])
+
 
+@register("best_model_predictions_check", _ml_sql("SELECT track_id, track_genre AS label_name, true AS named FROM split WHERE split = 'test'"))
+def best_model_predictions_check(spark, sf):
+    return best_model_predictions(spark, sf).select("track_id", "label_name", (F.col("prediction_name") != "unknown").alias("named"))
 
-@register("best_model_confusion", _ml_sql("SELECT track_genre AS label_name, count(*) AS support FROM split WHERE split = 'test' GROUP BY 1"))
+
+@register("best_model_confusion")
 def best_model_confusion(spark, sf):
-    """The best model's confusion matrix with class names; its row sums are the test rows of each class."""
+    """The best model's confusion matrix: a row for each true class, a column for each predicted one, by name."""
     f = fitted(spark, sf)
     wide = ev.confusion_wide(ev.confusion_long(f.predictions(_best(spark, sf)), f.k), f.k, f.prepared.labels)
-    named = ev.with_names(wide, f.label_map(), ["label"])
-    total = sum((F.col(f"`{n}`") for n in f.prepared.labels[1:]), F.col(f"`{f.prepared.labels[0]}`"))
-    return named.select("label_name", total.alias("support")).where("support > 0")
+    return ev.with_names(wide, f.label_map(), ["label"]).select("label", "label_name", *[f"`{n}`" for n in f.prepared.labels])
+
+
+@register("best_model_confusion_check", _ml_sql("SELECT track_genre AS label_name, count(*) AS support FROM split WHERE split = 'test' GROUP BY 1"))
+def best_model_confusion_check(spark, sf):
+    """Its row sums are the test rows of each class."""
+    names = fitted(spark, sf).prepared.labels
+    total = sum((F.col(f"`{n}`") for n in names[1:]), F.col(f"`{names[0]}`"))
+    return best_model_confusion(spark, sf).select("label_name", total.alias("support")).where("support > 0")
 
 
 def importance(spark, sf, name):
@@ -363,13 +389,25 @@ def _importance_check(spark, sf, name):
                                                              (F.abs(F.sum("importance") - 1) < 1e-6).alias("sums_to_one"), named.alias("numerics_named"))
 
 
-@register("importance_forest", _IMPORTANCE_SQL.format(model="Random Forest"))
+@register("importance_forest")
 def importance_forest(spark, sf):
-    return _importance_check(spark, sf, "Random Forest")
+    """Every slot of the forest's features with its importance."""
+    return importance(spark, sf, "Random Forest")
 
 
-@register("importance_gbt", _IMPORTANCE_SQL.format(model="GBT One-vs-Rest"))
+@register("importance_gbt")
 def importance_gbt(spark, sf):
+    """Every slot's importance, the mean over the one-vs-rest models."""
+    return importance(spark, sf, "GBT One-vs-Rest")
+
+
+@register("importance_forest_check", _IMPORTANCE_SQL.format(model="Random Forest"))
+def importance_forest_check(spark, sf):
+    return _importance_check(spark, sf, "Random Forest")
+
+
+@register("importance_gbt_check", _IMPORTANCE_SQL.format(model="GBT One-vs-Rest"))
+def importance_gbt_check(spark, sf):
     return _importance_check(spark, sf, "GBT One-vs-Rest")
 
 

@@ -84,3 +84,34 @@ def resolve_layer(spark: SparkSession, candidates: Sequence[str],
                 raise  # it is there but cannot be read: the next one is not its stand-in
             tried.append(path)
     raise FileNotFoundError(f"none of the candidate tables exists: {tried}")
+
+
+# -- layers of a catalog -------------------------------------------------------------------------
+
+def write_catalog_layer(df: DataFrame, name: str, location: str | None = None, fmt: str = "parquet") -> tuple[str, int]:
+    """Overwrite a layer that the session's catalog knows by ``name``: the rows become a new table, then the
+    view ``name`` is replaced to show it. Readers of the old version go on with its table, and the schema may
+    change. ``location``: a shared folder for the tables' files instead of the warehouse. Returns the new table's
+    name and the number of rows that the write reported (no second read)."""
+    spark = df.sparkSession
+    version = f"{name}__v{time.time_ns() // 1000:020d}_{uuid.uuid4().hex[:8]}"
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode("errorifexists")
+    if location:
+        writer = writer.option("path", f"{location.rstrip('/')}/{version}")
+    writer.saveAsTable(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    return version, seen.get["rows"]
+
+
+def catalog_versions(spark: SparkSession, name: str) -> list[str]:
+    """Tables written for the layer, oldest first (names sort by the time of their write)."""
+    return sorted(t.name for t in spark.catalog.listTables(pattern=f"{name.lower()}__v*") if t.tableType != "VIEW")
+
+
+def prune_catalog_layer(spark: SparkSession, name: str, keep: int = 2) -> list[str]:
+    """Drop all but the ``keep`` newest versions; returns the names of those dropped."""
+    gone = catalog_versions(spark, name)[:-keep] if keep > 0 else []
+    for version in gone:
+        spark.sql(f"DROP TABLE {version}")
+    return gone

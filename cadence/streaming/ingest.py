@@ -9,9 +9,12 @@ duplicates rows in the append-only Bronze table.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from cadence.sources import messages
 
@@ -45,6 +48,60 @@ def ingest_bronze(spark: SparkSession, source: str, bronze_path: str, checkpoint
     return q
 
 
+class RunLog(StreamingQueryListener):
+    """Batches (number, rows read) of the streaming queries that run while the listener is registered."""
+
+    def __init__(self):
+        self.batches: list[tuple[str, int, int]] = []
+        self.ended: dict[str, str | None] = {}
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        with self._change:
+            self.batches.append((str(event.progress.runId), event.progress.batchId, event.progress.numInputRows))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self.ended[str(event.runId)] = event.exception
+            self._change.notify_all()
+
+    def wait(self, run_id: str, seconds: float = 30.0) -> None:
+        """Until the end of a run has been reported (events arrive after the fact)."""
+        with self._change:
+            self._change.wait_for(lambda: run_id in self.ended, seconds)
+
+    def of(self, run_id: str) -> list[tuple[int, int]]:
+        """(batch, rows) of one run in order; a batch reported twice (idle progress) counts by its last report."""
+        with self._change:
+            return sorted({b: n for r, b, n in self.batches if r == run_id and n > 0}.items())
+
+
+def ingest_bounded(spark: SparkSession, source: str, bronze_path: str, checkpoint: str, schema: T.StructType, seconds: float,
+                   every: str = "30 seconds", drain: bool = True, **options) -> list[tuple[int, int]]:
+    """A continuous ingest run of a bounded time: a micro-batch ``every`` so often for ``seconds``, then, with
+    ``drain``, whatever has arrived by that time, then a stop. Returns (batch, rows) of the run, as a listener
+    recorded them. A failure of the stream is raised; the next run goes on from the checkpoint."""
+    log = RunLog()
+    spark.streams.addListener(log)
+    try:
+        query = ingest_bronze(spark, source, bronze_path, checkpoint, schema, processing_time=every, **options)
+        try:
+            if not query.awaitTermination(seconds) and drain:
+                query.processAllAvailable()
+        finally:
+            query.stop()
+        log.wait(str(query.runId))
+        return log.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(log)
+
+
 def ingest_with_quarantine(spark: SparkSession, source: str, good_path: str, bad_path: str, checkpoint: str,
                            schema: T.StructType, source_format: str = "text", source_options: dict | None = None):
     """Good messages to one table, the raw text of unparsable ones to another; none is lost.

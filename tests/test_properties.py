@@ -32,7 +32,7 @@ def test_histogram_counts_every_non_null_value(spark, xs, parts):
 def test_quantiles_equal_sorted_reference(spark, xs):
     present = [x for x in xs if x is not None]
     df = spark.createDataFrame([("g", x) for x in xs], "g string, x double")
-    out = ordered.exact_quantiles(ordered.value_counts(df, ["g"], "x"), ["g"], [0.1, 0.5, 0.9], buckets=3).collect()
+    out = ordered.exact_quantiles(ordered.value_counts(df, ["g"], "x"), ["g"], [0.1, 0.5, 0.9], ranges=3).collect()
     if not present:
         assert out == []
         return

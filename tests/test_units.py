@@ -159,27 +159,36 @@ def test_exact_quantiles_match_brute_force(spark, n):
     data = [("a", float(rnd.randint(0, 20))) for _ in range(n)] + [("b", rnd.random()) for _ in range(n)]
     df = spark.createDataFrame(data, "g string, x double")
     counts = ordered.value_counts(df, ["g"], "x")
-    q = {r.g: (r.q_0, r.q_1, r.q_2) for r in ordered.exact_quantiles(counts, ["g"], [0.25, 0.5, 0.75],
-                                                                         buckets=4).collect()}
+    q = {r.g: (r.q_0, r.q_1, r.q_2) for r in ordered.exact_quantiles(counts, ["g"], [0.25, 0.5, 0.75], ranges=4).collect()}
     for g in ("a", "b"):
         xs = [x for k, x in data if k == g]
         assert q[g] == pytest.approx(tuple(_np_percentile(xs, p) for p in (0.25, 0.5, 0.75)))
 
 
-def test_running_sums_match_brute_force(spark):
-    rnd = random.Random(3)
-    data = [(rnd.randint(0, 2), float(k), rnd.randint(0, 5)) for k in range(300)]
-    df = spark.createDataFrame(data, "g int, key double, v long")
-    for desc in (False, True):
-        for inc in (False, True):
-            got = {(r.g, r.key): r.cum_v for r in
-                   ordered.running_sums(df, ["g"], "key", ["v"], buckets=7, descending=desc, inclusive=inc).collect()}
-            for g, key, _ in data:
-                if desc:
-                    exp = sum(v for gg, k, v in data if gg == g and (k > key or (inc and k == key)))
-                else:
-                    exp = sum(v for gg, k, v in data if gg == g and (k < key or (inc and k == key)))
-                assert got[(g, key)] == exp
+@pytest.mark.parametrize("ranges", [1, 5, 23])
+def test_running_totals_match_brute_force(spark, ranges):
+    rnd = random.Random(ranges)
+    # one group holds most rows and spans ranges, one is NULL, keys are tied
+    data = [(rnd.choice([None, 1, 1, 1, 1, 2, 3]), rnd.randint(0, 40), rnd.choice([None, 0, 1, 5, -(2**40)]), i) for i in range(400)]
+    df = spark.createDataFrame(data, "g int, key int, v long, id long").repartition(7)
+    out = ordered.running(df, ["g"], [F.desc("key"), "id"], sums={"s": "v"}, xors={"x": "v"}, lags={"a": "id"}, ranges=ranges)
+    # a second pass over what is left lies where the first one put it
+    again = ordered.running_again(out.where("id % 3 > 0").withColumn("one", F.lit(1).cast("long")), ["g"], sums={"n": "one"})
+    got, got_n = {r.id: (r.s, r.x, r.a) for r in out.collect()}, {r.id: r.n for r in again.collect()}
+    for g in {d[0] for d in data}:
+        s = x = n = 0
+        ahead = None
+        for _, _, v, i in sorted((d for d in data if d[0] == g), key=lambda d: (-d[1], d[3])):
+            s, x, n = s + (v or 0), x ^ (v or 0), n + (i % 3 > 0)
+            assert got[i] == (s, x, ahead)
+            assert i % 3 == 0 or got_n[i] == n
+            ahead = i
+
+
+def test_running_totals_over_everything_and_nothing(spark):
+    df = spark.range(50).withColumn("one", F.lit(1).cast("long"))
+    assert [r.at for r in ordered.running(df, [], [F.desc("id")], sums={"at": "one"}, ranges=6).orderBy("id").collect()] == list(range(50, 0, -1))
+    assert ordered.running(df.where("id < 0"), [], ["id"], sums={"at": "one"}, lags={"a": "id"}, ranges=6).collect() == []
 
 
 def test_box_stats_matplotlib_rule(spark):
