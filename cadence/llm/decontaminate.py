@@ -7,20 +7,25 @@ that contains at least ``threshold`` of the item's shingles lacks at most floor(
 threshold) * u) of them, so it holds at least one hash of the signature and the search
 misses nothing. Candidates are verified by exact containment on the shingles' words.
 
-The index is broadcast in blocks of at most ``BLOCK`` bytes of item text, measured first;
-more items mean more passes over the documents, each in place: no document is shuffled and no
-pair that shares nothing is looked at. Items with fewer words than ``width`` match only
-texts that consist of the same words; items without a word match nothing.
-Null and empty texts contain nothing. Repeated items and documents each count.
+The index is broadcast in blocks of at most ``BLOCK`` bytes of item text, measured first. Items of several
+blocks mean several passes over the documents, written as a table in between, so that neither a task nor
+the driver holds more than one block; no document is shuffled and no
+pair that shares nothing is looked at. Items with fewer words than ``width`` are found wherever their
+whole sequence of words occurs; items without a word match nothing.
+Null and empty texts contain nothing. Repeated items and documents each count. Item ids of any number type become long,
+others keep their type.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cadence.llm.common import append, narrow
+from cadence.llm.common import append, narrow, passed
 from cadence.llm.toxicity import words
 
 BLOCK, WIDTH, THRESHOLD = 32 << 20, 5, 0.8
@@ -57,6 +62,7 @@ class Items:
             sign.append(own)
             owner.append(np.full(len(own), len(self.items)))
             self.items.append((key, sets, h))
+        self.sizes = {n: np.unique([hashes(list(s), n)[0] for s in self.short if len(s) == n]) for n in sorted({len(s) for s in self.short})}
         sign, owner = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((sign, np.uint64), (owner, np.int64)))
         order = np.argsort(sign, kind="stable")
         self.sign, self.owner = sign[order], owner[order]
@@ -67,8 +73,14 @@ class Items:
     def inside(self, text: str | None) -> list[tuple]:
         """(item, containment) of the items that a whole text contains."""
         w = words(text)
-        if len(w) < self.width:
-            return [(k, 1.0) for k in self.short.get(tuple(w), ())]
+        out = []
+        for size, known in self.sizes.items():
+            if len(w) >= size:
+                at = np.flatnonzero(np.isin(hashes(w, size), known))
+                out += [(k, 1.0) for s in sorted({tuple(w[i:i + size]) for i in at.tolist()}) for k in self.short.get(s, ())]
+        return out + self.long_inside(w) if len(w) >= self.width else out
+
+    def long_inside(self, w: list[bytes]) -> list[tuple]:
         h = hashes(w, self.width)
         hit = h[self.some[(h >> np.uint64(64 - self.bits)).astype(np.int64)]]
         if not len(hit):
@@ -88,21 +100,23 @@ class Items:
         return out
 
 
-def item_blocks(items: DataFrame, block: int = BLOCK) -> list[list[tuple]]:
-    """Items in blocks whose text stays near ``block`` bytes; each is read when it is its turn."""
+def item_blocks(items: DataFrame, block: int) -> tuple[int, Iterator[list[tuple]]]:
+    """The number of blocks of items whose text stays near ``block`` bytes, and the blocks, each read when it is its turn."""
     n = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     count = -(-n // block)
-    for k in range(count):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k) if count > 1 else items
-        yield [(r.item_id, r.text) for r in part.collect()]
+    part = lambda k: items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k) if count > 1 else items
+    return count, ([(r.item_id, r.text) for r in part(k).collect()] for k in range(count))
 
 
-def add_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+def add_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD, block: int | None = None) -> DataFrame:
     """``df`` with leak_items and leak_shares: the items inside each text and their containment (empty arrays: none)."""
-    items = narrow(benchmark, item_id="item_id", text="text").where("text IS NOT NULL").withColumn("item_id", F.col("item_id").cast("long"))
-    sc = df.sparkSession.sparkContext
+    items = narrow(benchmark, item_id="item_id", text="text").where("text IS NOT NULL")
+    if isinstance(items.schema["item_id"].dataType, T.NumericType):
+        items = items.withColumn("item_id", F.col("item_id").cast("long"))
+    kind, sc = items.schema["item_id"].dataType.simpleString(), df.sparkSession.sparkContext
+    count, blocks = item_blocks(items, block or BLOCK)
     out = None
-    for rows in item_blocks(items):
+    for number, rows in enumerate(blocks):
         shared = sc.broadcast(rows)
 
         def start(shared=shared):
@@ -115,15 +129,20 @@ def add_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", width: in
             return work
 
         if out is None:
-            out = append(df, text, "leak_items array<long>, leak_shares array<double>", start)
+            out = append(df, text, f"leak_items array<{kind}>, leak_shares array<double>", start)
         else:
-            more = append(out, text, "_items array<long>, _shares array<double>", start)
+            more = append(out, text, f"_items array<{kind}>, _shares array<double>", start)
             out = more.withColumn("leak_items", F.concat("leak_items", "_items")).withColumn("leak_shares", F.concat("leak_shares", "_shares")).drop("_items", "_shares")
-    return out if out is not None else df.withColumn("leak_items", F.expr("cast(array() as array<bigint>)")).withColumn("leak_shares", F.expr("cast(array() as array<double>)"))
+        if number + 1 < count:
+            out = passed(out, "leaks")
+            shared.unpersist()
+    empty = lambda of: F.expr(f"cast(array() as array<{of}>)")
+    return out if out is not None else df.withColumn("leak_items", empty(kind)).withColumn("leak_shares", empty("double"))
 
 
-def leaks(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+def leaks(df: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, threshold: float = THRESHOLD,
+          block: int | None = None) -> DataFrame:
     """doc_id, item_id, containment: a row for each item inside a document."""
-    found = add_leaks(narrow(df, doc_id=doc_id, text=text), benchmark, "text", width, threshold)
+    found = add_leaks(narrow(df, doc_id=doc_id, text=text), benchmark, "text", width, threshold, block)
     return found.select("doc_id", F.explode(F.arrays_zip("leak_items", "leak_shares")).alias("x")).select(
         "doc_id", F.col("x.leak_items").alias("item_id"), F.col("x.leak_shares").alias("containment"))

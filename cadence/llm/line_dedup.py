@@ -8,8 +8,8 @@ perfect hash (levels of bit arrays with rank counts) that indexes two arrays, th
 half of each key's hash as fingerprint and its document count. Documents then probe these
 arrays; no line is joined. The index is broadcast only in blocks of at most ``BLOCK``
 bytes, whose size is read before anything is sent: beyond one block, documents are
-probed block by block, and a line dropped by one block is simply no longer there
-for the next.
+probed block by block and written as a table in between, so that neither a task nor the driver holds more than one
+block; a line dropped by one block is simply no longer there for the next.
 
 Null and empty texts are one empty line. Empty keys are never dropped.
 Repeated rows count as documents of their own.
@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, cut, narrow, parts
+from cadence.llm.common import append, cut, narrow, parts, passed
 
 BLOCK = 64 << 20
 SHARD = 1 << 18
@@ -161,10 +161,10 @@ def blocks(made: DataFrame, block: int = BLOCK) -> list[list[int]]:
     return out
 
 
-def drop_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+def drop_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1, block: int | None = None) -> DataFrame:
     """``df`` with the repeated lines gone from ``text``; n_lines and n_dropped are appended."""
     made, shards = index(df, text, min_docs, min_chars)
-    plan = blocks(made) or [[]]
+    plan = blocks(made, block or BLOCK) or [[]]
     for k, part in enumerate(plan):
         rows = [tuple(r)[1:] + (r.shard,) for r in made.where(F.col("shard").isin(part)).collect()] if part else []
         shared = df.sparkSession.sparkContext.broadcast(rows)
@@ -205,6 +205,9 @@ def drop_lines(df: DataFrame, text: str = "text", min_docs: int = 10, min_chars:
         df = (out.withColumn("n_lines", F.col("_lines") if first else F.col("n_lines"))
               .withColumn("n_dropped", F.col("_dropped") if first else F.col("n_dropped") + F.col("_dropped"))
               .drop("_lines", "_dropped"))
+        if k + 1 < len(plan):
+            df = passed(df, "lines")
+            shared.unpersist()
     return df
 
 

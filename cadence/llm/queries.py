@@ -80,7 +80,8 @@ bs AS (SELECT DISTINCT k, item_id, list_aggregate(w[i:i + 4], 'string_agg', ' ')
 n AS (SELECT k, count(*) AS n FROM bs GROUP BY k),
 f AS (SELECT r, doc_id, bs.k, item_id, count(*) AS c FROM ds JOIN bs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, c / n AS containment FROM f JOIN n USING (k) WHERE c >= 0.8 * n - 1e-9
-UNION ALL SELECT d.doc_id, b.item_id, 1.0 FROM d JOIN b ON d.w = b.w WHERE len(d.w) BETWEEN 1 AND 4""",
+UNION ALL SELECT doc_id, b.item_id, 1.0 FROM b JOIN (SELECT DISTINCT r, doc_id, w[i:i + m - 1] AS w
+  FROM (SELECT r, doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT len(w) AS m FROM b WHERE len(w) BETWEEN 1 AND 4))) s USING (w)""",
     "op9_line_dedup": r"""
 WITH l AS (SELECT r, doc_id, i, line, regexp_replace(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS k
