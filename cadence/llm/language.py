@@ -1,8 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Fitted on rows with a language whose crc32(doc_id) mod 5 is not 0, at most about ``fit_docs``
-rows a language (chosen by a hash of the id; all rows while there are fewer). The priors are the shares of
-the languages among all these rows, drawn or not. Each task adds up n-gram counts of its rows; the log-probability matrix, at most ``MATRIX`` bytes by choice of
+Fitted on rows with a language whose crc32(doc_id) mod 5 is not 0, at most ``fit_docs`` ids a language
+(those with the smallest hashes; all while there are fewer), one row an id. The priors are the shares of
+the languages among all these ids, drawn or not. Each task adds up n-gram counts of its rows; the log-probability matrix, at most ``MATRIX`` bytes by choice of
 the bucket number, is broadcast, and whole texts are scored in batches: one gather and one
 segmented sum. A null text or one without a letter is ``und`` with score 0, as is every
 text if nothing could be learned. Ties go to the first language by name. Repeated rows keep a row each.
@@ -10,17 +10,19 @@ text if nothing could be learned. Ties go to the first language by name. Repeate
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import append, fold, narrow
 
 BITS, ORDERS, MATRIX = 16, (1, 2, 3), 64 << 20
-_LETTER = re.compile(r"[^\W\d_]").search
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of the Unicode letter categories is there (numbers such as a half or a Roman eight are none)."""
+    return any(map(str.isalpha, text))
 
 
 def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -39,19 +41,23 @@ def grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
 
 
-def sample(df: DataFrame, label: str, most: int) -> tuple[DataFrame, dict]:
-    """About ``most`` rows of each label, chosen by a hash of doc_id, all of them while there are fewer; and the rows that each label has."""
-    counts = {r[0]: r.n for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    ok = F.lit(False)
-    for x, n in counts.items():
-        ok = ok | ((F.col(label) == F.lit(x)) & (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)) < F.lit(int(min(1.0, most / n) * (1 << 30)))))
-    return df.where(ok), counts
+def sample(df: DataFrame, label: str, most: int, *keep: str) -> tuple[DataFrame, dict]:
+    """One row (label, doc_id, columns ``keep``) of each of at most ``most`` different ids of a label, those with the
+    smallest hashes, and the number of different ids that each label has. An id that is repeated counts once
+    and brings one row (that of the smallest hash of its columns), however many it has."""
+    counts = {r[0]: r.n for r in df.select(label, "doc_id").distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    h, ok = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(1 << 30)), F.lit(False)
+    for x, n in counts.items():  # somewhat more than are wanted, then exactly as many
+        ok = ok | ((F.col(label) == F.lit(x)) & (h < F.lit(int(min(1.0, (1.2 * most + 50) / n) * (1 << 30)))))
+    one = df.where(ok).groupBy(label, "doc_id").agg(F.count(F.lit(1)).alias("_n"), *[F.min_by(c, F.xxhash64(*keep)).alias(c) for c in keep])
+    place = F.row_number().over(Window.partitionBy(label).orderBy(h, "doc_id"))
+    return one.withColumn("_k", place).where(F.col("_k") <= most).drop("_n", "_k"), counts
 
 
 def fit(docs: DataFrame, fit_docs: int = 3000) -> tuple[list[str], np.ndarray]:
     """Languages in order of name and the matrix of log probabilities, a row for each bucket and one for the priors."""
     train = docs.where("lang IS NOT NULL AND text IS NOT NULL AND NOT held_out")
-    some, rows = sample(train, "lang", fit_docs)
+    some, rows = sample(train, "lang", fit_docs, "text")
     langs = sorted(rows)
     if not langs:
         return [], np.zeros((1, 0), np.float32)
@@ -85,7 +91,7 @@ def predictor(langs: list[str], matrix: np.ndarray):
 
     def work(texts):
         lang, score = ["und"] * len(texts), [0.0] * len(texts)
-        able = [k for k, t in enumerate(texts) if t and _LETTER(t)] if langs else []
+        able = [k for k, t in enumerate(texts) if t and has_letter(t)] if langs else []
         chunk: list[int] = []
         room = 200_000
 

@@ -1,7 +1,7 @@
 """Toxicity: significant passages by maximum-scoring segments over token log-odds.
 
-Fit (rows with a label whose crc32(doc_id) mod 5 is not 0, at most about ``fit_docs`` a label, chosen by
-a hash of the id): log-odds of each token between toxic and clean texts with an informative
+Fit (rows with a label whose crc32(doc_id) mod 5 is not 0, at most ``fit_docs`` ids a label, those with
+the smallest hashes): log-odds of each token between toxic and clean texts with an informative
 Dirichlet prior (the pooled counts), kept for at most ``TABLE`` tokens, words or stems of words, whose
 document counts differ most clearly; every other token costs ``DRIFT``. On rows of fold 4, whose tokens were not counted, the extreme-value
 parameter lambda of the scores is solved from clean tokens, and one logistic step maps the
@@ -13,7 +13,7 @@ extension; each has the expected number of as good segments in clean text
 n * exp(-lambda * score). A text's evidence is the sum over its segments of
 max(0, lambda * score - log n). Only text and labels enter; lang, source and doc_id never do.
 Null and empty texts have no evidence; with no labels, or one kind only, every score is 0.
-Repeated rows keep a row each; a repeated label counts again.
+Repeated rows keep a row each; in the fit a repeated label or document counts once.
 """
 
 from __future__ import annotations
@@ -96,10 +96,11 @@ def passages(text: str | None, weights: Weights, lam: float) -> tuple[float, lis
 
 def labelled(docs: DataFrame, labels: DataFrame, fit_docs: int) -> tuple[DataFrame, dict[int, float]]:
     """text, toxic, part of the rows to learn from, and how many rows one of each kind stands for; the labels sent to
-    every task are bounded by ``fit_docs`` a kind."""
+    every task are at most ``fit_docs`` a kind. A label or document that is repeated counts once."""
     rows = narrow(labels, doc_id="doc_id", toxic="toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 0))
     some, counts = sample(rows, "toxic", fit_docs)
-    out = docs.join(F.broadcast(some), "doc_id").where("text IS NOT NULL").select("text", "toxic", fold().alias("part"))
+    met = docs.where("text IS NOT NULL").join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    out = met.select("text", "toxic", fold().alias("part"))
     return out, {int(x): max(1.0, n / fit_docs) for x, n in counts.items()}
 
 
@@ -192,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = 6000) -> dict:
         return lambda texts: [[passages(t, weights, lam)[0] for t in texts]]
 
     seen = append(held, "text", "x double", start)
-    pairs = seen.select("x", F.col("toxic").cast("double")).toPandas().to_numpy(float)  # about fit_docs / 2 rows
+    pairs = seen.select("x", F.col("toxic").cast("double")).toPandas().to_numpy(float)  # at most 2 * fit_docs rows
     a, b = logistic(np.log1p(pairs[:, 0]), pairs[:, 1], np.where(pairs[:, 1] == 1, weight[1], weight[0])) if len(pairs) else (1.0, -1.0)
     return {"table": table, "lambda": lam, "a": a, "b": b}
 
