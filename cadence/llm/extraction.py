@@ -6,12 +6,15 @@ class and id words, and of its text; labels are main text or not, decoded by Vit
 
 Training pages: the ``fit_pages`` pages with the smallest hashes of page_id and markup among
 those that mark their article themselves (an article or main element) and have at most
-``FIT_CHARS`` characters, all while there are fewer, copies once; blocks inside are main text, others are not. Each also enters in altered forms whose
-labels are known by construction: the article element renamed to a plain division, and
-sidebars, notices, adverts, forms, headers and reader comments with text of other pages set around and inside
-it. The weights, a fixed number of them, maximise the penalised likelihood.
-
-A null, empty or text-free page gives an empty text; with no training page every text is empty.
+``FIT_CHARS`` characters, all while there are fewer, copies once; blocks inside any outer article are main text, others
+and those of articles nested in one (reader comments) are not. Each also enters in altered forms whose
+labels are known by construction: the article element renamed to a division; sidebars, notices, adverts,
+forms, headers and reader comments with text of other pages set around and inside it; and its text poured into other
+markup (lists, tables, quotes, preformatted text, figures, definitions, divisions, bare text with line breaks, sections with
+headings, a header of its own). Where no page is marked, the built-in pages of ``PLAIN_PAGES`` take their place. The
+weights, a fixed number of them, maximise the penalised likelihood.
+
+A null, empty or text-free page gives an empty text.
 Repeated rows and ids keep a row each.
 """
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from html import escape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -85,7 +89,7 @@ class Blocks(HTMLParser):
         if tag in BLOCK:
             self.flush()
             ends = {"p"} | CLOSES.get(tag, set())
-            for k in range(len(self.stack) - 1, max(-1, len(self.stack) - 40), -1):
+            for k in range(len(self.stack) - 1, -1, -1) if any("t:" + e in self.active for e in ends) else ():
                 if self.stack[k][0] in ends:
                     while len(self.stack) > k:
                         self.pop()
@@ -99,7 +103,7 @@ class Blocks(HTMLParser):
         names, label = ["t:" + tag], None
         for key, value in attrs:
             if value and key in ("class", "id", "role"):
-                names += ["c:" + w for w in _WORD(value.lower())[:8]]
+                names += ["c:" + w for w in dict.fromkeys(_WORD(value.lower()))]
             elif key == "data-cadence-label":
                 label = value
         self.push(tag, tuple(names), label)
@@ -187,32 +191,123 @@ def extract(html: str | None, weights: np.ndarray, move: np.ndarray) -> str:
     return "\n\n".join(b[2] for b, keep in zip(found, viterbi(score, move), strict=True) if keep)
 
 
-ARTICLE = re.compile(r"<(article|main)\b([^>]*)>(.*?)(</\1>|$)", re.S | re.I)
+#: Comments and silent elements are passed over; article and main tags are what is looked for.
+_MARKS = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|template|textarea)\b.*?(?:</\1\s*>|\Z)|<(/?)(article|main)\b([^>]*)>", re.S | re.I)
 NAMES = ("content", "post", "entry", "story", "article-body", "main-content", "post-body")
 ASIDES = ('<aside>{}</aside>', '<div class="sidebar"><p>{}</p></div>', '<div class="notice">{}</div>', '<div class="ad">{}</div>', '<div class="advert banner"><p>{}</p></div>',
           '<div class="cookie consent">{}</div>', '<form><label>{}</label><button>Send</button></form>', '<section class="comments"><h2>Comments</h2><div class="comment"><p>{}</p></div></section>',
           '<div id="comments"><ol><li><p>{}</p></li><li>{}</li></ol></div>', '<header><p>{}</p></header>', '<div class="related"><ul><li><a href="#">{}</a></li></ul></div>',
           '<nav><a href="#">{}</a></nav>', '<div class="newsletter subscribe"><p>{}</p></div>', '<footer><p>{}</p></footer>', '<div class="share social"><a href="#">{}</a></div>',
-          '<div class="menu"><ul><li>{}</li></ul></div>', '<div role="alert" class="warning"><p>{}</p></div>')
+          '<div class="menu"><ul><li>{}</li></ul></div>', '<div role="alert" class="warning"><p>{}</p></div>',
+          '<aside><h3>{}</h3><ul><li><a href="#">{}</a></li><li><a href="#">{}</a></li></ul></aside>', '<div class="sidebar"><h2>{}</h2><p>{}</p><table><tr><td>{}</td><td>{}</td></tr></table></div>',
+          '<footer><h4>{}</h4><ul><li><a href="#">{}</a></li></ul><p>{}</p></footer>', '<section class="comments"><h3>{}</h3><blockquote>{}</blockquote><p>{}</p></section>',
+          '<section id="comments"><article class="comment"><h3>{}</h3><p>{}</p></article><article class="comment"><p>{}</p></article></section>',
+          '<div class="ad"><figure><figcaption>{}</figcaption></figure></div>', '<nav><h3>{}</h3><ol><li>{}</li><li><a href="#">{}</a></li></ol></nav>', '<aside><dl><dt>{}</dt><dd>{}</dd></dl></aside>')
+
+
+SHAPES = ("p", "p", "p", "div", "br", "ul", "ol", "quote", "pre", "table", "figure", "section", "dl", "h3", "link", "nested")
+
+#: Pages that stand in where a table has no marked page.
+PLAIN_PAGES = tuple(f"""<html><head><title>{title}</title></head><body><header><a href="/">Home</a></header><nav><ul><li><a href="/a">News</a></li><li><a href="/b">About us</a></li></ul></nav>
+<article><h1>{title}</h1><p>{first}</p><p>{second}</p><p>{third}</p></article><aside><h3>Related</h3><ul><li><a href="/c">More like this</a></li></ul></aside><footer>&copy; Example</footer></body></html>"""
+                    for title, first, second, third in (
+    ("The river in spring", "The water rose for nine days, and on the tenth it reached the lower gardens.", "Nobody had expected it so early, though the old people had spoken of such years.", "By evening the road was dry again."),
+    ("How bread is made", "Flour, water, salt and time are all that is needed.", "The dough is folded every half hour; between the folds it rests under a cloth.", "A hot stone does the rest, and the crust sings when it cools."),
+    ("A short history of the lamp", "Before glass was cheap, lamps were open bowls with a wick of rush.", "Oil came from olives, seeds or fish, and the smell told a guest which.", "With the chimney came a steady flame, and with it the evening."),
+    ("Rules of the game", "Each player draws five cards and keeps three.", "Whoever holds the lowest card begins, unless two are equal.", "The round ends when a player has no card left, and points are counted."),
+    ("Letters from the coast", "We arrived late, since the ferry waits for the tide.", "The house stands where you said, but the second door is gone.", "I shall write again when the post boat comes on Friday.")))
+
+
+def outer(html: str) -> list[tuple[int, int, int, list[int]]]:
+    """Outermost article elements of a page, or main elements if it has none: start, end of the opening tag, start of
+    the closing tag, and the ends of the opening tags of articles nested inside."""
+    marks = [m for m in _MARKS.finditer(html) if m[3]]
+    kind = "article" if any(m[3].lower() == "article" for m in marks) else "main"
+    out, depth, start, inner = [], 0, None, []
+    for m in marks:
+        if m[3].lower() != kind:
+            continue
+        if not m[2]:
+            depth += 1
+            if depth == 1:
+                start, inner = m, []
+            else:
+                inner.append(m.end())
+        elif depth:
+            depth -= 1
+            if not depth:
+                out.append((start.start(), start.end(), m.start(), inner))
+    if depth:
+        out.append((start.start(), start.end(), len(html), inner))
+    return out
+
+
+def labelled(html: str, spans: list[tuple[int, int, int, list[int]]]) -> str:
+    """The page with its articles marked as main text, articles nested in them as none."""
+    at = sorted([(b, "1") for _, b, _, _ in spans] + [(x, "0") for *_, inner in spans for x in inner], reverse=True)
+    for end, label in at:  # before the closing angle bracket, or before the slash of a tag that closes itself
+        cut_at = end - 2 if html[end - 2] == "/" else end - 1
+        html = f'{html[:cut_at]} data-cadence-label="{label}"{html[cut_at:]}'
+    return html
+
+
+def reshape(texts: list[tuple[str, str]], pick: random.Random) -> str:
+    """Main text (own tag, text of each block), whole or only its beginning, in other markup: of one kind or mixed."""
+
+    def pieces(words: list[str], most: int) -> list[str]:
+        size = max(1, -(-len(words) // pick.randint(2, most)))
+        return [escape(" ".join(words[k:k + size])) for k in range(0, len(words), size)]
+
+    if pick.random() < 0.4:
+        texts = texts[:pick.randint(1, 5)]
+    style, out = pick.choice(SHAPES) if pick.random() < 0.5 else None, []
+    for k, (tag, text) in enumerate(texts):
+        words, whole = text.split(), escape(text)
+        if tag in ("h1", "h2"):
+            out.append(f"<header><{tag}>{whole}</{tag}></header>" if not k and pick.random() < 0.4 else f"<{tag}>{whole}</{tag}>")
+            continue
+        shape = style or pick.choice(SHAPES)
+        head, rest = escape(" ".join(words[:4])), escape(" ".join(words[4:]) or text)
+        if shape in ("ul", "ol"):
+            out.append(f"<{shape}>" + "".join(f"<li>{x}</li>" for x in pieces(words, 5)) + f"</{shape}>")
+        elif shape == "table":
+            cells = pieces(words, 6)
+            rows = [cells[j:j + 2] for j in range(0, len(cells), 2)]
+            top = pick.random() < 0.5
+            out.append("<table>" + "".join("<tr>" + "".join(f"<th>{x}</th>" if top and not j else f"<td>{x}</td>" for x in r) + "</tr>" for j, r in enumerate(rows)) + "</table>")
+        else:
+            out.append({"p": f"<p>{whole}</p>", "div": f"<div>{whole}</div>", "br": f"{whole}<br><br>", "quote": f"<blockquote><p>{whole}</p></blockquote>" if pick.random() < 0.5 else f"<blockquote>{whole}</blockquote>",
+                        "pre": f"<pre>{whole}</pre>", "figure": f'<figure><img src="x.png"><figcaption>{head}</figcaption></figure><p>{rest}</p>',
+                        "section": f"<section><h2>{head}</h2><p>{rest}</p></section>", "dl": f"<dl><dt>{head}</dt><dd>{rest}</dd></dl>", "h3": f"<h3>{head}</h3><p>{rest}</p>",
+                        "link": f'<p><a href="/x">{head}</a> {rest}</p>', "nested": f"<div><div><p>{whole}</p></div></div>"}[shape])
+    return "".join(out)
 
 
 def training_pages(pages: list[str], seed: int = 7) -> list[str]:
-    """Labelled pages: each as it is, and in two altered forms."""
+    """Labelled pages: each as it is, in two forms with foreign text around and inside, and in three with its text reshaped."""
     pick = random.Random(seed)
     texts = [t for h in pages for t in re.findall(r"<p>([^<]{20,300})</p>", h)[:5]] or ["text"]
     out = []
     for h in pages:
-        if not (m := ARTICLE.search(h)):
+        if not (spans := outer(h)):
             continue
-        tag, attrs, body = m[1], m[2], m[3]
-        before, after = h[:m.start()], h[m.end():]
-        out.append(f'{before}<{tag}{attrs} data-cadence-label="1">{body}</{tag}>{after}')
-        for form in (0, 1):
-            noise = lambda: "".join(re.sub(r"^<(\w+)", r'<\1 data-cadence-label="0"', a.replace("{}", pick.choice(texts))) for a in pick.sample(ASIDES, 3))
-            cuts = [x.start() for x in re.finditer(r"<p>", body)]
-            at = pick.choice(cuts) if cuts else len(body)
-            name, extra = ("div", f' class="{pick.choice(NAMES)}"') if form else (tag, attrs)
-            out.append(f'{before}{noise()}<{name}{extra} data-cadence-label="1">{body[:at]}{noise()}{body[at:]}{noise()}</{name}>{noise()}{after}')
+        whole = labelled(h, spans)
+        out.append(whole)
+        start, opened, closed, _ = max(outer(whole), key=lambda x: x[2] - x[1])
+        before, body, after = whole[:start], whole[opened:closed], re.sub(r"^</\w+\s*>", "", whole[closed:])
+        own = [(tag, text) for _, tag, text, _, label in blocks(f'<div data-cadence-label="1">{body}</div>') if label == "1"]
+        some = lambda _: " ".join(pick.choice(texts).split()[:pick.choice([1, 2, 4, 60, 60])])
+        noise = lambda: "".join(re.sub(r"^<(\w+)", r'<\1 data-cadence-label="0"', re.sub(r"\{\}", some, a)) for a in pick.sample(ASIDES, 3))
+        cuts = [x.start() for x in re.finditer(r"<p>", body)]
+        for form in range(5):
+            if form < 2:
+                at = pick.choice(cuts) if cuts else len(body)
+                inside = f"{body[:at]}{noise()}{body[at:]}{noise()}"
+            else:
+                inside = reshape(own, pick) + (noise() if pick.random() < 0.5 else "")
+            name, extra = (("article", ""), ("div", f' class="{pick.choice(NAMES)}"'), (pick.choice(("article", "main")), ""), ("div", f' class="{pick.choice(NAMES)}"'), ("div", ""))[form]
+            around = noise if form < 2 else (lambda: noise() if pick.random() < 0.5 else "")
+            out.append(f'{before}{around()}<{name}{extra} data-cadence-label="1">{inside}</{name}>{around()}{after}')
     return out
 
 
@@ -276,7 +371,7 @@ def fit(pages: DataFrame, fit_pages: int = 200) -> tuple[np.ndarray, np.ndarray]
             .select(F.xxhash64("page_id", "html").alias("h"), "html"))
     chosen = [r.h for r in able.select("h").distinct().orderBy("h").limit(fit_pages).collect()]
     own = able.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html"))  # one row of each, before anything moves
-    return train(training_pages(sorted(r.html for r in own.collect())))
+    return train(training_pages(sorted(r.html for r in own.collect()) or list(PLAIN_PAGES) * 8))
 
 
 def main_text(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", fit_pages: int = 200) -> DataFrame:

@@ -223,8 +223,58 @@ def test_language_priors_do_not_depend_on_the_fit_bound(spark):
 def test_leaks_in_blocks_are_the_same(spark, monkeypatch):
     docs, items = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     want = sorted(map(tuple, decontaminate.leaks(docs, items).collect()))
-    monkeypatch.setattr(decontaminate, "BLOCK", 3000)
-    assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == want and want
+    passes, real = [], decontaminate.passed
+    monkeypatch.setattr(decontaminate, "passed", lambda df, name: passes.append(plan_of(df)) or real(df, name))
+    got = decontaminate.leaks(docs, items, block=3000)
+    assert sorted(map(tuple, got.collect())) == want and want
+    # several blocks, and no pass holds more than one index
+    assert len(passes) > 2 and all(p.count("MapInArrow") == 1 for p in [*passes, plan_of(got)])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().replace("MapInArrowExec", "")
+
+
+def test_short_items_inside_long_texts(spark):
+    items = [(1, "quick brown fox"), (2, "Fox"), (3, "brown fox jumps over"), (4, "fox brown"), (5, "!?"), (6, "quick brown fox"), (7, "jumps over the lazy dog then")]
+    texts = ["the quick, brown FOX jumps over the lazy dog", "fox", "brown fox", "quick brown", "", None, "x " * 5000 + "brown fox jumps over" + " y" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.containment for r in decontaminate.leaks(docs, spark.createDataFrame(items, "item_id int, text string")).collect()}
+    w = lambda t: "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()
+    want = {(d, i) for d, t in enumerate(texts) for i, x in items if 0 < len(w(x)) < 5 and any(w(t)[k:k + len(w(x))] == w(x) for k in range(len(w(t))))}
+    assert set(got) == want and set(got.values()) == {1.0} and (0, 1) in want and (6, 3) in want
+    import duckdb
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", spark.createDataFrame(items, "item_id int, text string").toPandas())
+    assert {r[:2] for r in con.execute(queries.ORACLE["op7_decontaminate"]).fetchall()} == want
+    named = spark.createDataFrame([("set-1/a", "lazy dog")], "item_id string, text string")
+    assert [tuple(r) for r in decontaminate.leaks(docs, named).collect()] == [(0, "set-1/a", 1.0)]
+
+
+def test_one_repeated_id_changes_no_fit(spark):
+    from cadence.llm import language
+
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    clean = labels.where("toxic = 0 AND crc32(cast(cast(doc_id AS string) AS binary)) % 5 IN (1, 2, 3)").limit(1)
+    many = labels.unionByName(clean.crossJoin(spark.range(200_000).select()))
+    whole = {r.doc_id: (r.predicted, round(r.score, 6)) for r in toxicity.toxicity(docs, labels).collect()}
+    assert {r.doc_id: (r.predicted, round(r.score, 6)) for r in toxicity.toxicity(docs, many).collect()} == whole
+    assert sum(p for p, _ in whole.values()) > 10
+    seen = docs.selectExpr("doc_id", "text", "lang", "false AS held_out")
+    twice = seen.unionByName(seen.where("doc_id = 7").crossJoin(spark.range(20_000).select()))
+    (langs, a), (same, b) = language.fit(seen), language.fit(twice)
+    assert langs == same and np.array_equal(a, b)
+    some, counts = language.sample(twice, "lang", 20, "text")
+    assert max(r["count"] for r in some.groupBy("lang").count().collect()) == 20
+    assert sum(counts.values()) == seen.where("lang IS NOT NULL").select("doc_id").distinct().count() + ("lang" in counts)
+
+
+@pytest.mark.parametrize("text", ["½ ²", "① Ⅷ", "123 _-", "٣", "⅓ _ ①", None, "", " "])
+def test_texts_without_a_letter_have_no_language(spark, text):
+    rows = [(k, t, lang) for k, (t, lang) in enumerate([("the house is there", "en"), ("das haus ist dort", "de")] * 10)] + [(99, text, None), (98, "Å", None), (97, "中", None), (96, "ǅ", None)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[99] == ("und", 0.0) and all(got[k][0] in ("en", "de") for k in (96, 97, 98))
 
 
 def test_leaks_at_the_threshold():
@@ -285,14 +335,16 @@ def test_line_dedup_in_small_shards_and_blocks(spark, monkeypatch):
         for k in {key(x) for x in t.split("\n")} - {""}:
             held[k] = held.get(k, 0) + 1
     want = ["\n".join(x for x in t.split("\n") if held.get(key(x), 0) < 10) for t in texts]
-    monkeypatch.setattr(line_dedup, "SHARD", 40)
-    for block in (64 << 20, 800):
+    monkeypatch.setattr(line_dedup, "SHARD", 3)
+    passes, real = [], line_dedup.passed
+    monkeypatch.setattr(line_dedup, "passed", lambda df, name: passes.append(plan_of(df)) or real(df, name))
+    for block in (64 << 20, 150):
         monkeypatch.setattr(line_dedup, "BLOCK", block)
-        monkeypatch.setattr(line_dedup.blocks, "__defaults__", (block,))
         rows = sorted(line_dedup.line_dedup(df).collect(), key=lambda r: r.doc_id)
         assert [r.text for r in rows] == want
         assert [r.n_lines for r in rows] == [t.count("\n") + 1 for t in texts]
         assert [r.n_dropped for r in rows] == [sum(held.get(key(x), 0) >= 10 for x in t.split("\n")) for t in texts]
+    assert passes and all(p.count("MapInArrow") == 1 for p in passes)  # one block a pass
 
 
 def test_perfect_hash_is_minimal_and_perfect():
@@ -346,7 +398,7 @@ def test_twins_agree(spark):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         want = con.execute(sql).df()

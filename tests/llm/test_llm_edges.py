@@ -139,9 +139,9 @@ def test_training_pages_are_found_among_unmarked_ones(spark, monkeypatch):
     rows += [(5000 + k, "u", marked(k)) for k in range(12)] + [(5000, "u", marked(0))] * 1500
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
     got = {r.page_id: r.text for r in extraction.main_text(df, fit_pages=8).where("page_id >= 5000").collect()}
-    assert given == [3 * 8] and got == {5000 + k: f"Title {k}\n\nLine {k} of text, and more of it." for k in range(12)}
+    assert given == [6 * 8] and got == {5000 + k: f"Title {k}\n\nLine {k} of text, and more of it." for k in range(12)}
     extraction.fit(df, fit_pages=200)
-    assert given[1:] == [3 * 12]
+    assert given[1:] == [6 * 12]
 
 
 def test_repeated_rows_are_copies(docs):
