@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.llm.common import append, cut, narrow
+from cadence.llm.common import append, cut, narrow, passed
 
 HOT = 4096
 FULL = (1 << 64) - 1
@@ -252,7 +252,7 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """``df`` with one row of each component: that of the smallest doc_id, ties by the other columns."""
-    marked = fingerprints(df, text, width, "_fp")
+    marked = passed(fingerprints(df, text, width, "_fp"), "simhash")  # read twice: the fingerprints are worked out once
     keyed = cut(marked.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col("_fp").alias("fp")))
     found = groups(keyed, radius).select(F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("component_id").alias("_least"))
     first = marked.join(found, "_fp").where(F.col(f"`{doc_id}`").eqNullSafe(F.col("_least")))
