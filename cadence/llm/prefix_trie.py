@@ -215,4 +215,5 @@ def trie(seqs: DataFrame, block: int = BLOCK) -> DataFrame:
 def conversation_trie(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", family: int = 20, most: int = 4,
                       block: int = BLOCK) -> DataFrame:
     """The trie of the rebuilt conversations of ``df``."""
-    return trie(rebuilt(turn_rows(df, conv_id, turn, role, text), family, most), block)
+    own = written(turn_rows(df, conv_id, turn, role, text), "own")  # texts are read and hashed once
+    return trie(rebuilt(own, family, most), block)
