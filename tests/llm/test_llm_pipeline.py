@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
-from cadence.llm import decontaminate, packing, simhash, toxicity
+from cadence.llm import packing, simhash, toxicity
 from cadence.llm.common import table
 
 SF = "/root/testdata/sf0.01"
