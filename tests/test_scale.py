@@ -1,6 +1,10 @@
 """What keeps figures of large inputs in proportion: partitions of bounded rows, of sorted rows, and passes over them."""
 
+import re
+
 import pytest
+
+from cadence.operators import evaluate as ev
 from cadence.operators import ml
 from cadence.plans import frames
 
@@ -33,3 +37,19 @@ def test_fit_rows_lie_in_few_partitions_and_fits_repeat(spark, sf_small, conf):
         trees.append(forest.fit(prepared.train).toDebugString.split("\n", 1)[1])
         prepared.release()
     assert trees[0] == trees[1]
+
+
+def test_roc_points_count_scores_in_one_exchange(spark, monkeypatch):
+    """The classes are pooled, so their (row, class) scores are exchanged once by score, not by (class, score) first."""
+    rows = [(i % 3, [((i * 7 + c * 3) % 11) / 11.0 for c in range(3)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "label int, scores array<double>")
+    seen = []
+    whole = ev.running
+    monkeypatch.setattr(ev, "running", lambda pooled, *a, **kw: (seen.append(pooled), whole(pooled, *a, **kw))[1])
+    got = {(r.fpr, r.tpr) for r in ev.roc_points(df, 3).collect()}
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(score#", plan)) == 1 and not re.search(r"hashpartitioning\(class#\d+, score#", plan)
+    pairs = [(s, y == c) for y, scores in rows for c, s in enumerate(scores)]
+    pos, neg = sum(hit for _, hit in pairs), sum(not hit for _, hit in pairs)
+    at = [(t, sum(s >= t and not hit for s, hit in pairs) / neg, sum(s >= t and hit for s, hit in pairs) / pos) for t in {s for s, _ in pairs}]
+    assert got <= {(0.0, 0.0)} | {(f, t) for _, f, t in at} and {(0.0, 0.0), (1.0, 1.0)} <= got
