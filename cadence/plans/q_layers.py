@@ -41,7 +41,7 @@ def clean_drop_nulls(spark, sf):
 
 @register("clean_dedupe", with_ctes("SELECT * FROM deduped", "deduped"))
 def clean_dedupe(spark, sf):
-    return clean.dedupe(clean.drop_nulls(frames.bronze(spark, sf)))
+    return clean.dedupe(clean.drop_nulls(frames.bronze(spark, sf)), partitions=frames.dedupe_partitions(spark, sf))
 
 
 @register("clean_range", with_ctes("SELECT * FROM trk WHERE popularity BETWEEN 0 AND 100", "trk"))
@@ -74,7 +74,7 @@ SELECT CAST(stage_no AS INTEGER) AS stage_no, stage, CAST(n AS BIGINT) AS "rows"
   (4, 'range_filter', (SELECT count(*) FROM deduped WHERE popularity BETWEEN 0 AND 100))
 ) t(stage_no, stage, n)""", "deduped"))
 def clean_stages(spark, sf):
-    return clean.clean_stages(frames.bronze(spark, sf))
+    return clean.clean_stages(frames.bronze(spark, sf), frames.dedupe_partitions(spark, sf))
 
 
 _GOLD_SQL = """
@@ -94,7 +94,7 @@ def flagship(spark, sf):
     """Per-genre summary of cleaned messages: rows -> JSON messages -> decoded
     Bronze -> Silver -> Gold."""
     bronze = frames.bronze_via_messages(spark, sf)
-    return aggregate.gold_genre_summary(clean.silver(bronze))
+    return aggregate.gold_genre_summary(clean.silver(bronze, frames.dedupe_partitions(spark, sf)))
 
 
 @register("flagship_gold", with_ctes(_GOLD_SQL, "silver"))

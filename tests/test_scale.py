@@ -6,7 +6,7 @@ import pytest
 
 from cadence.operators import evaluate as ev
 from cadence.operators import ml
-from cadence.plans import frames
+from cadence.plans import binding, frames
 
 
 @pytest.fixture
@@ -53,3 +53,28 @@ def test_roc_points_count_scores_in_one_exchange(spark, monkeypatch):
     pos, neg = sum(hit for _, hit in pairs), sum(not hit for _, hit in pairs)
     at = [(t, sum(s >= t and not hit for s, hit in pairs) / neg, sum(s >= t and hit for s, hit in pairs) / pos) for t in {s for s, _ in pairs}]
     assert got <= {(0.0, 0.0)} | {(f, t) for _, f, t in at} and {(0.0, 0.0), (1.0, 1.0)} <= got
+
+
+def _sorts(df):
+    return len(re.findall(r"(?m)^[ :+*()\d-]*Sort \[", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_silver_of_large_inputs_is_sorted_once_in_enough_partitions(spark, sf_small, monkeypatch, conf):
+    """Partitions follow the input's size, rows are sorted behind the shuffle only, and the rows are the same."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    want = sorted(map(tuple, frames.compute_silver(spark, sf_small).collect()))
+    few = frames.compute_silver(spark, sf_small)
+    monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
+    n = binding.partitions(spark, sf_small)
+    assert n > 8 and frames.dedupe_partitions(spark, sf_small) == n
+    assert sorted(map(tuple, frames.compute_silver(spark, sf_small).collect())) == want
+    many = frames.compute_silver(spark, sf_small)  # not run: its first plan is read
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"Exchange hashpartitioning\([lp]_partkey#\d+L?, {n}\)", plan)) >= 2
+    assert re.search(rf"Exchange hashpartitioning\(track_id#\d+, {n}\)", plan) and _sorts(many) == _sorts(few) - 1
+
+
+def test_a_hot_track_is_cut_down_ahead_of_the_shuffle(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
+    monkeypatch.setattr(frames, "HOT_KEY_ROWS", 1)
+    assert binding.partitions(spark, sf_small) > 8 and frames.dedupe_partitions(spark, sf_small) is None
