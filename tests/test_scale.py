@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadence.operators import evaluate as ev
 from cadence.operators import ml
 from cadence.plans import binding, frames
+from cadence.sources import messages
 
 
 @pytest.fixture
@@ -78,3 +80,11 @@ def test_a_hot_track_is_cut_down_ahead_of_the_shuffle(spark, sf_small, monkeypat
     monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
     monkeypatch.setattr(frames, "HOT_KEY_ROWS", 1)
     assert binding.partitions(spark, sf_small) > 8 and frames.dedupe_partitions(spark, sf_small) is None
+
+
+def test_message_files_are_compressed_and_read_back(spark, tmp_path):
+    df = spark.range(5000).select(F.to_json(F.struct(F.col("id"), F.lit("the same text in every row").alias("text"))).alias("value"))
+    messages.write_messages(df, f"{tmp_path}/m")
+    written = sum(f.stat().st_size for f in (tmp_path / "m").glob("part-*"))
+    assert written * 3 < df.agg(F.sum(F.length("value") + 1)).first()[0]
+    assert sorted(messages.read_messages(spark, f"{tmp_path}/m").collect()) == sorted(df.collect())
