@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cadence.operators import evaluate as ev
@@ -88,3 +89,15 @@ def test_message_files_are_compressed_and_read_back(spark, tmp_path):
     written = sum(f.stat().st_size for f in (tmp_path / "m").glob("part-*"))
     assert written * 3 < df.agg(F.sum(F.length("value") + 1)).first()[0]
     assert sorted(messages.read_messages(spark, f"{tmp_path}/m").collect()) == sorted(df.collect())
+
+
+def test_one_vs_rest_scores_without_python_functions(spark, sf_small):
+    """The class models' scores and the predicted class are those of PySpark's own transform, with no Python in the plan."""
+    prepared = ml.prepare(frames.feature_table(spark, sf_small))
+    model = dict(ml.classifiers(len(prepared.labels)))["GBT One-vs-Rest"]
+    model = model.setClassifier(model.getClassifier().copy().setMaxIter(1).setMaxDepth(2)).fit(prepared.train)
+    got = ml.one_vs_rest_scores(model, prepared.test).select("track_id", "rawPrediction", "prediction")
+    want = model.transform(prepared.test).select("track_id", vector_to_array("rawPrediction"), "prediction")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "EvalPython" not in got._jdf.queryExecution().executedPlan().toString()
+    prepared.release()
