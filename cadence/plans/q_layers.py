@@ -41,7 +41,7 @@ def clean_drop_nulls(spark, sf):
 
 @register("clean_dedupe", with_ctes("SELECT * FROM deduped", "deduped"))
 def clean_dedupe(spark, sf):
-    return clean.dedupe(clean.drop_nulls(frames.bronze(spark, sf)), partitions=frames.dedupe_partitions(spark, sf))
+    return clean.dedupe(clean.drop_nulls(frames.bronze_by_track(spark, sf)))
 
 
 @register("clean_range", with_ctes("SELECT * FROM trk WHERE popularity BETWEEN 0 AND 100", "trk"))

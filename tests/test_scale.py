@@ -6,8 +6,8 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from cadence.operators import clean, ml
 from cadence.operators import evaluate as ev
-from cadence.operators import ml
 from cadence.plans import binding, frames
 from cadence.sources import messages
 
@@ -77,6 +77,18 @@ def test_silver_of_large_inputs_is_sorted_once_in_enough_partitions(spark, sf_sm
     assert re.search(rf"Exchange hashpartitioning\(track_id#\d+, {n}\)", plan) and _sorts(many) == _sorts(few) - 1
 
 
+def test_rows_are_dealt_by_track_as_the_columns_of_the_tables(spark, sf_small, monkeypatch, conf):
+    """The widest shuffle carries the 14 columns that the 23 fields are made of, and the key, once each."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    want = sorted(map(tuple, clean.dedupe(clean.drop_nulls(binding.tracks(spark, sf_small))).collect()))
+    monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
+    dealt = clean.dedupe(clean.drop_nulls(frames.bronze_by_track(spark, sf_small)))
+    assert sorted(map(tuple, dealt.collect())) == want
+    plan = frames.compute_silver(spark, sf_small)._jdf.queryExecution().executedPlan().toString()  # not run: its first plan is read
+    carried = re.search(r"Exchange hashpartitioning\(track_id#\d+, \d+\).*\n[ :+*()\d-]*Project \[(.*)\]", plan).group(1).split(", ")
+    assert len(carried) == 15 and sum(" AS track_id" in c for c in carried) == 1, carried
+
+
 def test_a_hot_track_is_cut_down_ahead_of_the_shuffle(spark, sf_small, monkeypatch):
     monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
     monkeypatch.setattr(frames, "HOT_KEY_ROWS", 1)
