@@ -113,3 +113,23 @@ def test_one_vs_rest_scores_without_python_functions(spark, sf_small):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert "EvalPython" not in got._jdf.queryExecution().executedPlan().toString()
     prepared.release()
+
+
+def test_auc_needs_one_pass_over_the_scores(spark, conf, monkeypatch):
+    """Exact, whatever ranges and Arrow batches cut a class's scores, and no score row is written."""
+    from cadence.operators import ordered
+
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    written = []
+    monkeypatch.setattr(ordered, "cut_lineage", lambda df: (written.append(df), df)[1])
+    rows = [((i * 5 + i // 7) % 4, [0.25 if c == 1 and i % 3 else ((i * 37 + c * 11) % 101) / 101.0 for c in range(3)]) for i in range(300)]
+    df = spark.createDataFrame(rows, "label int, scores array<double>")
+    for n in (1, 5, 40):
+        conf("spark.sql.shuffle.partitions", str(n))
+        got = {r["class"]: (r.positives, r.negatives, r.auc) for r in ev.auc_per_class(df, 3).collect()}
+        assert sorted(got) == [0, 1, 2]
+        for c, (p, q, auc) in got.items():
+            pos, neg = [s[c] for y, s in rows if y == c], [s[c] for y, s in rows if y != c]
+            pairs = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
+            assert (p, q) == (len(pos), len(neg)) and abs(auc - pairs / (len(pos) * len(neg))) < 1e-12
+    assert not written
