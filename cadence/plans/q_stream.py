@@ -9,12 +9,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from cadence.functions.expressions import safe_name
-from cadence.operators import aggregate, features, guards
+from cadence.operators import aggregate, evaluate, features, guards
 from cadence.plans import binding, frames
 from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.q_eval import _rules_q, best_model
 from cadence.plans.registry import register
-from cadence.session import scratch_path
+from cadence.session import cut_lineage, scratch_path
 from cadence.sources import messages, results
 from cadence.sources.schemas import EVENT_SCHEMA, MESSAGE_COLUMNS, MESSAGE_SCHEMA
 from cadence.sources.tables import prune_catalog_layer, read_layer, resolve_layer, write_catalog_layer, write_layer
@@ -276,16 +276,17 @@ def write_results(spark, sf):
     from cadence.plans import q_ml
 
     root = scratch_path(spark, "results")
-    tables = {"model_metrics": q_ml.model_metrics(spark, sf), "best_confusion_matrix": q_ml.best_model_confusion(spark, sf),
+    metrics = cut_lineage(q_ml.model_metrics(spark, sf))  # one row a model: every file that tells of them is made from the same ones
+    best = evaluate.best_model(metrics)
+    tables = {"model_metrics": metrics, "best_confusion_matrix": q_ml.confusion(spark, sf, best.first().best_model_name),
               "forest_importance": q_ml.importance(spark, sf, "Random Forest"),
               "boosted_importance": q_ml.importance(spark, sf, "GBT One-vs-Rest"),
-              "label_mapping": q_ml.label_mapping(spark, sf), "best_model": q_ml.best_model_row(spark, sf)}
+              "label_mapping": q_ml.label_mapping(spark, sf), "best_model": best}
     for name, df in tables.items():
         if name in _DOCUMENTS:
             results.write_json(df, f"{root}/{name}")
         else:
             results.write_csv(df, f"{root}/{name}", single_file=True, bom=True)
-    metrics = tables["model_metrics"]
     documents = metrics.select(safe_name("model").alias("document"), F.to_json(F.struct(*metrics.columns)).alias("value"))
     documents.write.partitionBy("document").text(f"{root}/metrics")  # one folder a model
     return root, {name: df.schema for name, df in tables.items()}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators import clean, ml
 from cadence.operators import evaluate as ev
-from cadence.plans import binding, frames
+from cadence.plans import binding, frames, q_ml, q_stream
 from cadence.sources import messages
 
 
@@ -133,3 +133,15 @@ def test_auc_needs_one_pass_over_the_scores(spark, conf, monkeypatch):
             pairs = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
             assert (p, q) == (len(pos), len(neg)) and abs(auc - pairs / (len(pos) * len(neg))) < 1e-12
     assert not written
+
+
+def test_result_files_come_from_one_evaluation(spark, sf_small, monkeypatch):
+    """The metrics of a model are worked out once for all result files, and the files agree with the queries."""
+    seen = []
+    whole = ev.auc_per_class
+    monkeypatch.setattr(ev, "auc_per_class", lambda *a, **kw: (seen.append(a), whole(*a, **kw))[1])
+    root, schemas = q_stream.write_results(spark, sf_small)
+    assert len(seen) == len(q_ml.MODEL_NAMES)
+    files = q_stream.load_results(spark, (root, schemas))
+    assert sorted(files["best_confusion_matrix"].collect()) == sorted(q_ml.best_model_confusion(spark, sf_small).collect())
+    assert files["best_model"].first().best_model_name == q_ml.best_model_row(spark, sf_small).first().best_model_name
