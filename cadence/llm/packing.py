@@ -24,6 +24,8 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import compress, count, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ BLOCK, HARD, STEP, CACHE = 128, 512, 128, 1_200_000
 SENTENCE_PENALTY, HARD_PENALTY = 4, 64
 #: Character classes below U+0180, where they are the same in every Unicode version.
 _L, _N, _W = "A-Za-zªµºÀ-ÖØ-öø-ƿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
-_PLAIN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_W}{_L}{_N}]+|[{_W}]+(?![^{_W}])|[{_W}]+").findall
+_PLAIN = re.compile(rf" ?[{_L}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_N}]+| ?[^{_W}{_L}{_N}]+|[{_W}]+(?![^{_W}])|[{_W}]+").findall
 #: Elsewhere: one space between two characters that are no white space always starts a pre-token.
 _SPACES = re.compile(r"(?<=\S)(?= \S)").split
 _WIDE = re.compile("[^\x00-ſ]").search
@@ -72,10 +74,12 @@ class Ids:
     def learn(self, units: list[str]) -> None:
         if len(self.known) > CACHE:
             self.known.clear()
-        solid = [u for u in units if _SOLID(u) and not any(x in u for x in self.special)] if len(self.line) == 1 else []
+        solid = [u for u in units if _SOLID(u)] if len(self.line) == 1 else []
+        if any(x in y for x in self.special for y in ["\n".join(solid)]):
+            solid = [u for u in solid if not any(x in u for x in self.special)]
         # pre-tokens without white space inside are encoded as lines of one text: a line end is a token of its own
-        for k in range(0, len(solid), 2000):
-            part = solid[k:k + 2000]
+        for k in range(0, len(solid), 200):
+            part = solid[k:k + 200]
             ids = np.array(self.tok.encode_batch_fast(["\n" + "\n".join(part)], add_special_tokens=False)[0].ids, "<u4")
             at, data = [*np.flatnonzero(ids == self.line[0]).tolist(), len(ids)], ids.tobytes()
             if len(at) == len(part) + 1:
@@ -86,12 +90,20 @@ class Ids:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = [self.units(t) for t in texts]
-        found = [list(map(self.known.get, u)) for u in cut]
-        if new := {x for u, f in zip(cut, found, strict=True) if None in f for x, y in zip(u, f, strict=True) if y is None}:
-            self.learn(list(new))
-        for u, f in zip(cut, found, strict=True):
-            yield b"".join([y or self.known[x] for x, y in zip(u, f, strict=True)] if None in f else f)
+        found, open_ = [], []  # ids of each text's pre-tokens; which pre-tokens lack them, and where
+        for t in texts:
+            units = self.units(t)
+            ids = list(map(self.known.get, units))
+            found.append(ids)
+            if None in ids:
+                lacks = [*map(is_, ids, repeat(None))]
+                open_.append((ids, [*compress(count(), lacks)], [*compress(units, lacks)]))
+        if open_:
+            self.learn(list(set().union(*[units for _, _, units in open_])))
+        for ids, places, units in open_:
+            for k, u in zip(places, units, strict=True):
+                ids[k] = self.known[u]
+        yield from map(b"".join, found)
 
     def stops(self, ids: bytes) -> np.ndarray:
         """Token places after a sentence end: a token that ends in . ! ? or a line end, before one that starts with a gap."""
