@@ -9,8 +9,10 @@ places that can repeat are brought together, by content.
    kept by an aggregate that never lists their places; exact copies count as one text here.
 2. Texts meet their kept anchors (one shuffle of the text). An exact copy of ``width`` bytes or more is
    removed whole; a text without kept anchors stays whole. The others send, for each kept
-   anchor, the stretch of bytes that its windows span; equal stretches are merged.
-3. Stretches of an anchor are sorted in one shard. An anchor with over ``HOT`` different stretches is
+   anchor, the stretch of bytes that its windows span, once a task; equal stretches are merged.
+3. Stretches of an anchor are sorted in one shard. Those of anchors that occur at most ``HOT`` times, which step 1
+   counts, are dealt by anchor and put in order: a task reads anchor after anchor and sorts about ``SHARD`` bytes at a time, so
+   their bytes are exchanged once. An anchor that occurs more often and has over ``HOT`` different stretches is
    split by content first: windows are dealt by offset into blocks of 64, then 16, 4
    and 1, and a block goes with those that agree in all bytes that its windows share. Blocks that agree with no
    other end there; blocks of one window need no sorting. So no shard grows with the number of documents that hold a
@@ -33,13 +35,15 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.llm.common import cut, narrow
 from cadence.session import scratch_path
 
 GRAM, HOT, SHARD, PIECE, BLOCKS = 32, 2048, 1 << 20, 1 << 22, (64, 16, 4, 1)
+#: Different stretches that a task remembers, so as to send their bytes once; those beyond go each time.
+KNOWN = 100_000
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -192,7 +196,8 @@ def number8(x: int) -> bytes:
 
 
 STRETCH = pa.schema([("t1", pa.int64()), ("t2", pa.int64()), ("p", pa.int64()), ("g1", pa.int64()), ("g2", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()),
-                     ("a", pa.int64()), ("off", pa.int64()), ("n", pa.int64()), ("twin", pa.bool_()), ("data", pa.binary())])
+                     ("a", pa.int64()), ("off", pa.int64()), ("n", pa.int64()), ("busy", pa.bool_()), ("twin", pa.bool_()), ("data", pa.binary())])
+HITS = pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("hits", pa.list_(pa.struct([("s", pa.int64()), ("n", pa.int64())])))])
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 200, kept: bool = False) -> DataFrame:
@@ -203,22 +208,27 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     docs = narrow(df, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     keyed = docs.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit("text"), "text"))
     long = keyed.where(F.octet_length("text") >= width)
-    anchors = long.select("t1", "t2", "text").mapInArrow(lambda b: anchor_rows(b, width), "a long, t1 long, t2 long, c long")
-    often = anchors.groupBy("a").agg(F.min("t1").alias("x"), F.max("t1").alias("y"), F.max("c").alias("c")).where("x <> y OR c > 1").select("a")
+    anchors = long.select("t1", "t2", "text").mapInArrow(lambda b: anchor_rows(b, width), "a long, t1 long, c long")
+    own = Window.partitionBy("a")  # one exchange both finds the kept anchors and leaves them with their texts
+    often = (anchors.select("a", "t1", F.min("t1").over(own).alias("x"), F.max("t1").over(own).alias("y"), F.max("c").over(own).alias("c"), F.sum("c").over(own).alias("all"))
+             .where("x <> y OR c > 1"))
     # by one half of the text's key: two texts that share it would only bring each other's stretches along
-    wanted = anchors.select("a", "t1").join(often, "a").groupBy("t1").agg(F.collect_set("a").alias("anchors"))
+    wanted = often.groupBy("t1").agg(F.collect_set("a").alias("anchors"), F.collect_set(F.when(F.col("all") > HOT, F.col("a"))).alias("busy"))
     copies = long.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"))
     facts = copies.join(wanted, "t1", "left")
     kind = docs.schema["doc_id"].dataType.simpleString()
     small = keyed.mapInArrow(compressed, f"doc_id {kind}, text binary, t1 long, t2 long")
-    met = small.join(facts, ["t1", "t2"], "left").select("doc_id", "t1", "t2", "text", "copies", "anchors", (F.col("doc_id").eqNullSafe(F.col("least"))).alias("first"))
+    met = small.join(facts, ["t1", "t2"], "left").select("doc_id", "t1", "t2", "text", "copies", "anchors", "busy", (F.col("doc_id").eqNullSafe(F.col("least"))).alias("first"))
     path = scratch_path(spark, "repeats")
-    fields = f"kind string, doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, t1 long, t2 long, p long, g1 long, g2 long, c1 long, c2 long, a long, off long, n long, twin boolean, data binary"
+    fields = f"kind string, doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, t1 long, t2 long, p long, g1 long, g2 long, c1 long, c2 long, a long, off long, n long, busy boolean, twin boolean, data binary"
     met.mapInArrow(lambda b: first_rows(b, width, kept), fields).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     rows = spark.read.schema(fields).parquet(path)
     done = rows.where("kind = 'done'").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
-    found, places = settle(rows.where("kind = 'stretch'").select(*STRETCH.names), width)
+    stretches = rows.where("kind = 'stretch'").select(*STRETCH.names)
+    found, places = settle(stretches.where("busy"), width)
+    found = found.unionByName(searched(stretches.where("NOT busy"), width))
+    places = places.unionByName(stretches.where("NOT busy").select("t1", "t2", "p", "c1", "c2"))
     spans = (places.join(found, ["c1", "c2"]).select("t1", "t2", F.explode("hits").alias("h"), "p")
              .groupBy("t1", "t2").agg(F.collect_list(F.struct((F.col("p") + F.col("h.s")).alias("s"), F.col("h.n").alias("n"))).alias("spans")))
     open_ = rows.where("kind = 'text'").select("doc_id", "t1", "t2", F.col("data").alias("text")).join(spans, ["t1", "t2"], "left")
@@ -237,47 +247,52 @@ def compressed(batches):
 
 def anchor_rows(batches, width: int):
     seen: set[int] = set()
-    schema = pa.schema([("a", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("c", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("t1", pa.int64()), ("c", pa.int64())])
     for batch in batches:
-        cols: list[list[np.ndarray]] = [[], [], [], []]
+        cols: list[list[np.ndarray]] = [[], [], []]
         for t1, t2, text in zip(*(c.to_pylist() for c in batch.columns)):
             if (t1, t2) in seen:
                 continue  # a copy in this task adds nothing
             if len(seen) < 500_000:
                 seen.add((t1, t2))
             a, c = np.unique(runs(text.encode(), width)[3], return_counts=True)
-            for to, x in zip(cols, (a.view(np.int64), np.full(len(a), t1), np.full(len(a), t2), c.astype(np.int64))):
+            for to, x in zip(cols, (a.view(np.int64), np.full(len(a), t1), c.astype(np.int64))):
                 to.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in cols], schema=schema)
 
 
 def first_rows(batches, width: int, kept: bool):
-    """Results of texts that are settled; texts and stretches of the others."""
+    """Results of texts that are settled; texts (as compressed as they came) and stretches of the others. The second stretch
+    of a kind in a task brings no bytes, those after it are places only (``twin`` is null)."""
     schema, unpack = None, zstandard.ZstdDecompressor().decompress
-    empty = (None,) * 12
+    empty, known = (None,) * 13, {}
     for batch in batches:
         if schema is None:
             schema = pa.schema([("kind", pa.string()), ("doc_id", batch.schema.field(0).type), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
                                 ("kept_sha256", pa.string()), ("kept", pa.binary()), *STRETCH])
         rows, room = [], 16 << 20
-        for key, t1, t2, text, copies, anchors, first in zip(*(c.to_pylist() for c in batch.columns)):
+        for key, t1, t2, text, copies, anchors, busy, first in zip(*(c.to_pylist() for c in batch.columns)):
             data = unpack(text)
             copy = copies is not None and copies > 1  # only long texts are counted
             if copy or not anchors:
                 rest = b"" if copy else data
                 rows.append(("done", key, len(data), len(data) - len(rest), int(copy), hashlib.sha256(rest).hexdigest(), rest if kept else None, *empty))
             else:
-                rows.append(("text", key, None, None, None, None, None, t1, t2, *empty[:9], data))
-                room -= len(data)
+                rows.append(("text", key, None, None, None, None, None, t1, t2, *empty[:10], text))
+                room -= len(text)
             if anchors and (first or not copy):
                 begin, n, place, value = runs(data, width)
-                value = value.view(np.int64)
+                value, busy = value.view(np.int64), set(busy)
                 for k in np.flatnonzero(np.isin(value, anchors)).tolist():
                     p, a, off = int(begin[k]), int(value[k]), int(place[k] - begin[k])
                     part = data[p:p + int(n[k]) + width - 1]
                     own = digest(number8(a), number8(off), part)
-                    rows.append(("stretch", None, None, None, None, None, None, t1, t2, p, a, 0, *own, a, off, int(n[k]), copy, part))
-                    room -= len(part) + 100
+                    times = known.get(own, 0)
+                    if times < 2 and (times or len(known) < KNOWN):
+                        known[own] = times + 1
+                    twin, part = ((copy, part), (True, None), (None, None))[times]
+                    rows.append(("stretch", None, None, None, None, None, None, t1, t2, p, a, 0, *own, a, off, int(n[k]), a in busy, twin, part))
+                    room -= len(part or b"") + 100
             if room < 0:
                 yield batch_of(rows, schema)
                 rows, room = [], 16 << 20
@@ -286,11 +301,12 @@ def first_rows(batches, width: int, kept: bool):
 
 
 def last_rows(batches, width: int, kept: bool):
-    schema = None
+    schema, unpack = None, zstandard.ZstdDecompressor().decompress
     for batch in batches:
         schema = schema or pa.schema([("doc_id", batch.schema.field(0).type), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
         rows = []
-        for key, data, spans in zip(*(c.to_pylist() for c in batch.columns)):
+        for key, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            data = unpack(text)
             edge = np.zeros(len(data) + 1, np.int32)
             for s in spans or ():
                 edge[s["s"]] += 1
@@ -301,6 +317,56 @@ def last_rows(batches, width: int, kept: bool):
         yield batch_of(rows, schema)
 
 
+def searched(stretches: DataFrame, width: int) -> DataFrame:
+    """Repeated windows of each different stretch (c1, c2, hits), for anchors with at most HOT stretches each."""
+    n = int(stretches.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # sorting takes time: not by bytes alone
+    rows = stretches.where("twin IS NOT NULL").select("a", "c1", "c2", "twin", "data").repartition(n, "a")
+    rows = rows.sortWithinPartitions("a", "c1", "c2", F.col("data").isNull()).select("a", "c1", "c2", "twin", "data")
+    return rows.mapInArrow(lambda b: search_rows(b, width), "c1 long, c2 long, hits array<struct<s: long, n: long>>")
+
+
+def search_rows(batches, width: int):
+    """Stretches come in order of anchor and content; whole anchors of about SHARD bytes together are sorted at a time."""
+    shard: list[list] = []
+    group: list[list] = []  # anchor, c1, c2, twin, data of the different stretches of one anchor
+    size = 0
+
+    def whole(data: bytes) -> list[dict]:
+        return [{"s": 0, "n": len(data) - width + 1}]
+
+    def ended() -> list[tuple]:
+        """What is known of an anchor at its end: a stretch found twice repeats whole, and the others are sorted with it."""
+        nonlocal size
+        if len(group) > 1:
+            shard.extend(group)
+            size += sum(len(g[4]) for g in group)
+        out = [(c1, c2, whole(data)) for _, c1, c2, twin, data in group if twin]
+        group.clear()
+        return out
+
+    def sorted_() -> list[tuple]:
+        nonlocal size
+        got = repeated([g[4] for g in shard], width) if shard else []
+        out = [(c1, c2, [{"s": s, "n": n} for s, n in intervals(h)]) for (_, c1, c2, twin, _), h in zip(shard, got) if not twin and h.any()]
+        shard.clear()
+        size = 0
+        return out
+
+    for batch in batches:
+        rows = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if group and group[-1][1:3] == list(row[1:3]):
+                group[-1][3] = True  # the same stretch from another task, or again from one
+                continue
+            if group and group[-1][0] != row[0]:
+                rows += ended()
+                if size >= SHARD:
+                    rows += sorted_()
+            group.append(list(row))
+        yield batch_of(rows, HITS)
+    yield batch_of(ended() + sorted_(), HITS)
+
+
 def split_rows(batches, width: int, size: int):
     """Stretches of hot groups cut into blocks of windows: parent, shift, and the block as a stretch of its own."""
     schema = pa.schema([("c1", pa.int64()), ("c2", pa.int64()), ("shift", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("g1", pa.int64()), ("g2", pa.int64()),
@@ -322,10 +388,11 @@ def split_rows(batches, width: int, size: int):
 
 
 def settle(stretches: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
-    """Repeated windows of each different stretch (c1, c2, hits), and the places (t1, t2, p) of the stretches."""
+    """Repeated windows of each different stretch (c1, c2, hits), and the places (t1, t2, p) of the stretches, where an
+    anchor may have any number of them."""
     places = stretches.select("t1", "t2", "p", "c1", "c2")
-    now = (stretches.groupBy("g1", "g2", "c1", "c2").agg(F.first("a").alias("a"), F.first("off").alias("off"), F.first("n").alias("n"),
-                                                           ((F.count(F.lit(1)) > 1) | F.max("twin")).alias("twin"), F.first("data").alias("data")))
+    now = (stretches.where("twin IS NOT NULL").groupBy("g1", "g2", "c1", "c2").agg(F.first("a").alias("a"), F.first("off").alias("off"), F.first("n").alias("n"),
+                                                           ((F.count(F.lit(1)) > 1) | F.max("twin")).alias("twin"), F.first("data", ignorenulls=True).alias("data")))
     all_found, all_places = None, places
     hits = "hits array<struct<s: long, n: long>>"
     whole = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.col("n").alias("n"))).alias("hits")
