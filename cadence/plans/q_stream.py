@@ -14,7 +14,7 @@ from cadence.plans import binding, frames
 from cadence.plans.oracle_sql import with_ctes
 from cadence.plans.q_eval import _rules_q, best_model
 from cadence.plans.registry import register
-from cadence.session import cut_lineage, scratch_path
+from cadence.session import SHUFFLES_GO_AT_ONCE, cut_lineage, scratch_path, settings
 from cadence.sources import messages, results
 from cadence.sources.schemas import EVENT_SCHEMA, MESSAGE_COLUMNS, MESSAGE_SCHEMA
 from cadence.sources.tables import prune_catalog_layer, read_layer, resolve_layer, write_catalog_layer, write_layer
@@ -71,8 +71,9 @@ def stream_silver(spark, sf):
     """Bronze -> Silver as a stream in two runs over one checkpoint. The first run keeps every row as state; a heartbeat
     far ahead then moves the watermark past all sessions, and the second run writes the smallest row of each key."""
     bronze, out, ckpt = (scratch_path(spark, n) for n in ("silver-src", "stream-silver", "stream-silver-ckpt"))
-    frames.bronze(spark, sf).write.parquet(bronze)
-    span = {"delay": "1 hour", "gap": "36500 days"}
+    with settings(spark, SHUFFLES_GO_AT_ONCE):
+        frames.bronze(spark, sf).write.parquet(bronze, compression="zstd")
+    span = {"delay": "1 hour", "gap": "36500 days", "partitions": binding.partitions(spark, sf)}
     silver.stream_silver(spark, bronze, out, ckpt, MESSAGE_SCHEMA, **span)
     beat = spark.range(1).select(*[F.lit("2999-01-01T00:00:00.000000" if c == "kafka_timestamp" else None).cast(MESSAGE_SCHEMA[c].dataType).alias(c) for c in MESSAGE_COLUMNS])
     beat.write.mode("append").parquet(bronze)

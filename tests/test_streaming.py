@@ -147,3 +147,22 @@ def test_silver_stream_that_writes_at_once(spark):
     # a's second row is a duplicate, b's second is later than the watermark, a's third comes after its state expired
     assert got == [("a", 2), ("a", 50), ("b", 5), ("z", 1)]
 
+
+def test_silver_stream_deals_its_state_by_the_size_of_the_input(spark, sf_small, monkeypatch):
+    """Dealt to the session's few partitions, the rows of a large input spill in their sort and their state fills the heap."""
+    from pathlib import Path
+
+    from cadence.plans import binding, q_stream
+
+    seen, run = [], silver.stream_silver
+    monkeypatch.setattr(silver, "stream_silver", lambda *a, **kw: (seen.append(a[3]), run(*a, **kw))[1])
+    monkeypatch.setattr(binding, "PARTITION_BYTES", 2048)
+    before = {c: spark.conf.get(c, None) for c in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions")}
+    n = binding.partitions(spark, sf_small)
+    got = q_stream.stream_silver(spark, sf_small)
+    want = clean.silver(binding.tracks(spark, sf_small))
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+    state = Path(seen[0].removeprefix("file:")) / "state" / "0"
+    assert n > 8 and len([p for p in state.iterdir() if p.name.isdigit()]) == n
+    assert list(state.rglob("*.zip")) and not list(state.rglob("*.delta"))  # RocksDB's files, not maps of the heap
+    assert {c: spark.conf.get(c, None) for c in before} == before  # the session is left as it was
